@@ -99,7 +99,8 @@ def _pane_deltas(df: DataFrame, keys: list[str], size_us: int, slide_us: int,
         F.struct(F.col("_p").alias("e"), F.col("_c").alias("d")),
         F.struct((F.col("_p") + F.lit(size_us)).alias("e"), (-F.col("_c")).alias("d")),
     )).alias("_x")).select(*keys, F.col("_x.e").alias("_e"), F.col("_x.d").alias("_d"))
-    return deltas.groupBy(*keys, "_e").agg(F.sum("_d").alias("_d"))
+    # zero-sum points would only split an interval of equal count: drop them
+    return deltas.groupBy(*keys, "_e").agg(F.sum("_d").alias("_d")).filter(F.col("_d") != 0)
 
 
 def sliding_count_sparse(df: DataFrame, keys: list[str], size, slide, ts: str = "ts",

@@ -162,7 +162,8 @@ def channel_sliding(spark, sf):
 
 
 def _ad_ranked(spark, sf):
-    return caps.rate_cap(td.ad_clicks(spark, sf), ["user_id", "ad_id"], AD_CAP, AD_TZ)
+    r = caps.rate_cap(td.ad_clicks(spark, sf), ["user_id", "ad_id"], AD_CAP, AD_TZ)
+    return r.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 def ad_passed(spark, sf):
