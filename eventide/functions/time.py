@@ -8,17 +8,17 @@ are zone-free on NTZ values, so results are identical whatever
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = _dt.datetime(1970, 1, 1)
+def ntz_literal(text: str) -> Column:
+    """An NTZ instant from ``yyyy-MM-dd HH:mm:ss`` text (no zone involved)."""
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def epoch() -> Column:
     """The epoch as an NTZ literal (built lazily: columns need an active session)."""
-    return F.lit(_EPOCH).cast("timestamp_ntz")
+    return ntz_literal("1970-01-01 00:00:00")
 
 US_PER_MS = 1_000
 US_PER_S = 1_000_000

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.text import drop_static_assets, exclude, only
+from eventide.functions.time import ntz_literal
 from eventide.operators import caps, late, patterns, reconcile, topn, uniques, windows
 from eventide.sources import files, testdata as td
 
@@ -92,7 +93,7 @@ def ranking_report(spark, sf):
 
 def topn_changelog(spark, sf):
     pv = _pv(spark, sf)
-    cut = F.lit(CHANGELOG_CUTOFF).cast("timestamp_ntz")
+    cut = ntz_literal(CHANGELOG_CUTOFF.strftime("%Y-%m-%d %H:%M:%S"))
 
     def top(df):
         c = windows.sliding_count(df, ["item_id"], HOT_ITEMS["size"], HOT_ITEMS["slide"])
