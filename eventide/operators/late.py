@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.time import from_micros, micros
-from eventide.operators.scan import Running, keyed_scan
+from eventide.operators.scan import Running, keyed_scan, time_bucket
 from eventide.operators.windows import us
 
 
@@ -80,21 +80,42 @@ def late_rows(df: DataFrame, bound, allowed, size, slide, seq: str = "seq",
 
 def lateness_counts(df: DataFrame, keys: list[str], bound, allowed, size, slide,
                     seq: str = "seq", tie: str | None = None, ts: str = "ts",
-                    chunk: int = 1_000_000) -> DataFrame:
+                    chunk: int = 1_000_000, carry_width=None) -> DataFrame:
     """O-45: per (key, window) the count at the on-time firing and after late updates.
 
-    Rows are pre-aggregated by (key, first window, accepted-from, on-time-from)
-    before they are fanned out to windows, so raw rows are never multiplied.
+    Rows are grouped by (key, last window, accepted-from, on-time-from); each
+    group adds signed deltas at the first and after the last window it counts
+    in, and a running sum per key (skew-safe keyed scan) gives intervals of
+    window ends with constant counts.  Only those intervals are expanded to
+    windows, so neither raw rows nor window copies of them are aggregated.
     Output: keys, window_end, cnt_on_time, cnt (final), late_updates.
     """
     slide_us = us(slide)
     r = window_ranges(with_watermark_before(df, bound, seq, tie, ts, chunk), size, slide, allowed)
     r = r.filter(F.col("_acc_from") <= F.col("_last_end"))
     g = r.groupBy(*keys, "_last_end", "_acc_from", "_on_from").agg(F.count(F.lit(1)).alias("_c"))
-    x = g.select("*", F.explode(F.sequence("_acc_from", "_last_end", F.lit(slide_us))).alias("_e"))
-    on = F.when(F.col("_e") >= F.col("_on_from"), F.col("_c")).otherwise(F.lit(0))
-    agg = x.groupBy(*keys, "_e").agg(F.sum(on).alias("cnt_on_time"), F.sum("_c").alias("cnt"))
-    return agg.select(*keys, from_micros("_e").alias("window_end"),
-                      F.col("cnt_on_time").cast("bigint").alias("cnt_on_time"),
-                      F.col("cnt").cast("bigint").alias("cnt"),
-                      (F.col("cnt") - F.col("cnt_on_time")).cast("bigint").alias("late_updates"))
+    stop = F.col("_last_end") + F.lit(slide_us)
+    has_on = F.col("_on_from") <= F.col("_last_end")
+    zero = F.lit(0).cast("bigint")
+    pts = F.array(
+        F.struct(F.col("_acc_from").alias("e"), F.col("_c").alias("d"), zero.alias("o")),
+        F.struct(stop.alias("e"), (-F.col("_c")).alias("d"), zero.alias("o")),
+        F.struct(F.col("_on_from").alias("e"), zero.alias("d"),
+                 F.when(has_on, F.col("_c")).otherwise(zero).alias("o")),
+        F.struct(stop.alias("e"), zero.alias("d"),
+                 F.when(has_on, -F.col("_c")).otherwise(zero).alias("o")))
+    deltas = g.select(*keys, F.explode(pts).alias("_x")) \
+        .groupBy(*keys, F.col("_x.e").alias("_e")) \
+        .agg(F.sum("_x.d").alias("_d"), F.sum("_x.o").alias("_o")) \
+        .filter((F.col("_d") != 0) | (F.col("_o") != 0))
+    width = us(carry_width) if carry_width is not None else max(us(size), 3_600_000_000)
+    sc = keyed_scan(deltas, keys, ["_e"], time_bucket(F.col("_e"), width), next=["_e"],
+                    running=[Running("cnt", F.col("_d"), "sum"), Running("cnt_on_time", F.col("_o"), "sum")])
+    runs = sc.filter((F.col("cnt") > 0) & F.col("next__e").isNotNull())
+    wins = runs.select(*keys, "cnt", "cnt_on_time",
+                       F.explode(F.sequence("_e", F.col("next__e") - F.lit(slide_us),
+                                            F.lit(slide_us))).alias("_w"))
+    return wins.select(*keys, from_micros("_w").alias("window_end"),
+                       F.col("cnt_on_time").cast("bigint").alias("cnt_on_time"),
+                       F.col("cnt").cast("bigint").alias("cnt"),
+                       (F.col("cnt") - F.col("cnt_on_time")).cast("bigint").alias("late_updates"))

@@ -9,17 +9,20 @@ so a hot key (one user holding a third of the stream) becomes one task.
 ``keyed_scan`` splits every key further by a *bucket* column that is monotone
 in the order (a time bucket, or an arrival-sequence chunk):
 
-1. Within each ``(key, bucket)`` group a window computes the local answer
-   (``lag``/``lead``, running sum/max/min).  Groups are small and spread
-   over all tasks.
+1. The input is hash-partitioned once by ``(key, bucket)``.  Groups are
+   small and spread over all tasks, whatever the key skew.
 2. A per-``(key, bucket)`` summary (first row, last row, bucket totals) is
-   built by a partial + final hash aggregate, so it never gathers a key.
+   aggregated from that same exchange (Spark reuses it: no second shuffle and
+   no recomputation of the input).
 3. A window over the summary, ordered by bucket, carries the neighbour row
    and the running totals across buckets.  It holds one row per non-empty
    bucket, so its size per key is bounded by time span / bucket width, not
    by the number of events.
-4. The carry is joined back on ``(key, bucket)`` -- the same hash
-   partitioning the step-1 window needs, so the big side shuffles once.
+4. The carry enters each ``(key, bucket)`` group as a *head* row (previous
+   bucket's last row, totals of earlier buckets) and a *tail* row (next
+   bucket's first row, totals of later buckets).  One window per group then
+   yields exact ``lag``/``lead``/running values; head and tail rows are
+   dropped.  No join is needed, and null keys form their own group.
 
 The result is exact: neighbours are the true previous/next rows of the key,
 running values are over the whole key history.
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BK = "_scan_bucket"
+_RT = "_scan_rowtype"      # 0 head (carry in), 1 data, 2 tail (carry from later buckets)
 
 
 @dataclass(frozen=True)
@@ -55,13 +59,6 @@ def _agg(kind: str, c: Column) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[kind](c)
 
 
-def _combine(kind: str, a: Column, b: Column) -> Column:
-    if kind == "sum":
-        return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
-            F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-    return F.greatest(a, b) if kind == "max" else F.least(a, b)
-
-
 def _fields(order: list[str], cols: list[str]) -> list[str]:
     return order + [c for c in cols if c not in order]
 
@@ -82,65 +79,76 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     """
     keys, order = list(keys), list(order)
     prev, next_, running = list(prev), list(next), list(running)
-    d = df.withColumn(_BK, bucket)
     part = keys + [_BK]
-    w_in = Window.partitionBy(*part).orderBy(*order)
-    w_pre = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_pre_x = w_in.rowsBetween(Window.unboundedPreceding, -1)
-    w_suf = w_in.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    w_suf_x = w_in.rowsBetween(1, Window.unboundedFollowing)
+    rcols = [f"_scan_r{i}" for i in range(len(running))]
+    d = df.withColumn(_BK, bucket)
+    for rc, r in zip(rcols, running):
+        d = d.withColumn(rc, r.expr)
+    d = d.repartition(*part)
 
-    # ---- summary per (key, bucket): first/last rows and bucket totals ----
+    # ---- summary per (key, bucket), from the same exchange -----------------
     aggs = []
     if prev:
         aggs.append(F.max(F.struct(*[F.col(c) for c in _fields(order, prev)])).alias("_last"))
     if next_:
         aggs.append(F.min(F.struct(*[F.col(c) for c in _fields(order, next_)])).alias("_first"))
-    for i, r in enumerate(running):
-        aggs.append(_agg(r.agg, r.expr).alias(f"_tot{i}"))
+    for rc, r in zip(rcols, running):
+        aggs.append(_agg(r.agg, F.col(rc)).alias(rc))
     summary = d.groupBy(*part).agg(*aggs)
 
     # ---- carry across buckets (one row per non-empty bucket) -------------
     w_k = Window.partitionBy(*keys).orderBy(_BK) if keys else Window.orderBy(_BK)
     carry_cols = [F.col(k) for k in part]
     if prev:
-        carry_cols.append(F.lag("_last").over(w_k).alias("_carry_prev"))
+        carry_cols.append(F.lag("_last").over(w_k).alias("_cp"))
     if next_:
-        carry_cols.append(F.lead("_first").over(w_k).alias("_carry_next"))
-    for i, r in enumerate(running):
+        carry_cols.append(F.lead("_first").over(w_k).alias("_cn"))
+    for rc, r in zip(rcols, running):
         frame = (w_k.rowsBetween(Window.unboundedPreceding, -1) if r.direction == "prefix"
                  else w_k.rowsBetween(1, Window.unboundedFollowing))
-        carry_cols.append(_agg(r.agg, F.col(f"_tot{i}")).over(frame).alias(f"_carry{i}"))
+        carry_cols.append(_agg(r.agg, F.col(rc)).over(frame).alias(rc))
     carry = summary.select(*carry_cols)
 
-    # ---- join back on (key, bucket); null keys joined null-safely --------
-    c = carry.alias("_c")
-    dd = d.alias("_d")
-    cond = [F.col(f"_d.{k}").eqNullSafe(F.col(f"_c.{k}")) for k in part]
-    joined = dd.join(c, cond, "inner").select(
-        "_d.*", *[F.col(f"_c.{x}") for x in carry.columns if x not in part])
-
-    # ---- local windows, then combine with the carry -----------------------
-    out = joined
-    if prev:
-        first_in_bucket = F.lag(F.lit(1)).over(w_in).isNull()
-        for col_name in prev:
-            out = out.withColumn(prefix_prev + col_name,
-                                 F.when(first_in_bucket, F.col(f"_carry_prev.{col_name}"))
-                                 .otherwise(F.lag(col_name).over(w_in)))
-    if next_:
-        last_in_bucket = F.lead(F.lit(1)).over(w_in).isNull()
-        for col_name in next_:
-            out = out.withColumn(prefix_next + col_name,
-                                 F.when(last_in_bucket, F.col(f"_carry_next.{col_name}"))
-                                 .otherwise(F.lead(col_name).over(w_in)))
-    for i, r in enumerate(running):
-        frame = {("prefix", True): w_pre, ("prefix", False): w_pre_x,
-                 ("suffix", True): w_suf, ("suffix", False): w_suf_x}[(r.direction, r.inclusive)]
-        local = _agg(r.agg, r.expr).over(frame)
-        out = out.withColumn(r.name, _combine(r.agg, local, F.col(f"_carry{i}")))
-    drop = [x for x in carry.columns if x not in part] + [_BK]
-    return out.drop(*drop)
+    schema = {f.name: f.dataType for f in d.schema.fields}
+    data_cols = [c for c in d.columns]
+
+    def carry_rows(rowtype: int, struct_col: str | None, fields: list[str], direction: str):
+        cols = []
+        for c in data_cols:
+            if c in part:
+                cols.append(F.col(c))
+            elif c in rcols:
+                r = running[rcols.index(c)]
+                cols.append(F.col(c) if r.direction == direction
+                            else F.lit(None).cast(schema[c]).alias(c))
+            elif struct_col is not None and c in fields:
+                cols.append(F.col(f"{struct_col}.{c}").cast(schema[c]).alias(c))
+            else:
+                cols.append(F.lit(None).cast(schema[c]).alias(c))
+        # same hash partitioning as the data side, so the union stays clustered
+        return carry.select(*cols, F.lit(rowtype).alias(_RT)).repartition(*part)
+
+    pieces = [d.withColumn(_RT, F.lit(1))]
+    if prev or any(r.direction == "prefix" for r in running):
+        pieces.append(carry_rows(0, "_cp" if prev else None, _fields(order, prev), "prefix"))
+    if next_ or any(r.direction == "suffix" for r in running):
+        pieces.append(carry_rows(2, "_cn" if next_ else None, _fields(order, next_), "suffix"))
+    u = pieces[0]
+    for p in pieces[1:]:
+        u = u.unionByName(p)
+
+    # ---- one window per (key, bucket) over head + data + tail -------------
+    w = Window.partitionBy(*part).orderBy(F.col(_RT), *[F.col(c) for c in order])
+    frames = {("prefix", True): w.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+              ("prefix", False): w.rowsBetween(Window.unboundedPreceding, -1),
+              ("suffix", True): w.rowsBetween(Window.currentRow, Window.unboundedFollowing),
+              ("suffix", False): w.rowsBetween(1, Window.unboundedFollowing)}
+    out_cols = [F.col(c) for c in df.columns]
+    out_cols += [F.lag(c).over(w).alias(prefix_prev + c) for c in prev]
+    out_cols += [F.lead(c).over(w).alias(prefix_next + c) for c in next_]
+    for rc, r in zip(rcols, running):
+        out_cols.append(_agg(r.agg, F.col(rc)).over(frames[(r.direction, r.inclusive)]).alias(r.name))
+    return u.select(*out_cols, F.col(_RT)).filter(F.col(_RT) == 1).drop(_RT)
 
 
 def time_bucket(ts_us: Column, width_us: int) -> Column:
