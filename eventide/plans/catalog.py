@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.text import drop_static_assets, exclude, only
 from eventide.functions.time import ntz_literal
+from eventide.session import use_utc
 from eventide.operators import caps, late, patterns, reconcile, topn, uniques, windows
 from eventide.sources import files, testdata as td
 
@@ -244,7 +245,16 @@ def tx_unmatched(spark, sf):
     return _flat_reconciled(_reconciled(spark, sf).filter(F.col("tag") == "UNMATCHED"))
 
 
-QUERIES: dict[str, Query] = {
+def _pinned(q: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        use_utc(spark)
+        return q(spark, sf)
+    run.__name__ = q.__name__
+    run.__doc__ = q.__doc__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "parse_behavior": parse_behavior,
     "access_log_parse": access_log_parse,
     "static_filter": static_filter,
@@ -276,3 +286,5 @@ QUERIES: dict[str, Query] = {
     "tx_matched": tx_matched,
     "tx_unmatched": tx_unmatched,
 }
+
+QUERIES: dict[str, Query] = {k: _pinned(v) for k, v in _QUERIES.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     On a cluster leave ``master`` unset and size ``shuffle_partitions`` to the
     data (roughly input bytes / 128 MB); AQE coalesces small ones.
     """
+    _export_package_path()
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -43,24 +45,50 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _export_package_path() -> None:
+    """Let local Python workers import this package (stateful processors run there).
+
+    On a cluster ship the package with ``--py-files`` (or ``ship_package``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root] + paths)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip the package and add it to the session, so executors can import it."""
+    import shutil
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="eventide-pkg-"), "eventide")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "eventide"))
+
+
+def use_utc(spark: SparkSession) -> SparkSession:
+    """Pin the session clock to UTC: event times are UTC instants stored as NTZ."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and streaming state.
 
-    Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    file system there).  Only when it is unset, as in local tests, a fresh
-    scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session (on a cluster it names a
+    shared file system).  Only when it is unset, as in local tests, a fresh
+    scratch folder is created and registered as the context's checkpoint dir.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        current = sc._jsc.sc().getCheckpointDir()
+        root = current.get() if current.isDefined() else None
     if not root:
         root = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    sc.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint root, for written intermediate tables or stream state."""
-    root = checkpoint_root(spark)
-    sub = tempfile.mkdtemp(prefix=f"{name}-", dir=root) if os.path.isdir(root) else f"{root}/{name}"
-    return sub
+    """A fresh sub-folder name under the checkpoint root (written tables, stream state)."""
+    root = checkpoint_root(spark).rstrip("/")
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"

@@ -50,13 +50,27 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The events table as a stream: parquet files arriving in folder ``path``."""
+    r = spark.readStream.schema(EVENTS_DDL)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(path)
+
+
 def _k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
 def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, item_id, category_id, behavior, ts, seq."""
-    e = events(spark, sf_dir)
+    return user_behavior_from(events(spark, sf_dir))
+
+
+def user_behavior_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
     return e.select(
         "user_id",
         _k().alias("item_id"),
@@ -64,6 +78,7 @@ def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "view", F.lit("pv")).otherwise(F.col("event_type")).alias("behavior"),
         "ts",
         F.col("event_id").alias("seq"),
+        *keep,
     )
 
 
@@ -100,14 +115,19 @@ def late_arrival_seq() -> F.Column:
 
 def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, ad_id, province, city, ts, seq (click events only)."""
-    e = events(spark, sf_dir).filter(F.col("event_type") == "click")
+    return ad_clicks_from(spark, sf_dir, events(spark, sf_dir))
+
+
+def ad_clicks_from(spark: SparkSession, sf_dir: str, e: DataFrame, keep: tuple = ()) -> DataFrame:
+    e = e.filter(F.col("event_type") == "click")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # nation has a fixed 25 rows in every scale: a proven broadcast bound.
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     return (e.join(cust, e.user_id == cust.c_custkey, "inner")
              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
              .select("user_id", (_k() % 3).alias("ad_id"), F.col("n_name").alias("province"),
-                     F.col("c_mktsegment").alias("city"), "ts", F.col("event_id").alias("seq")))
+                     F.col("c_mktsegment").alias("city"), "ts", F.col("event_id").alias("seq"),
+                     *keep))
 
 
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,28 +146,39 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, ip, event_type (fail/success), ts, seq."""
-    e = events(spark, sf_dir)
+    return logins_from(events(spark, sf_dir))
+
+
+def logins_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
     ip = F.concat_ws(".", F.lit("10"), F.lit("1"), (_k() % 256).cast("string"),
                      (F.col("user_id") % 256).cast("string"))
     return e.select("user_id", ip.alias("ip"),
                     F.when(F.col("event_type") == "error", F.lit("fail"))
                     .otherwise(F.lit("success")).alias("event_type"),
-                    "ts", F.col("event_id").alias("seq"))
+                    "ts", F.col("event_id").alias("seq"), *keep)
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order_id, event_type (create/pay), tx_id, ts, seq."""
-    e = events(spark, sf_dir).filter(F.col("event_type").isin("signup", "purchase"))
+    return order_events_from(events(spark, sf_dir))
+
+
+def order_events_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
+    e = e.filter(F.col("event_type").isin("signup", "purchase"))
     is_pay = F.col("event_type") == "purchase"
     return e.select(F.col("user_id").alias("order_id"),
                     F.when(is_pay, F.lit("pay")).otherwise(F.lit("create")).alias("event_type"),
                     F.when(is_pay, F.col("user_id").cast("string")).otherwise(F.lit("")).alias("tx_id"),
-                    "ts", F.col("event_id").alias("seq"))
+                    "ts", F.col("event_id").alias("seq"), *keep)
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tx_id, pay_channel, ts, seq (view events)."""
-    e = events(spark, sf_dir).filter(F.col("event_type") == "view")
+    return receipts_from(events(spark, sf_dir))
+
+
+def receipts_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
+    e = e.filter(F.col("event_type") == "view")
     chan = F.element_at(F.array(*[F.lit(c) for c in PAY_CHANNELS]), (_k() % 2 + 1).cast("int"))
     return e.select(F.col("user_id").cast("string").alias("tx_id"), chan.alias("pay_channel"),
-                    "ts", F.col("event_id").alias("seq"))
+                    "ts", F.col("event_id").alias("seq"), *keep)
