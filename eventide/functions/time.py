@@ -33,13 +33,31 @@ def as_ntz(c) -> Column:
     return _c(c).cast("timestamp_ntz")
 
 
+_FIXED_UTC = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Etc/Universal", "Universal", "Zulu"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    return s is not None and s.conf.get("spark.sql.session.timeZone", "") in _FIXED_UTC
+
+
 def micros(ts) -> Column:
-    """Epoch microseconds of an NTZ timestamp (UTC reading)."""
+    """Epoch microseconds of an NTZ timestamp (UTC reading).
+
+    With a UTC session clock the NTZ -> timestamp cast is the identity, so the
+    cheap ``unix_micros(cast)`` is exact; otherwise the zone-free
+    ``timestamp_diff`` (slower per row) is used.
+    """
+    if _session_is_utc():
+        return F.unix_micros(_c(ts).cast("timestamp"))
     return F.timestamp_diff("MICROSECOND", epoch(), _c(ts))
 
 
 def from_micros(us) -> Column:
-    """NTZ timestamp from epoch microseconds."""
+    """NTZ timestamp from epoch microseconds (see ``micros`` for the two paths)."""
+    if _session_is_utc():
+        return F.timestamp_micros(_c(us)).cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", _c(us), epoch())
 
 

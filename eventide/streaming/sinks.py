@@ -96,25 +96,23 @@ def read_upserted(spark: SparkSession, path: str) -> DataFrame:
 
 def changelog_batch(state_path: str, compute: Callable[[DataFrame], DataFrame],
                     out_path: str) -> Callable:
-    """O-06 in a stream: after each batch, recompute the result and append its changelog.
+    """O-06 in a stream: after each batch, recompute the result and write its changelog.
 
-    ``compute`` turns the accumulated input (kept as a parquet table under
-    ``state_path``) into the current result; the add/retract rows between the
-    previous and the current result are appended to ``out_path`` with the
-    batch id.
+    The batch input is kept under ``state_path/input/batch=<id>``; ``compute``
+    turns all input up to this batch into the current result; the add/retract
+    rows against the previous batch's result go to ``out_path/batch=<id>``.
+    Every write overwrites its batch folder, so a retried batch is idempotent.
     """
     from eventide.operators.topn import changelog
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("append").parquet(f"{state_path}/input")
-        acc = spark.read.parquet(f"{state_path}/input")
+        batch.write.mode("overwrite").parquet(f"{state_path}/input/batch={batch_id}")
+        acc = spark.read.parquet(f"{state_path}/input").filter(F.col("batch") <= batch_id).drop("batch")
         curr = compute(acc)
-        prev_path = f"{state_path}/result"
-        gens = sorted(_list_generations(spark, prev_path))
-        prev = spark.read.parquet(gens[-1]) if gens else curr.limit(0)
-        changelog(prev, curr).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(out_path)
-        curr.write.mode("overwrite").parquet(f"{prev_path}/gen={batch_id:012d}")
+        prev = (spark.read.parquet(f"{state_path}/result/batch={batch_id - 1}") if batch_id > 0
+                else curr.limit(0))
+        changelog(prev, curr).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        curr.write.mode("overwrite").parquet(f"{state_path}/result/batch={batch_id}")
 
     return write
