@@ -168,7 +168,7 @@ def order_status(orders: DataFrame, timeout, inclusive: bool = False, key: str =
 
 
 def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail: str = "fail",
-                   carry_width=HOUR_US) -> DataFrame:
+                   carry_width=HOUR_US, fold_limit: int = 4096) -> DataFrame:
     """O-37: bursts of at least ``n`` failures within ``within`` of the first (C5).
 
     The first failure anchors a burst; failures up to ``anchor + within``
@@ -179,9 +179,12 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
     ``within`` earlier, always anchors (the previous burst had closed), so the
     failures split into *clusters* of runs with every gap <= ``within``.
     Clusters are found by keyed scans; only inside a cluster is the greedy
-    anchoring sequential, and that fold runs JVM-side over the cluster's
-    sorted failures.  The event after the cluster decides the last burst.
-    Output: key, first_fail_ts, last_fail_ts, fail_times, warn_msg.
+    anchoring sequential.  Clusters of at most ``fold_limit`` failures are
+    folded JVM-side over their sorted failures (one bounded group each);
+    larger ones -- a bot failing faster than ``within`` for hours -- go
+    through ``_anchor_chains``, an exact distributed pointer-doubling that
+    never gathers a cluster.  The event after the cluster decides its last
+    burst.  Output: key, first_fail_ts, last_fail_ts, fail_times, warn_msg.
     """
     w_us = us(within)
     bucket = time_bucket(micros("ts"), us(carry_width))
@@ -194,11 +197,32 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
     head = F.when(F.col("_new"), F.struct(F.col("ts").alias("ts"), F.col("seq").alias("seq")))
     cl = keyed_scan(fails, [key], ["ts", "seq"], bucket,
                     running=[Running("_head", head, "max", "prefix", True)])
-    groups = cl.groupBy(key, "_head").agg(
-        F.array_sort(F.collect_list(F.struct(micros("ts").alias("us"), F.col("ts").alias("ts"),
-                                             F.col("seq").alias("seq")))).alias("_xs"),
+    # one row per cluster: size and the event right after its last failure
+    info = cl.groupBy(key, "_head").agg(
+        F.count(F.lit(1)).alias("_size"),
         F.max_by(F.struct(F.col("next_event_type").alias("t"), F.col("next_ts").alias("ts")),
                  F.struct("ts", "seq")).alias("_after"))
+    clx = cl.select(key, "_head", "ts", "seq").join(info, [key, "_head"])
+    small = clx.filter(F.col("_size") <= fold_limit)
+    large = clx.filter(F.col("_size") > fold_limit)
+    bursts = _bursts_by_fold(small, key, n, w_us, fail)
+    if large.limit(1).count() > 0:
+        bursts = bursts.unionByName(_bursts_by_chains(large, key, n, w_us, fail, carry_width))
+    return bursts.select(key, "first_fail_ts", "last_fail_ts", "fail_times",
+                         _fmt(BURST_MSG, secs=F.lit(_secs_text(w_us)), n=F.col("fail_times")).alias("warn_msg"))
+
+
+def _discard(after, anchor_us, w_us: int, fail: str):
+    """A success right after the cluster, within the last burst's span, discards it."""
+    return F.coalesce((after["t"] != fail) & (micros(after["ts"]) <= anchor_us + F.lit(w_us)), F.lit(False))
+
+
+def _bursts_by_fold(clx: DataFrame, key: str, n: int, w_us: int, fail: str) -> DataFrame:
+    """Greedy anchoring folded over each (bounded) cluster's sorted failures."""
+    groups = clx.groupBy(key, "_head").agg(
+        F.array_sort(F.collect_list(F.struct(micros("ts").alias("us"), F.col("ts").alias("ts"),
+                                             F.col("seq").alias("seq")))).alias("_xs"),
+        F.first("_after").alias("_after"))
     burst_t = "struct<first_ts:timestamp_ntz,last_ts:timestamp_ntz,n:bigint>"
     init = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.lit(0).cast("bigint").alias("n"),
                     F.lit(None).cast("timestamp_ntz").alias("f"),
@@ -218,15 +242,66 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
                         F.coalesce(closed, acc["out"]).alias("out"))
 
     def finish(acc):
-        after = F.col("_after")
-        discard = F.coalesce((after["t"] != fail)
-                             & (micros(after["ts"]) <= acc["anchor"] + F.lit(w_us)), F.lit(False))
         last = F.array(F.struct(acc["f"].alias("first_ts"), acc["l"].alias("last_ts"),
                                 acc["n"].alias("n")))
-        return F.when((acc["n"] >= n) & ~discard, F.concat(acc["out"], last)).otherwise(acc["out"])
+        keep = (acc["n"] >= n) & ~_discard(F.col("_after"), acc["anchor"], w_us, fail)
+        return F.when(keep, F.concat(acc["out"], last)).otherwise(acc["out"])
 
     bursts = groups.select(key, F.explode(F.aggregate("_xs", init, step, finish)).alias("_b"))
     return bursts.select(key, F.col("_b.first_ts").alias("first_fail_ts"),
-                         F.col("_b.last_ts").alias("last_fail_ts"),
-                         F.col("_b.n").alias("fail_times"),
-                         _fmt(BURST_MSG, secs=F.lit(_secs_text(w_us)), n=F.col("_b.n")).alias("warn_msg"))
+                         F.col("_b.last_ts").alias("last_fail_ts"), F.col("_b.n").alias("fail_times"))
+
+
+def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
+                      carry_width) -> DataFrame:
+    """Greedy anchoring of large clusters without gathering them.
+
+    ``next(f)`` = first failure after ``f.ts + within`` is a suffix minimum of
+    a keyed scan over failures plus one probe row per failure.  The anchors
+    are the chain head, next(head), next(next(head)), ...  Jump tables
+    ``J_k = next^(2^k)`` are built by self-joins (log2 of the longest chain
+    rounds), then the chain is enumerated from the head level by level.
+    Every intermediate is checkpointed to the shared checkpoint folder.
+    """
+    from eventide.session import checkpoint_root
+    spark = clx.sparkSession
+    checkpoint_root(spark)
+    ck = [key, "_head"]
+    fl = clx.select(*ck, micros("ts").alias("us"), "ts", "seq", "_after")
+    node = F.struct(F.col("us").alias("us"), F.col("seq").alias("seq"))
+    probes = fl.select(*ck, (F.col("us") + F.lit(w_us)).alias("us"), F.lit(1).alias("kind"), "seq")
+    u = fl.select(*ck, "us", F.lit(0).alias("kind"), "seq").unionByName(probes)
+    nxt = F.when(F.col("kind") == 0, node)
+    sc = keyed_scan(u, ck, ["us", "kind", "seq"], time_bucket(F.col("us"), us(carry_width)),
+                    running=[Running("_nx", nxt, "min", "suffix", inclusive=False)])
+    jump = sc.filter(F.col("kind") == 1).select(
+        *ck, F.struct((F.col("us") - F.lit(w_us)).alias("us"), F.col("seq").alias("seq")).alias("node"),
+        F.col("_nx").alias("jump")).checkpoint()
+    levels = []
+    while jump.filter(F.col("jump").isNotNull()).limit(1).count() > 0:
+        levels.append(jump)
+        a, b = jump.alias("a"), jump.alias("b")
+        cond = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._head") == F.col("b._head")) \
+            & (F.col("a.jump") == F.col("b.node"))
+        jump = a.join(b, cond, "left").select(*[F.col(f"a.{c}") for c in ck], F.col("a.node"),
+                                              F.col("b.jump").alias("jump")).checkpoint()
+    heads = fl.select(*ck).distinct().select(
+        *ck, F.struct(micros(F.col("_head.ts")).alias("us"), F.col("_head.seq").alias("seq")).alias("node"))
+    anchors = heads.checkpoint()
+    for lv in reversed(levels):
+        step = anchors.alias("f").join(lv.alias("j"), [*ck, "node"]).filter(F.col("j.jump").isNotNull()) \
+            .select(*ck, F.col("j.jump").alias("node"))
+        anchors = anchors.unionByName(step).checkpoint()
+    flagged = fl.join(anchors.select(*ck, F.col("node.us").alias("us"), F.col("node.seq").alias("seq"),
+                                     F.lit(True).alias("_is_anchor")), [*ck, "us", "seq"], "left")
+    mark = F.when(F.col("_is_anchor"), F.struct(F.col("us").alias("us"), F.col("ts").alias("ts")))
+    owned = keyed_scan(flagged, ck, ["us", "seq"], time_bucket(F.col("us"), us(carry_width)),
+                       running=[Running("_anchor", mark, "max", "prefix", True)])
+    bursts = owned.groupBy(*ck, F.col("_anchor.us").alias("_a")).agg(
+        F.count(F.lit(1)).alias("fail_times"), F.min("ts").alias("first_fail_ts"),
+        F.max("ts").alias("last_fail_ts"), F.first("_after").alias("_after"))
+    last = bursts.groupBy(*ck).agg(F.max("_a").alias("_last_a"))
+    b = bursts.join(last, ck)
+    drop = (F.col("_a") == F.col("_last_a")) & _discard(F.col("_after"), F.col("_a"), w_us, fail)
+    return b.filter((F.col("fail_times") >= n) & ~drop).select(
+        key, "first_fail_ts", "last_fail_ts", F.col("fail_times").cast("bigint").alias("fail_times"))

@@ -34,8 +34,12 @@ def test_strict_pattern_test_log(read_fixture):
     assert msg == "login fail LoginEvent(1035,83.149.9.216,fail,1558430842)"
 
 
-def test_failure_bursts_test_log(read_fixture):
-    out = patterns.failure_bursts(_logins(read_fixture, "LoginLogTest.csv"), 2, 2 * S)
+import pytest
+
+
+@pytest.mark.parametrize("fold_limit", [4096, 0])
+def test_failure_bursts_test_log(read_fixture, fold_limit):
+    out = patterns.failure_bursts(_logins(read_fixture, "LoginLogTest.csv"), 2, 2 * S, fold_limit=fold_limit)
     got = sorted((r.user_id, int(r.first_fail_ts.replace(tzinfo=dt.timezone.utc).timestamp()) - 1558430000,
                   int(r.last_fail_ts.replace(tzinfo=dt.timezone.utc).timestamp()) - 1558430000, r.fail_times)
                  for r in out.collect())
