@@ -21,7 +21,8 @@ from eventide.operators.topn import topn_per_window
 from eventide.sources import testdata as td
 from eventide.streaming.event_time import with_event_time
 from eventide.streaming.processors import (FailureBurstsMachine, FailurePairsMachine,
-                                           OrderStatusMachine, RateCapMachine, run_ordered)
+                                           FunnelMachine, OrderStatusMachine, RateCapMachine,
+                                           ReconcileMachine, run_ordered)
 
 EV = ("ts_us", "event_time")
 DAY_US = 86_400_000_000
@@ -88,6 +89,32 @@ def stream_order_status(events: DataFrame, timeout_us: int, keep_us: int = 7 * D
     return _us_to_ts(out, {"create_us": "create_ts", "pay_us": "pay_ts"})
 
 
+def stream_order_funnel(events: DataFrame, within_us: int) -> DataFrame:
+    """O-35 / O-35b S: create followed by pay within the bound; time-outs by event-time timer."""
+    ev = with_event_time(events, "ts", "0 seconds")
+    od = _ordered_input(td.order_events_from(ev, keep=EV),
+                        F.when(F.col("event_type") == "create", F.lit(0)).otherwise(F.lit(1)))
+    out = run_ordered(od, ["order_id"], FunnelMachine(within_us), ["event_type", "ts_us", "tie", "seq"],
+                      "event_type string, ts_us long, tie int, seq long")
+    return _us_to_ts(out, {"create_us": "create_ts", "pay_us": "pay_ts", "timeout_us": "timeout_ts"})
+
+
+def stream_reconcile(events: DataFrame, wait_pay_us: int, wait_receipt_us: int) -> DataFrame:
+    """O-41 / O-42 S: pays and receipts merged per transaction, matched one to one."""
+    ev = with_event_time(events, "ts", "0 seconds")
+    pays = td.order_events_from(ev, keep=EV).filter(F.col("event_type") == "pay") \
+        .select("tx_id", "order_id", F.lit(None).cast("string").alias("pay_channel"),
+                "ts_us", F.lit(0).alias("tie"), "seq", "event_time")
+    rec = td.receipts_from(ev, keep=EV).select(
+        "tx_id", F.lit(None).cast("bigint").alias("order_id"), "pay_channel", "ts_us",
+        F.lit(1).alias("tie"), "seq", "event_time")
+    both = pays.unionByName(rec)
+    out = run_ordered(both, ["tx_id"], ReconcileMachine(wait_pay_us, wait_receipt_us),
+                      ["order_id", "pay_channel", "ts_us", "tie", "seq"],
+                      "order_id long, pay_channel string, ts_us long, tie int, seq long")
+    return _us_to_ts(out, {"pay_us": "pay_ts", "receipt_us": "receipt_ts"})
+
+
 def stream_login_pairs(events: DataFrame, within_us: int) -> DataFrame:
     """O-38 S: consecutive failure pairs per user."""
     ev = with_event_time(events, "ts", "0 seconds")

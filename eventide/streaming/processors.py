@@ -213,6 +213,89 @@ def _names(ddl: str) -> list[str]:
     return [f.strip().split(" ")[0] for f in ddl.split(",")]
 
 
+class FunnelMachine(Machine):
+    """O-35 / O-35b: each create is matched with the first pay after it within
+    ``within`` (strict); a create times out once the watermark passes
+    ``create + within`` without a pay.  One pay may serve several creates (C12)."""
+
+    state_ddl = "pending array<long>"
+    out_ddl = "order_id long, tag string, create_us long, pay_us long, timeout_us long"
+
+    def __init__(self, within_us: int):
+        self.w = within_us
+
+    def initial(self):
+        return {"pending": []}
+
+    def step(self, key, st, row):
+        pend = list(st["pending"] or [])
+        if row.event_type == "create":
+            st["pending"] = pend + [row.ts_us]
+            return []
+        out = [(key[0], "PAY", c, row.ts_us, None) for c in pend if row.ts_us - c < self.w]
+        out += [(key[0], "TIMEOUT", c, None, c + self.w) for c in pend if row.ts_us - c >= self.w]
+        st["pending"] = []
+        return out
+
+    def expire(self, key, st, wm_us):
+        pend = list(st["pending"] or [])
+        done = [c for c in pend if wm_us >= c + self.w]
+        st["pending"] = [c for c in pend if wm_us < c + self.w]
+        return [(key[0], "TIMEOUT", c, None, c + self.w) for c in done]
+
+    def deadline(self, st):
+        pend = st["pending"] or []
+        return min(pend) + self.w if pend else None
+
+
+class ReconcileMachine(Machine):
+    """O-41 / O-42 (contract C7): one pending row per key; the next row of the
+    other side within the pending row's patience pairs with it, a row of the
+    same side overwrites it (the overwritten row is unmatched)."""
+
+    state_ddl = "side int, ts_us long, seq long, order_id long, pay_channel string"
+    out_ddl = ("tx_id string, tag string, order_id long, pay_us long, pay_seq long, "
+               "pay_channel string, receipt_us long, receipt_seq long")
+
+    def __init__(self, wait_left_us: int, wait_right_us: int):
+        self.wait = {0: wait_left_us, 1: wait_right_us}
+
+    def initial(self):
+        return {"side": None, "ts_us": None, "seq": None, "order_id": None, "pay_channel": None}
+
+    @staticmethod
+    def _row(key, tag, p, r):
+        return (key[0], tag, p and p["order_id"], p and p["ts_us"], p and p["seq"],
+                r and r["pay_channel"], r and r["ts_us"], r and r["seq"])
+
+    def _unmatched(self, key, st):
+        pend = dict(st)
+        return self._row(key, "UNMATCHED", pend if pend["side"] == 0 else None,
+                         pend if pend["side"] == 1 else None)
+
+    def step(self, key, st, row):
+        cur = {"side": row.tie, "ts_us": row.ts_us, "seq": row.seq,
+               "order_id": row.order_id, "pay_channel": row.pay_channel}
+        if st["side"] is not None and st["side"] != cur["side"] \
+                and cur["ts_us"] - st["ts_us"] <= self.wait[st["side"]]:
+            p, r = (dict(st), cur) if st["side"] == 0 else (cur, dict(st))
+            st.update(self.initial())
+            return [self._row(key, "MATCH", p, r)]
+        out = [self._unmatched(key, st)] if st["side"] is not None else []
+        st.update(cur)
+        return out
+
+    def expire(self, key, st, wm_us):
+        if st["side"] is not None and wm_us > st["ts_us"] + self.wait[st["side"]]:
+            out = [self._unmatched(key, st)]
+            st.update(self.initial())
+            return out
+        return []
+
+    def deadline(self, st):
+        return None if st["side"] is None else st["ts_us"] + self.wait[st["side"]] + 1
+
+
 class OrderedKeyProcessor(StatefulProcessor):
     """Buffer rows per key, work them off in event-time order when the watermark passes."""
 
@@ -257,7 +340,7 @@ class OrderedKeyProcessor(StatefulProcessor):
         dl = m.deadline(st)
         if dl is not None:
             self.handle.registerTimer(dl // US_PER_MS + 1)
-        if dl is None and not rest and all(v in (None, 0) for v in st.values()):
+        if dl is None and not rest and all(v in (None, 0, []) for v in st.values()):
             self.st.clear()
         else:
             self.st.update(Row(**{f: st[f] for f in self.state_fields}))

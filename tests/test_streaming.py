@@ -41,9 +41,9 @@ def _run(spark, name, df, mode="append"):
     out = spark.table(name)
     for key in ("user_id", "order_id"):
         if key in out.columns:
-            out = out.filter(F.col(key) != -1)
+            out = out.filter(~F.col(key).eqNullSafe(-1))
     if "tx_id" in out.columns:
-        out = out.filter(F.col("tx_id") != "-1")
+        out = out.filter(~F.col("tx_id").eqNullSafe("-1"))
     if "window_end" in out.columns:
         out = out.filter(F.year("window_end") < 2029)
     return out
@@ -71,6 +71,20 @@ def test_stream_order_status(spark, src):
     assert _same(s, C.order_status(spark, SF), ["order_id", "status", "tag", "create_ts", "pay_ts", "msg"])
 
 
+def test_stream_order_funnel(spark, src):
+    s = _run(spark, "t_funnel", jobs.stream_order_funnel(td.events_stream(spark, src), 24 * H_US))
+    assert _same(s.filter(F.col("tag") == "PAY"), C.order_paid(spark, SF), ["order_id", "create_ts", "pay_ts"])
+    assert _same(s.filter(F.col("tag") == "TIMEOUT"), C.order_timeouts(spark, SF),
+                 ["order_id", "create_ts", "timeout_ts"])
+
+
+def test_stream_reconcile(spark, src):
+    s = _run(spark, "t_rec", jobs.stream_reconcile(td.events_stream(spark, src), 5 * H_US, 3 * H_US))
+    cols = ["tx_id", "order_id", "pay_ts", "pay_seq", "pay_channel", "receipt_ts", "receipt_seq"]
+    assert _same(s.filter(F.col("tag") == "MATCH"), C.tx_matched(spark, SF), cols)
+    assert _same(s.filter(F.col("tag") == "UNMATCHED"), C.tx_unmatched(spark, SF), cols)
+
+
 def test_stream_ad_cap(spark, src):
     s = _run(spark, "t_cap", jobs.stream_ad_cap(spark, SF, td.events_stream(spark, src), C.AD_CAP))
     passed = s.filter(F.col("tag") == "PASS")
