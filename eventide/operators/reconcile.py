@@ -14,7 +14,8 @@ HOUR_US = 3_600_000_000
 
 def interval_join(left: DataFrame, right: DataFrame, keys: list[str], lower, upper,
                   how: str = "inner", inclusive: bool = True, lts: str = "ts",
-                  rts: str = "ts", bucket_width=None) -> DataFrame:
+                  rts: str = "ts", bucket_width=None, left_id: list[str] | None = None,
+                  right_id: list[str] | None = None) -> DataFrame:
     """O-40: join rows with equal keys where ``right.ts - left.ts`` is in ``[lower, upper]``.
 
     A plain equi-join on the key would pair every left row with every right
@@ -24,6 +25,11 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], lower, upp
     key is ``(key, bucket)`` and candidate pairs stay proportional to the
     matches.  Columns other than the keys must not clash between sides
     (rename first); result: keys, left columns, right columns.
+
+    ``how`` = ``left`` / ``right`` / ``full`` adds the rows of that side
+    without any match (other side null): matched rows are removed from the
+    side by an anti-join on ``left_id`` / ``right_id`` (columns identifying a
+    row; all its columns by default), never by pairing all rows of a key.
     """
     lo, hi = us(lower), us(upper)
     width = us(bucket_width) if bucket_width is not None else max(hi - lo, 1)
@@ -41,12 +47,37 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], lower, upp
     cond_all = cond[0]
     for c in cond[1:]:
         cond_all = cond_all & c
-    if how != "inner":
-        raise ValueError("only inner interval joins are bucketed; use reconcile for outer matching")
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unsupported join type {how!r}")
     j = la.join(ra, cond_all, "inner")
     lcols = [F.col(f"_l.{c}") for c in left.columns]
     rcols = [F.col(f"_r.{c}") for c in right.columns if c not in keys]
-    return j.select(*lcols, *rcols)
+    inner = j.select(*lcols, *rcols)
+    if how == "inner":
+        return inner
+    out = inner
+    rschema = {f.name: f.dataType for f in right.schema.fields}
+    lschema = {f.name: f.dataType for f in left.schema.fields}
+    if how in ("left", "full"):
+        lone = _unmatched(left, inner, left_id or list(left.columns))
+        out = out.unionByName(lone.select(*left.columns, *[F.lit(None).cast(rschema[c]).alias(c)
+                                                           for c in right.columns if c not in keys]))
+    if how in ("right", "full"):
+        rone = _unmatched(right, inner, right_id or list(right.columns))
+        out = out.unionByName(rone.select(*[F.lit(None).cast(lschema[c]).alias(c) if c not in keys
+                                            else F.col(c) for c in left.columns],
+                                          *[c for c in right.columns if c not in keys]))
+    return out
+
+
+def _unmatched(side: DataFrame, inner: DataFrame, ids: list[str]) -> DataFrame:
+    """Rows of ``side`` whose identity ``ids`` is absent from the matches (null-safe)."""
+    s, m = side.alias("_s"), inner.select(*ids).distinct().alias("_m")
+    cond = None
+    for c in ids:
+        e = F.col(f"_s.{c}").eqNullSafe(F.col(f"_m.{c}"))
+        cond = e if cond is None else cond & e
+    return s.join(m, cond, "left_anti").select("_s.*")
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, wait_left, wait_right,

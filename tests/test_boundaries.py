@@ -129,3 +129,22 @@ def test_access_log_zone(spark):
     lines = spark.createDataFrame([("1.1.1.1 7 - 01/01/2024:08:00:00 +0800 GET /a",)], "value string")
     assert files.parse_access_log(lines).first().ts == _t(8 * 3600)
     assert files.parse_access_log(lines, honour_zone=True).first().ts == _t(0)
+
+
+def test_outer_interval_join_equals_brute_force(spark):
+    p, r = _tx(spark, [("a", 10), ("a", 30), ("b", 10), ("c", 50)],
+               [("a", 12), ("a", 9), ("b", 40), ("d", 1)])
+    lp = p.withColumnRenamed("ts", "pay_ts").withColumnRenamed("seq", "pseq")
+    rr = r.withColumnRenamed("ts", "receipt_ts").withColumnRenamed("seq", "rseq")
+    gap = F.unix_timestamp(F.col("receipt_ts").cast("timestamp")) - F.unix_timestamp(F.col("pay_ts").cast("timestamp"))
+    brute = lp.join(rr.withColumnRenamed("tx_id", "rtx"),
+                    (F.col("tx_id") == F.col("rtx")) & gap.between(-3, 5), "full")
+    brute = brute.select(F.coalesce("tx_id", "rtx").alias("tx_id"), "order_id", "pay_ts", "pseq",
+                         "pay_channel", "receipt_ts", "rseq")
+    got = reconcile.interval_join(lp, rr, ["tx_id"], -3 * S, 5 * S, how="full",
+                                  lts="pay_ts", rts="receipt_ts")
+    cols = ["tx_id", "order_id", "pay_ts", "pseq", "pay_channel", "receipt_ts", "rseq"]
+    assert sorted(got.select(*cols).collect(), key=str) == sorted(brute.select(*cols).collect(), key=str)
+    left = reconcile.interval_join(lp, rr, ["tx_id"], -3 * S, 5 * S, how="left", lts="pay_ts", rts="receipt_ts")
+    # a@10 matches receipts at 9 and 12; a@30, b@10, c@50 have none
+    assert left.count() == 5 and left.filter(F.col("rseq").isNull()).count() == 3
