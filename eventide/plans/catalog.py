@@ -47,7 +47,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _pv(spark, sf):
-    return only(td.user_behavior(spark, sf), "behavior", "pv")
+    return only(td.user_behavior(spark, sf, ["pv"]), "behavior", "pv")
 
 
 def parse_behavior(spark, sf):

@@ -65,9 +65,17 @@ def _k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """user_id, item_id, category_id, behavior, ts, seq."""
-    return user_behavior_from(events(spark, sf_dir))
+def user_behavior(spark: SparkSession, sf_dir: str, behaviors: list[str] | None = None) -> DataFrame:
+    """user_id, item_id, category_id, behavior, ts, seq.
+
+    ``behaviors`` keeps only those behaviours, stated on the raw event type
+    (``pv`` is ``view``) so the predicate reaches the parquet scan.
+    """
+    e = events(spark, sf_dir)
+    if behaviors:
+        raw = [t for b in behaviors for t in (["view", "pv"] if b == "pv" else [b])]
+        e = e.filter(F.col("event_type").isin(*raw))
+    return user_behavior_from(e)
 
 
 def user_behavior_from(e: DataFrame, keep: tuple = ()) -> DataFrame:
