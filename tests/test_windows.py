@@ -50,3 +50,11 @@ def test_pv_salted_and_uniques(spark):
     run = uniques.uv_running(df, h, carry_width=dt.timedelta(minutes=7))
     last = run.groupBy("window_end").agg(F.max("uv").alias("uv"))
     assert sorted(last.collect()) == exact
+
+
+def test_sliding_count_many_windows_per_row_uses_intervals(spark):
+    df = _events(spark, n=150)
+    size, slide = dt.timedelta(minutes=10), dt.timedelta(seconds=5)   # 120 windows per row
+    a = windows.sliding_count(df, ["item_id"], size, slide).select("item_id", "window_end", "cnt")
+    b = _naive(df, ["item_id"], size, slide)
+    assert sorted(a.collect()) == sorted(b.collect())
