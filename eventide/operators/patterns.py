@@ -9,6 +9,7 @@ function takes ``inclusive=``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -202,7 +203,10 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
         F.count(F.lit(1)).alias("_size"),
         F.max_by(F.struct(F.col("next_event_type").alias("t"), F.col("next_ts").alias("ts")),
                  F.struct("ts", "seq")).alias("_after"))
-    clx = cl.select(key, "_head", "ts", "seq").join(info, [key, "_head"])
+    # Deciding whether the doubling path is needed is an action; keep the
+    # clustered failures (a small share of all events) so it is not recomputed.
+    clx = cl.select(key, "_head", "ts", "seq").join(info, [key, "_head"]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     small = clx.filter(F.col("_size") <= fold_limit)
     large = clx.filter(F.col("_size") > fold_limit)
     bursts = _bursts_by_fold(small, key, n, w_us, fail)
