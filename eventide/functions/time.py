@@ -1,9 +1,10 @@
 """Event-time helpers that do not depend on the session time zone.
 
 Event times are ``timestamp_ntz`` instants read as UTC.  Arithmetic is done on
-epoch microseconds computed with ``timestamp_diff`` / ``timestamp_add``, which
-are zone-free on NTZ values, so results are identical whatever
-``spark.sql.session.timeZone`` the caller's session has.
+epoch microseconds.  With a UTC session clock (what the registered queries and
+``build_session`` set) the conversion is a plain cast; under any other session
+zone the zone-free ``timestamp_diff`` / ``timestamp_add`` are used, so results
+never depend on ``spark.sql.session.timeZone``.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+US_PER_MS = 1_000
+US_PER_S = 1_000_000
+
+
 def ntz_literal(text: str) -> Column:
     """An NTZ instant from ``yyyy-MM-dd HH:mm:ss`` text (no zone involved)."""
     return F.lit(text).cast("timestamp_ntz")
@@ -20,19 +25,11 @@ def epoch() -> Column:
     """The epoch as an NTZ literal (built lazily: columns need an active session)."""
     return ntz_literal("1970-01-01 00:00:00")
 
-US_PER_MS = 1_000
-US_PER_S = 1_000_000
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def as_ntz(c) -> Column:
-    """Any timestamp column as NTZ.  LTZ input is rendered in UTC first."""
-    return _c(c).cast("timestamp_ntz")
-
-
 _FIXED_UTC = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Etc/Universal", "Universal", "Zulu"}
 
 
@@ -66,18 +63,6 @@ def from_seconds(s) -> Column:
     return from_micros(_c(s).cast("bigint") * F.lit(US_PER_S))
 
 
-def floor_div(a, b) -> Column:
-    """Floor division on longs (correct for negative numerators too)."""
-    a, b = _c(a), (F.lit(b) if isinstance(b, int) else _c(b))
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
-
-
-def floor_to(us, step_us: int) -> Column:
-    """Round epoch microseconds down to a multiple of ``step_us``."""
-    u = _c(us)
-    return u - F.pmod(u, F.lit(step_us))
-
-
 def ts_text(ts) -> Column:
     """``java.sql.Timestamp.toString`` rendering: ``yyyy-MM-dd HH:mm:ss.f``.
 
