@@ -148,3 +148,28 @@ def test_outer_interval_join_equals_brute_force(spark):
     left = reconcile.interval_join(lp, rr, ["tx_id"], -3 * S, 5 * S, how="left", lts="pay_ts", rts="receipt_ts")
     # a@10 matches receipts at 9 and 12; a@30, b@10, c@50 have none
     assert left.count() == 5 and left.filter(F.col("rseq").isNull()).count() == 3
+
+
+def test_operators_independent_of_session_zone(spark):
+    """Events across a US DST change give the same results under a DST session clock
+    (zone-free micros fallback) as under UTC (cast fast path)."""
+    base = dt.datetime(2024, 3, 10, 9, 30)        # 01:30 in Los Angeles, DST starts at 02:00
+    rows = [(1, "1.1.1.1", t, base + dt.timedelta(minutes=m), i)
+            for i, (t, m) in enumerate([("fail", 0), ("fail", 50), ("fail", 70), ("success", 200)])]
+    schema = "user_id bigint, ip string, event_type string, ts timestamp_ntz, seq bigint"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    results = []
+    try:
+        for zone in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            lg = spark.createDataFrame(rows, schema)
+            pairs = sorted((r.first_fail_ts, r.last_fail_ts) for r in
+                           patterns.failure_pairs(lg, dt.timedelta(minutes=60)).collect())
+            wins = sorted((r.window_end, r.cnt) for r in
+                          windows.tumbling_count(lg, [], dt.timedelta(hours=1)).collect())
+            results.append((pairs, wins))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results[0] == results[1]
+    assert results[0][0] == [(base, base + dt.timedelta(minutes=50)),
+                             (base + dt.timedelta(minutes=50), base + dt.timedelta(minutes=70))]
