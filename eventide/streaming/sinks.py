@@ -63,10 +63,9 @@ def upsert_batch(path: str, keys: list[str], version: str | None = None) -> Call
     def write(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
         cur_path = f"{path}/gen={batch_id:012d}"
-        try:
-            prev_gen = sorted(g for g in _list_generations(spark, path) if g < cur_path)
-        except Exception:  # noqa: BLE001 - no table yet
-            prev_gen = []
+        earlier = sorted(i for i in (int(g.rsplit("=", 1)[1]) for g in _list_generations(spark, path))
+                         if i < batch_id)
+        prev_gen = [f"{path}/gen={i:012d}" for i in earlier]
         merged = batch.withColumn("_pri", F.lit(1))
         if prev_gen:
             old = spark.read.parquet(prev_gen[-1]).withColumn("_pri", F.lit(0))
@@ -79,19 +78,19 @@ def upsert_batch(path: str, keys: list[str], version: str | None = None) -> Call
     return write
 
 
-def _list_generations(spark: SparkSession, path: str) -> list[str]:
+def _list_generations(spark: SparkSession, path: str, prefix: str = "gen=") -> list[str]:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return []
-    return [s.getPath().toString() for s in fs.listStatus(hpath) if s.getPath().getName().startswith("gen=")]
+    return [s.getPath().toString() for s in fs.listStatus(hpath) if s.getPath().getName().startswith(prefix)]
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
     """The newest generation of an ``upsert_batch`` table."""
-    gens = sorted(_list_generations(spark, path))
-    return spark.read.parquet(gens[-1])
+    last = max(int(g.rsplit("=", 1)[1]) for g in _list_generations(spark, path))
+    return spark.read.parquet(f"{path}/gen={last:012d}")
 
 
 def changelog_batch(state_path: str, compute: Callable[[DataFrame], DataFrame],

@@ -65,3 +65,14 @@ def test_changelog_stream_sink(spark, tmp_path):
     w(b1, 1)          # a retried batch rewrites the same output
     rows = sorted((r.batch, r.k, r.n, r.op) for r in spark.read.parquet(out).collect())
     assert rows == [(0, 1, 1, "+"), (0, 2, 1, "+"), (1, 1, 1, "-"), (1, 1, 2, "+")]
+
+
+def test_upsert_sink_latest_wins(spark, tmp_path):
+    from eventide.streaming.sinks import read_upserted, upsert_batch
+    path = str(tmp_path / "up")
+    w = upsert_batch(path, ["k"])
+    w(spark.createDataFrame([(1, 10), (2, 20)], "k int, v int"), 0)
+    w(spark.createDataFrame([(1, 11), (3, 30)], "k int, v int"), 1)
+    w(spark.createDataFrame([(1, 11), (3, 30)], "k int, v int"), 1)     # retried batch
+    assert sorted(tuple(r) for r in read_upserted(spark, path).select("k", "v").collect()) == \
+        [(1, 11), (2, 20), (3, 30)]
