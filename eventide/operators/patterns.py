@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.time import from_micros, micros, ts_text
-from eventide.operators.scan import Running, keyed_scan, time_bucket
+from eventide.operators.scan import Running, bounded_prev, keyed_scan, time_bucket
 from eventide.operators.windows import us
 
 HOUR_US = 3_600_000_000
@@ -65,10 +65,10 @@ def failure_pairs(logins: DataFrame, within, inclusive: bool = True, key: str =
     fail_times (2), warn_msg.
     """
     w_us = us(within)
-    sc = keyed_scan(logins, [key], ["ts", "seq"], time_bucket(micros("ts"), us(carry_width)),
-                    prev=["event_type", "ts"])
+    sc = bounded_prev(logins, [key], ["ts", "seq"], micros("ts"), w_us, ["event_type", "ts"],
+                      us(carry_width))
     hit = sc.filter((F.col("event_type") == fail) & (F.col("prev_event_type") == fail)
-                    & _within(micros("ts") - micros("prev_ts"), w_us, inclusive))
+                    & _within(F.col("prev_gap_us"), w_us, inclusive))
     return hit.select(key, F.col("prev_ts").alias("first_fail_ts"), F.col("ts").alias("last_fail_ts"),
                       F.lit(2).cast("bigint").alias("fail_times"),
                       _fmt(PAIR_MSG, user=F.col(key), secs=F.lit(_secs_text(w_us))).alias("warn_msg"))
@@ -83,10 +83,10 @@ def failure_pattern(logins: DataFrame, within, inclusive: bool = False, key: str
     event rendered in the message.
     """
     w_us = us(within)
-    sc = keyed_scan(logins, [key], ["ts", "seq"], time_bucket(micros("ts"), us(carry_width)),
-                    prev=["event_type", "ts", "ip"])
+    sc = bounded_prev(logins, [key], ["ts", "seq"], micros("ts"), w_us, ["event_type", "ts", "ip"],
+                      us(carry_width))
     hit = sc.filter((F.col("event_type") == fail) & (F.col("prev_event_type") == fail)
-                    & _within(micros("ts") - micros("prev_ts"), w_us, inclusive))
+                    & _within(F.col("prev_gap_us"), w_us, inclusive))
     ts_s = (micros("prev_ts") - F.pmod(micros("prev_ts"), F.lit(1_000_000))) / F.lit(1_000_000)
     msg = _fmt(PATTERN_MSG, user=F.col(key), ip=F.col("prev_ip"), type=F.col("prev_event_type"),
                ts_s=ts_s.cast("bigint"))

@@ -154,3 +154,30 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
 def time_bucket(ts_us: Column, width_us: int) -> Column:
     """Bucket id of epoch microseconds for ``keyed_scan`` (monotone in time)."""
     return ((ts_us - F.pmod(ts_us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
+
+
+def bounded_prev(df: DataFrame, keys: list[str], order: list[str], ts_us: Column, within_us: int,
+                 cols: list[str], width_us: int | None = None,
+                 prefix_prev: str = "prev_") -> DataFrame:
+    """``prev_<c>`` for predicates that only look back at most ``within_us``.
+
+    When a caller only uses the previous row if it lies within ``within_us``
+    (failure pairs, strict two-step patterns), the full cross-bucket carry is
+    not needed: each row is also copied into the buckets whose first
+    ``within_us`` it covers (a *halo*), and one window per ``(key, bucket)``
+    finds the previous row.  Exact for such predicates: any row within
+    ``within_us`` before a row of bucket ``b`` is present in ``b``; an earlier
+    previous row is farther than the bound, so whatever ``lag`` returns then
+    fails the predicate too (``prev_gap_us`` is returned for that test).
+    One shuffle; rows are duplicated by about ``within_us / width_us``.
+    """
+    width = max(width_us or 0, within_us, 1)
+    t = ts_us
+    b0 = (t - F.pmod(t, F.lit(width))) / F.lit(width)
+    b1 = ((t + F.lit(within_us)) - F.pmod(t + F.lit(within_us), F.lit(width))) / F.lit(width)
+    d = df.withColumn("_bp_us", t).withColumn("_bp_home", b0.cast("bigint")) \
+        .withColumn(_BK, F.explode(F.sequence(b0.cast("bigint"), b1.cast("bigint"))))
+    w = Window.partitionBy(*keys, _BK).orderBy(*[F.col(c) for c in order])
+    out = d.select("*", *[F.lag(c).over(w).alias(prefix_prev + c) for c in cols],
+                   (F.col("_bp_us") - F.lag("_bp_us").over(w)).alias("prev_gap_us"))
+    return out.filter(F.col(_BK) == F.col("_bp_home")).drop(_BK, "_bp_home", "_bp_us")
