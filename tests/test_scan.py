@@ -42,3 +42,19 @@ def test_global_scan_without_key(spark):
     ref = df.select("seq", F.max("t").over(w).alias("mx"))
     assert sorted(tuple(r) for r in sc.select("seq", "mx").collect()) == \
         sorted(tuple(r) for r in ref.collect())
+
+
+def test_bounded_prev_matches_lag_within_bound(spark):
+    from eventide.operators.scan import bounded_prev
+    df = _data(spark, n=500, keys=4, seed=11)
+    w_bound = 25
+    for width in (7, 25, 100):          # halo spanning several buckets, one, or a fraction
+        sc = bounded_prev(df, ["k"], ["t", "seq"], F.col("t"), w_bound, ["v"], width)
+        got = {(r.k, r.seq, r.prev_v) for r in
+               sc.filter(F.col("prev_gap_us") <= w_bound).collect()}
+        w = Window.partitionBy("k").orderBy("t", "seq")
+        ref = df.select("k", "seq", F.lag("v").over(w).alias("pv"),
+                        (F.col("t") - F.lag("t").over(w)).alias("gap"))
+        want = {(r.k, r.seq, r.pv) for r in ref.filter(F.col("gap") <= w_bound).collect()}
+        assert got == want
+        assert sc.count() == df.count()
