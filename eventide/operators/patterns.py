@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.time import from_micros, micros, ts_text
-from eventide.operators.scan import Running, bounded_prev, keyed_scan, time_bucket
+from eventide.operators.scan import (Running, bounded_next_min, bounded_prev, keyed_scan,
+                                     time_bucket)
 from eventide.operators.windows import us
 
 HOUR_US = 3_600_000_000
@@ -105,7 +106,8 @@ def order_funnel(orders: DataFrame, within, inclusive: bool = False, key: str =
 
     Relaxed contiguity: each create is matched with the first pay after it
     (other events may sit between; one pay may serve several creates, C12).
-    The next pay per row is a suffix minimum in the keyed scan.  Output rows
+    The next pay per row is a suffix minimum over a forward halo
+    (``bounded_next_min``): exact for every pay within the bound.  Output rows
     carry ``tag``: ``PAY`` for matches (pay_ts set), ``TIMEOUT`` for creates
     without a pay in time (timeout_ts = create + within).
     """
@@ -114,8 +116,9 @@ def order_funnel(orders: DataFrame, within, inclusive: bool = False, key: str =
     nxt = F.when(F.col("event_type") == follow, F.struct(F.col("ts").alias("ts"),
                                                           F.col("_tie").alias("tie"),
                                                           F.col("seq").alias("seq")))
-    sc = keyed_scan(d, [key], ["ts", "_tie", "seq"], time_bucket(micros("ts"), us(carry_width)),
-                    running=[Running("_next_pay", nxt, "min", "suffix", inclusive=False)])
+    # only a pay within the bound matters, so a forward halo replaces the full scan
+    sc = bounded_next_min(d, [key], ["ts", "_tie", "seq"], micros("ts"), w_us, "_next_pay", nxt,
+                          us(carry_width))
     starts = sc.filter(F.col("event_type") == start)
     pay_ts = F.col("_next_pay.ts")
     ok = pay_ts.isNotNull() & _within(micros(pay_ts) - micros("ts"), w_us, inclusive)

@@ -181,3 +181,26 @@ def bounded_prev(df: DataFrame, keys: list[str], order: list[str], ts_us: Column
     out = d.select("*", *[F.lag(c).over(w).alias(prefix_prev + c) for c in cols],
                    (F.col("_bp_us") - F.lag("_bp_us").over(w)).alias("prev_gap_us"))
     return out.filter(F.col(_BK) == F.col("_bp_home")).drop(_BK, "_bp_home", "_bp_us")
+
+
+def bounded_next_min(df: DataFrame, keys: list[str], order: list[str], ts_us: Column,
+                     within_us: int, name: str, expr: Column,
+                     width_us: int | None = None) -> DataFrame:
+    """Minimum of ``expr`` over the rows after each row, exact within ``within_us``.
+
+    The forward twin of ``bounded_prev``: each row is also copied into the
+    buckets whose last ``within_us`` it covers, so every row less than
+    ``within_us`` after a row of bucket ``b`` is present in ``b``.  The result
+    ``name`` is exact whenever the true minimum's row lies within the bound
+    (callers test that bound themselves, as the order funnel does).
+    """
+    width = max(width_us or 0, within_us, 1)
+    t = ts_us
+    b1 = (t - F.pmod(t, F.lit(width))) / F.lit(width)
+    b0 = ((t - F.lit(within_us)) - F.pmod(t - F.lit(within_us), F.lit(width))) / F.lit(width)
+    d = df.withColumn("_bn_home", b1.cast("bigint")).withColumn("_bn_expr", expr) \
+        .withColumn(_BK, F.explode(F.sequence(b0.cast("bigint"), b1.cast("bigint"))))
+    w = Window.partitionBy(*keys, _BK).orderBy(*[F.col(c) for c in order]) \
+        .rowsBetween(1, Window.unboundedFollowing)
+    out = d.select("*", F.min("_bn_expr").over(w).alias(name))
+    return out.filter(F.col(_BK) == F.col("_bn_home")).drop(_BK, "_bn_home", "_bn_expr")

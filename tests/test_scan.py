@@ -58,3 +58,20 @@ def test_bounded_prev_matches_lag_within_bound(spark):
         want = {(r.k, r.seq, r.pv) for r in ref.filter(F.col("gap") <= w_bound).collect()}
         assert got == want
         assert sc.count() == df.count()
+
+
+def test_bounded_next_min_matches_window_within_bound(spark):
+    from eventide.operators.scan import bounded_next_min
+    df = _data(spark, n=500, keys=4, seed=13)
+    w_bound = 25
+    nxt = F.when(F.col("v") > 0, F.struct(F.col("t").alias("t"), F.col("seq").alias("seq")))
+    w = Window.partitionBy("k").orderBy("t", "seq").rowsBetween(1, Window.unboundedFollowing)
+    ref = df.select("k", "t", "seq", F.min(nxt).over(w).alias("nx"))
+    want = {(r.k, r.seq, r.nx.t, r.nx.seq) for r in ref.collect()
+            if r.nx is not None and r.nx.t - r.t < w_bound}
+    for width in (7, 25, 100):
+        sc = bounded_next_min(df, ["k"], ["t", "seq"], F.col("t"), w_bound, "nx", nxt, width)
+        got = {(r.k, r.seq, r.nx.t, r.nx.seq) for r in sc.collect()
+               if r.nx is not None and r.nx.t - r.t < w_bound}
+        assert got == want
+        assert sc.count() == df.count()
