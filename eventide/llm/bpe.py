@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import split_rows, texts_of
+from eventide.llm.common import slices, texts_of
 
 #: The byte-level pre-split pattern of the vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -174,11 +174,10 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         c = coder(vocabulary)
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in split_rows(batch, [len(t) for t in texts], BATCH):
-                ids = [c.encode(t.decode("utf-8")) for t in texts[a:b]]
+            for part in slices(batch, BATCH):
+                ids = [c.encode(t.decode("utf-8")) for t in texts_of(part)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())],
                     names=["doc_id", "n_tokens", "ids", "decoded"])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,13 +64,15 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in col.to_pylist()]
 
 
-def split_rows(batch: pa.RecordBatch, sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch whose summed ``sizes`` stay near ``limit`` (one row at least)."""
+def slices(batch: pa.RecordBatch, limit: int, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts stay near ``limit`` bytes (one row at least)."""
+    col = batch.column(batch.schema.get_field_index(name))
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
     lo = total = 0
     for i, s in enumerate(sizes):
         if i > lo and total + s > limit:
-            yield lo, i
+            yield batch.slice(lo, i - lo)
             lo, total = i, 0
         total += s
     if lo < len(sizes):
-        yield lo, len(sizes)
+        yield batch.slice(lo)

@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import split_rows, texts_of
+from eventide.llm.common import slices, texts_of
 from eventide.llm.tokens import chunk_ids
 
 CAPACITY = 2048
 BLOCK = 1 << 20      # tokens packed together: about 512 windows
 END = 1              # id that closes every document
-READ = 1 << 22       # bytes of text tokenized before packing goes on
+READ = 1 << 20       # bytes of text tokenized before packing goes on
 
 Piece = tuple[int, int, int]          # document index, start, length
 
@@ -115,9 +115,9 @@ def blocks(batches, path: str, end: int, block: int) -> Iterator[tuple[list, lis
     tok, tail = chunk_ids(path), int(end).to_bytes(4, "little")
     keys, ids, total = [], [], 0
     for batch in batches:
-        texts, own = texts_of(batch), batch.column(0).to_pylist()
-        got_all = (x for a, b in split_rows(batch, [len(t) for t in texts], READ) for x in tok.ids(texts[a:b]))
-        for key, x in zip(own, got_all):
+        rows = ((key, x) for part in slices(batch, READ) for key, x in zip(
+            part.column(0).to_pylist(), tok.ids(texts_of(part))))
+        for key, x in rows:
             got = x + tail
             if total and total + len(got) // 4 > block:
                 yield keys, ids

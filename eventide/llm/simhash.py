@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import arrow_map, keep, rekeyed, texts_of
+from eventide.llm.common import arrow_map, keep, rekeyed, slices, texts_of
 from eventide.llm.components import components
 
 SEED = 42
@@ -27,6 +27,7 @@ CELL = 512          # fingerprints of one block value that a chunk holds
 FANOUT = 8          # children per index node
 BLOCK_BITS = 16     # bits of a block used for dealing: at most (max_bits + 1) * 2**16 values
 HASHES = 1 << 18    # shingle hashes held at once
+BATCH = 1 << 21     # bytes of text held at once
 
 
 def fingerprint(words: list[bytes], k: int) -> int:
@@ -49,9 +50,10 @@ def fingerprint(words: list[bytes], k: int) -> int:
 def fingerprints(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, fp)``: the signed 64-bit fingerprint of every whole text (null: empty)."""
     def run(batch):
-        fps = [fingerprint(t.lower().split(), k) for t in texts_of(batch)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+        for part in slices(batch, BATCH):
+            fps = [fingerprint(t.lower().split(), k) for t in texts_of(part)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return src.mapInArrow(arrow_map(run), "doc_id long, fp long")
 

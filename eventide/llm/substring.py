@@ -23,11 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import arrow_map, keep, rekeyed, split_rows, texts_of
+from eventide.llm.common import arrow_map, keep, rekeyed, slices, texts_of
 
 WINDOW = 50
 ROUNDS = 3           # levels above words; more make longer but context-bound symbols
-BATCH = 1 << 21      # bytes of text parsed together
+BATCH = 1 << 18      # bytes of text parsed together
+SLICE = 1 << 16      # windows of one document parsed together; what a window files under does not depend on it
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 INVERSE = U(pow(int(BASE), -1, 1 << 64))
@@ -133,24 +134,24 @@ def file_windows(levels, n: int, starts: np.ndarray, window: int) -> tuple[np.nd
 
 def pieces_of(docs: list[bytes], window: int, rounds: int = ROUNDS):
     """Arrays (document index, first window, windows, symbol, content) of some documents' pieces."""
-    words, owner, base = [b""], [], []
+    words, owner = [b""], []
     for i, d in enumerate(docs):
         w = d.split()
-        if len(w) >= window:
-            owner.append((i, len(words), len(w)))
-            words += w
+        for s in range(0, len(w) - window + 1, SLICE):
+            part = w[s:s + SLICE + window - 1]
+            owner.append((i, s, len(words), len(part)))
+            words += part
             words.append(b"")
     if not owner:
         z = np.zeros(0, np.int64)
         return z, z, z, z.astype(U), z.astype(U)
     name = name_words(words)
     wall = np.zeros(len(words), bool)
-    ends = np.array([s + n for _, s, n in owner])
+    ends = np.array([at + n for _, _, at, n in owner])
     wall[0] = wall[ends] = True
     levels = parse(name, wall, rounds)
-    index = np.array([i for i, _, _ in owner])
-    base = np.array([s for _, s, _ in owner])
-    count = np.array([n for _, _, n in owner]) - window + 1
+    index, skipped, base, count = (np.array(x) for x in zip(*owner))
+    count = count - window + 1
     doc = np.repeat(np.arange(len(owner)), count)
     starts = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + base[doc]
     level, symbol = file_windows(levels, len(words), starts, window)
@@ -166,7 +167,7 @@ def pieces_of(docs: list[bytes], window: int, rounds: int = ROUNDS):
     first = starts[new]
     seg = content.of(first, first + size - 1 + window)
     seg = mix(seg ^ mix((size * 4096 + (lo - first)).astype(U), 11), 13)
-    return index[doc[new]], first - base[doc[new]], size, key, seg
+    return index[doc[new]], first - base[doc[new]] + skipped[doc[new]], size, key, seg
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -180,12 +181,11 @@ def repeat_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     src = _identified(docs).where("doc_id is not null")
 
     def cut(batch):
-        texts = texts_of(batch)
-        for a, b in split_rows(batch, [len(t) for t in texts], BATCH):
-            doc, first, size, key, seg = pieces_of(texts[a:b], window)
-            rows = batch.slice(a, b - a).take(pa.array(doc))
+        for part in slices(batch, BATCH):
+            doc, first, size, key, seg = pieces_of(texts_of(part), window)
+            rows = part.select(["doc_id", "mark"]).take(pa.array(doc))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(2), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)),
+                [rows.column(0), rows.column(1), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)),
                  pa.array(key.view(np.int64)), pa.array(seg.view(np.int64))],
                 names=["doc_id", "mark", "first", "n", "symbol", "content"])
 
@@ -204,12 +204,10 @@ def repeat_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.collect_list(F.struct("first", "n", "symbol")).alias("asked"))
 
     def open_windows(batch):
-        texts = texts_of(batch)
-        for i, text in enumerate(texts):
-            ask = batch.column(3)[i].values if hasattr(batch.column(3)[i], "values") else batch.column(3)[i]
-            first, n = (ask.field(k).to_numpy() for k in (0, 1))
-            sym = ask.field(2).to_numpy()
-            content = Content(name_words(text.split()))
+        for i in range(batch.num_rows):
+            ask = batch.column(3)[i].values
+            first, n, sym = (ask.field(k).to_numpy() for k in range(3))
+            content = Content(name_words(batch.column(1)[i].as_py().encode("utf-8").split()))
             at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             full = np.full(len(at), 1)
             yield pa.RecordBatch.from_arrays(
@@ -244,17 +242,16 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     joined = src.join(cover, (src.doc_id == cover.d) & (src.mark == cover.m), "left").select("doc_id", "text", "gone")
 
     def trim(batch):
-        texts, gone = texts_of(batch), batch.column(2).to_pylist()
-        for a, b in split_rows(batch, [len(t) for t in texts], BATCH):
+        for part in slices(batch, 8 * BATCH):
             total, removed, kept = [], [], []
-            for t, g in zip(texts[a:b], gone[a:b]):
+            for t, g in zip(texts_of(part), part.column(2)):
                 words = t.split()
                 total.append(len(words))
-                if g:
+                if g.is_valid:
                     edge = np.zeros(len(words) + 1, np.int32)
-                    for r in g:
-                        edge[r["first"]] += 1
-                        edge[r["first"] + r["n"] + window - 1] -= 1
+                    first, n = (g.values.field(k).to_numpy() for k in range(2))
+                    np.add.at(edge, first, 1)
+                    np.add.at(edge, first + n + window - 1, -1)
                     stay = np.flatnonzero(np.cumsum(edge[:-1]) == 0)
                     removed.append(len(words) - len(stay))
                     words = [words[i] for i in stay]
@@ -262,7 +259,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     removed.append(0)
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                [part.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     return joined.mapInArrow(arrow_map(trim), "doc_id long, n_words long, n_removed long, kept_text string")
