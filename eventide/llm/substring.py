@@ -200,8 +200,9 @@ def repeat_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     traced = keep(traced.join(several, traced.symbol == several.s2, "left").where(
         "doc_id > source or s2 is not null").select("doc_id", "mark", "first", "n", "symbol", "source"), "traced")
     whole = traced.where("doc_id > source").select("doc_id", "mark", "first", "n")
-    asked = traced.where("doc_id = source").groupBy(rekeyed("doc_id").alias("d"), F.col("mark").alias("m")).agg(
-        F.collect_list(F.struct("first", "n", "symbol")).alias("asked"))
+    asked = traced.where("doc_id = source").groupBy("doc_id", "mark").agg(
+        F.collect_set(F.struct("first", "n", "symbol")).alias("asked"))    # as long as the text at most
+    asked = asked.select(rekeyed("doc_id").alias("d"), F.col("mark").alias("m"), "asked")
 
     def open_windows(batch):
         for i in range(batch.num_rows):
@@ -236,8 +237,9 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     whole and are no one's source; rows that repeat a doc_id are judged each by
     its own text, never against their own id.
     """
-    cover = repeat_ranges(docs, window).groupBy(rekeyed("doc_id").alias("d"), F.col("mark").alias("m")).agg(
-        F.collect_list(F.struct("first", "n")).alias("gone"))
+    cover = repeat_ranges(docs, window).groupBy("doc_id", "mark").agg(
+        F.collect_set(F.struct("first", "n")).alias("gone")).select(
+        rekeyed("doc_id").alias("d"), F.col("mark").alias("m"), "gone")
     src = _identified(docs)
     joined = src.join(cover, (src.doc_id == cover.d) & (src.mark == cover.m), "left").select("doc_id", "text", "gone")
 
