@@ -77,7 +77,11 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_
 
 
 def drop_exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The rows of ``docs`` (all columns) that stay; rows without a doc_id stay."""
+    """The rows of ``docs`` (all columns) that stay; rows without a doc_id stay.
+
+    Rows that repeat a doc_id are judged each by its own text.
+    """
     gone = exact_groups(docs, capacity).where("not kept and doc_id is not null").select(
-        F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.sha2(normalised(docs["text"]), 256) == gone["gone_text"])
+    return docs.join(gone, same, "left_anti")

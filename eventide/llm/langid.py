@@ -24,6 +24,7 @@ ORDERS = (1, 2, 3)
 FEATURES = 1 << 13
 SAMPLE = 6_000          # labelled documents the classifier is fitted on, about
 SHARDS = 6
+CLASSES = 512           # labels beyond this many are an error, not a sample
 PASSES = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-4
 UNKNOWN = "und"
@@ -127,7 +128,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
             F.sum("docs").alias("docs")).collect():       # FEATURES + 1 rows
         df[r["feature"] + 1] = r["docs"]
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
-    langs = sorted(r[0] for r in known.select("lang").distinct().limit(4096).collect())
+    langs = sorted(r[0] for r in known.select("lang").distinct().take(CLASSES + 1))
+    if len(langs) > CLASSES:
+        raise ValueError(f"more than {CLASSES} languages in the labels")
     if not langs:
         return Model([], idf, np.zeros((FEATURES, 0)), 1.0)
     place = {x: i for i, x in enumerate(langs)}

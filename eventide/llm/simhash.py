@@ -48,14 +48,16 @@ def fingerprint(words: list[bytes], k: int) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, fp)``: the signed 64-bit fingerprint of every whole text (null: empty)."""
+    """``(doc_id, mark, fp)``: signed 64-bit fingerprint and content mark of every whole text (null: empty)."""
     def run(batch):
         for part in slices(batch, BATCH):
             fps = [fingerprint(t.lower().split(), k) for t in texts_of(part)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInArrow(arrow_map(run), "doc_id long, fp long")
+                [part.column(0), part.column(2), pa.array(np.array(fps, np.uint64).view(np.int64))],
+                names=["doc_id", "mark", "fp"])
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                      F.xxhash64(text).alias("mark"))
+    return src.mapInArrow(arrow_map(run), "doc_id long, mark long, fp long")
 
 
 # ---- the index inside a cell ------------------------------------------------
@@ -179,7 +181,7 @@ def gray_links(reps: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 3, max_bits: int = 3, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row of ``docs``.
+    """``(doc_id, mark, fp, component_id)`` of every row of ``docs``.
 
     Texts: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, ``k``-word shingles with
     repeats.  Fingerprints at ``max_bits`` or fewer differing bits link; the
@@ -194,14 +196,18 @@ def near_duplicates(docs: DataFrame, k: int = 3, max_bits: int = 3, doc_id: str
     found = components(gray_links(reps.where("rep is not null"), max_bits), "a", "b")
     named = reps.join(found, reps.rep == found.node, "left").select(
         rekeyed("fp").alias("key"), F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(named, fps.fp == named.key).select("doc_id", "fp", "component_id")
+    return fps.join(named, fps.fp == named.key).select(
+        "doc_id", "mark", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` (all columns) whose doc_id is its component's smallest.
 
-    Rows without a doc_id stay.  Repeated rows of a kept doc_id all stay.
+    Rows without a doc_id stay.  Rows that repeat a doc_id are judged each by its
+    own text; repeats of a row that stays all stay.
     """
     near = near_duplicates(docs, k, max_bits)
-    gone = near.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    gone = near.where("doc_id <> component_id").select(
+        F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_mark"]),
+                     "left_anti")

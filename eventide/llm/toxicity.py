@@ -29,7 +29,7 @@ from eventide.llm.common import arrow_map, keep
 
 SAMPLE = 12_000       # labelled documents the grammar is fitted on, about
 PREFIXES = (4, 5, 6)  # lengths of word beginnings that may be terms
-LEAST = 6             # toxic texts that must have a term
+LEAST = 4             # toxic texts that must have a term
 PURE = 0.02           # clean texts per toxic text that a term may have, by rate
 REACH = 3             # words over which negation and address last
 REMEMBERED = 300_000  # classed words per worker
@@ -47,7 +47,7 @@ WORDS = {
             "destruir",
 }
 FIXED = {w: k for k, ws in WORDS.items() for w in ws.split()}
-STRIP = ".,!?;:()[]{}\"'«»„“”¡¿*_-"
+STRIP = ".,!?;:()[]{}<>\"'«»„“”¡¿*_-|%&$#@~+=/\\^`"
 
 
 class Transducer:
@@ -152,8 +152,9 @@ class Lexicon:
 
 
 def signals(paths: np.ndarray) -> np.ndarray:
-    """Logistic inputs: damped sums by path (those without a match are no input), and one."""
-    return np.concatenate([np.log1p(paths[..., PATHS // 3:]), np.ones(paths.shape[:-1] + (1,))], axis=-1)
+    """Logistic inputs: presence and damped sum of each path (words without a match are no path), and one."""
+    own = paths[..., PATHS // 3:]
+    return np.concatenate([own > 0, np.log1p(own), np.ones(own.shape[:-1] + (1,))], axis=-1)
 
 
 class Model:
@@ -199,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     schema = "term string, toxic long, clean long"
     counts = chosen.repartition(8).mapInArrow(count, schema)
     own = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    own = own.where((F.col("toxic") >= LEAST) | (F.col("term") == "")).orderBy(F.desc("toxic"), "term").limit(200_000)
+    own = own.where((F.col("toxic") >= LEAST) | (F.col("term") == ""))
     rows = {r["term"]: (r["toxic"], r["clean"]) for r in own.collect()}     # bounded by the sample
     n1, n0 = rows.pop("", (0, 0))
     if not n1 or not n0:
