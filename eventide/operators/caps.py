@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.time import local_day, micros
-from eventide.operators.scan import Running, keyed_scan, time_bucket
-
-HOUR_US = 3_600_000_000
+from eventide.functions.time import local_day
 
 # ---- fixed values: warning text of the reference --------------------------
 CAP_MSG = "Click Over %d times today."
 # ---------------------------------------------------------------------------
 
 
-def rate_cap(df: DataFrame, keys: list[str], n: int, tz: str = "Asia/Shanghai",
-             carry_width=HOUR_US) -> DataFrame:
-    """Rank every row within (keys, local day of ``tz``) in ``(ts, seq)`` order.
+def rate_cap(df: DataFrame, keys: list[str], n: int, tz: str = "Asia/Shanghai") -> DataFrame:
+    """The first ``n + 1`` rows of each (keys, local day of ``tz``) in ``(ts, seq)`` order.
 
-    Adds ``day`` and ``day_rank`` (1-based).  The rank is a running count from
-    a keyed scan, so a hot (user, ad, day) is spread over hour buckets.
+    Adds ``day`` and ``day_rank`` (1-based); rank ``n + 1`` raises the warning
+    and nothing beyond it is ever emitted.  Catalyst turns the bound into a
+    partial group limit, so a task forwards at most ``n + 1`` rows of a hot
+    (user, ad, day) to the shuffle.  Rows without a time have no day and go.
     Contract C8: the day resets at event-time local midnight.
     """
-    d = df.withColumn("day", local_day("ts", tz))
-    sc = keyed_scan(d, list(keys) + ["day"], ["ts", "seq"], time_bucket(micros("ts"), carry_width),
-                    running=[Running("day_rank", F.lit(1), "sum")])
-    return sc.withColumn("day_rank", F.col("day_rank").cast("bigint"))
+    d = df.where("ts is not null").withColumn("day", local_day("ts", tz))
+    w = Window.partitionBy(*keys, "day").orderBy("ts", "seq")
+    ranked = d.withColumn("day_rank", F.row_number().over(w)).where(F.col("day_rank") <= n + 1)
+    return ranked.withColumn("day_rank", F.col("day_rank").cast("bigint"))
 
 
 def cap_passed(ranked: DataFrame, n: int) -> DataFrame:

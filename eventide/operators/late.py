@@ -3,8 +3,8 @@
 Arrival order is given by ``seq`` (and ``tie``).  The watermark seen by row
 ``i`` is ``max(ts of earlier rows) - bound``: a prefix maximum over the whole
 stream, computed by a keyed scan without key whose buckets are chunks of the
-arrival sequence (one summary row per chunk carries the maximum forward), so
-no task ever holds the stream.
+arrival sequence (one summary row per chunk carries the maximum forward, itself
+scanned in groups of chunks), so no task ever holds the stream.
 
 For a row and a window ending at ``e`` (last instant ``e - 1us``):
 ``on_time`` if ``e - 1us > wm``; ``late_update`` if ``e - 1us <= wm`` and
@@ -22,12 +22,15 @@ from eventide.operators.scan import Running, keyed_scan, time_bucket
 from eventide.operators.windows import us
 
 
+CHUNK = 4096    # arrivals per bucket of the watermark scan
+
+
 def _ceil_to(x, step: int):
     return x + F.pmod(-x, F.lit(step))
 
 
 def with_watermark_before(df: DataFrame, bound, seq: str = "seq", tie: str | None = None,
-                          ts: str = "ts", chunk: int = 1_000_000,
+                          ts: str = "ts", chunk: int = CHUNK,
                           initial_max_us: int | None = None) -> DataFrame:
     """Add ``wm_us``: the watermark in force when the row arrives (null for the first).
 
@@ -60,11 +63,9 @@ def late_split_batch(path: str, bound, allowed, size, slide, seq: str = "seq",
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(f"{path}/max/batch={batch_id - 1}").first()[0]
-            except Exception:  # noqa: BLE001 - previous batch had no rows
-                prev = None
+        if batch_id > 0:    # every earlier batch has written its maximum: a failed read must fail
+            prev = spark.read.schema("m long, batch long").parquet(f"{path}/max").where(
+                F.col("batch") < batch_id).agg(F.max("m")).first()[0]
         r = window_ranges(with_watermark_before(batch, bound, seq, tie, ts, initial_max_us=prev),
                           size, slide, allowed)
         r.filter(F.col("_acc_from") > F.col("_last_end")).select(
@@ -100,7 +101,7 @@ def window_ranges(df: DataFrame, size, slide, allowed) -> DataFrame:
 
 
 def late_classify(df: DataFrame, bound, allowed, size, slide, seq: str = "seq",
-                  tie: str | None = None, ts: str = "ts", chunk: int = 1_000_000) -> DataFrame:
+                  tie: str | None = None, ts: str = "ts", chunk: int = CHUNK) -> DataFrame:
     """O-46: one row per (row, window) with ``window_end``, ``status`` and ``wm``."""
     slide_us = us(slide)
     r = window_ranges(with_watermark_before(df, bound, seq, tie, ts, chunk), size, slide, allowed)
@@ -115,7 +116,7 @@ def late_classify(df: DataFrame, bound, allowed, size, slide, seq: str = "seq",
 
 
 def late_rows(df: DataFrame, bound, allowed, size, slide, seq: str = "seq",
-              tie: str | None = None, ts: str = "ts", chunk: int = 1_000_000) -> DataFrame:
+              tie: str | None = None, ts: str = "ts", chunk: int = CHUNK) -> DataFrame:
     """O-46 side output: rows whose last window had already expired on arrival."""
     r = window_ranges(with_watermark_before(df, bound, seq, tie, ts, chunk), size, slide, allowed)
     return r.filter(F.col("_acc_from") > F.col("_last_end")).select(
@@ -124,7 +125,7 @@ def late_rows(df: DataFrame, bound, allowed, size, slide, seq: str = "seq",
 
 def lateness_counts(df: DataFrame, keys: list[str], bound, allowed, size, slide,
                     seq: str = "seq", tie: str | None = None, ts: str = "ts",
-                    chunk: int = 1_000_000, carry_width=None) -> DataFrame:
+                    chunk: int = CHUNK, carry_width=None) -> DataFrame:
     """O-45: per (key, window) the count at the on-time firing and after late updates.
 
     Rows are grouped by (key, last window, accepted-from, on-time-from); each

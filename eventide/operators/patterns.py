@@ -9,7 +9,8 @@ function takes ``inclusive=``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +96,61 @@ def failure_pattern(logins: DataFrame, within, inclusive: bool = False, key: str
                       F.lit(2).cast("bigint").alias("fail_times"), msg.alias("warn_msg"))
 
 
+@dataclass(frozen=True)
+class Step:
+    """One step of a sequence: its name, what a row must be, and how it follows the step before.
+
+    ``follows``: ``next`` (the very next row of the key) or ``followedBy`` (the
+    first such row later on, whatever lies between).
+    """
+
+    name: str
+    where: Column
+    follows: str = "followedBy"
+
+
+def match_sequence(df: DataFrame, keys: list[str], steps: list[Step], within, inclusive: bool = False,
+                   ts: str = "ts", seq: str = "seq", carry_width=HOUR_US) -> DataFrame:
+    """O-35 / O-35b / O-39: sequences of any number of steps with a bound from the first row.
+
+    Every row that is the first step starts one sequence; each later step takes
+    the first row that fits after the step before.  The steps are resolved from
+    the last backwards: a row's continuation is the neighbour's (``next``) or
+    the first fitting later row's (``followedBy``, a suffix minimum), which
+    carries its own continuation along.  Output: keys, ``tag`` (``MATCH``, or
+    ``TIMEOUT`` when a step is missing or beyond the bound), ``steps`` reached
+    in time, and ``<name>_ts`` of each reached step (null beyond).
+    """
+    w_us = us(within)
+    order = [ts, seq]
+    cur = df.where(F.col(ts).isNotNull()).select(
+        *keys, *order, *[F.coalesce(s.where, F.lit(False)).alias(f"_s{i}") for i, s in enumerate(steps)])
+    times: list = []
+    rest = None
+    for i in range(len(steps) - 1, 0, -1):
+        own = F.struct(*[F.col(c).alias(f"o{j}") for j, c in enumerate(order)],
+                       *([F.col("_m").alias("m")] if rest else []))
+        cur = cur.withColumn("_c", F.when(F.col(f"_s{i}"), own)).drop("_m")
+        bucket = time_bucket(micros(ts), us(carry_width))
+        if steps[i].follows == "next":
+            cur = keyed_scan(cur, keys, order, bucket, next=["_c"]).withColumnRenamed("next__c", "_m")
+        else:
+            cur = keyed_scan(cur, keys, order, bucket, running=[
+                Running("_m", F.col("_c"), "min", "suffix", inclusive=False)])
+        cur, rest = cur.drop("_c", f"_s{i}"), True
+    path, ok, reached = "_m", F.lit(True), F.lit(1)
+    for s in steps[1:]:
+        t = F.col(f"{path}.o0")
+        ok = ok & t.isNotNull() & _within(micros(t) - micros(ts), w_us, inclusive)
+        ok = F.coalesce(ok, F.lit(False))
+        reached = reached + ok.cast("int")
+        times.append(F.when(ok, t).alias(f"{s.name}_ts"))
+        path += ".m"
+    return cur.filter(F.col("_s0")).select(
+        *keys, F.when(ok, F.lit("MATCH")).otherwise(F.lit("TIMEOUT")).alias("tag"), reached.alias("steps"),
+        F.col(ts).alias(f"{steps[0].name}_ts"), *times)
+
+
 def _order_tie(event_type: str = "event_type", first: str = "create") -> Column:
     return F.when(F.col(event_type) == first, F.lit(0)).otherwise(F.lit(1))
 
@@ -172,7 +228,7 @@ def order_status(orders: DataFrame, timeout, inclusive: bool = False, key: str =
 
 
 def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail: str = "fail",
-                   carry_width=HOUR_US, fold_limit: int = 4096) -> DataFrame:
+                   carry_width=HOUR_US) -> DataFrame:
     """O-37: bursts of at least ``n`` failures within ``within`` of the first (C5).
 
     The first failure anchors a burst; failures up to ``anchor + within``
@@ -182,13 +238,11 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
     Plan: a failure whose previous event is a success, or a failure more than
     ``within`` earlier, always anchors (the previous burst had closed), so the
     failures split into *clusters* of runs with every gap <= ``within``.
-    Clusters are found by keyed scans; only inside a cluster is the greedy
-    anchoring sequential.  Clusters of at most ``fold_limit`` failures are
-    folded JVM-side over their sorted failures (one bounded group each);
-    larger ones -- a bot failing faster than ``within`` for hours -- go
-    through ``_anchor_chains``, an exact distributed pointer-doubling that
-    never gathers a cluster.  The event after the cluster decides its last
-    burst.  Output: key, first_fail_ts, last_fail_ts, fail_times, warn_msg.
+    Clusters are found by keyed scans; inside a cluster of at least ``n``
+    failures the anchors follow from exact distributed pointer-doubling
+    (``_bursts_by_chains``), whatever its size, so no cluster is ever gathered.
+    The event after the cluster decides its last burst.
+    Output: key, first_fail_ts, last_fail_ts, fail_times, warn_msg.
     """
     w_us = us(within)
     bucket = time_bucket(micros("ts"), us(carry_width))
@@ -206,15 +260,9 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
         F.count(F.lit(1)).alias("_size"),
         F.max_by(F.struct(F.col("next_event_type").alias("t"), F.col("next_ts").alias("ts")),
                  F.struct("ts", "seq")).alias("_after"))
-    # Deciding whether the doubling path is needed is an action; keep the
-    # clustered failures (a small share of all events) so it is not recomputed.
-    clx = cl.select(key, "_head", "ts", "seq").join(info, [key, "_head"]) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    small = clx.filter(F.col("_size") <= fold_limit)
-    large = clx.filter(F.col("_size") > fold_limit)
-    bursts = _bursts_by_fold(small, key, n, w_us, fail)
-    if large.limit(1).count() > 0:
-        bursts = bursts.unionByName(_bursts_by_chains(large, key, n, w_us, fail, carry_width))
+    clx = cl.select(key, "_head", "ts", "seq").join(
+        info.filter(F.col("_size") >= n), [key, "_head"])
+    bursts = _bursts_by_chains(clx, key, n, w_us, fail, carry_width)
     return bursts.select(key, "first_fail_ts", "last_fail_ts", "fail_times",
                          _fmt(BURST_MSG, secs=F.lit(_secs_text(w_us)), n=F.col("fail_times")).alias("warn_msg"))
 
@@ -224,44 +272,9 @@ def _discard(after, anchor_us, w_us: int, fail: str):
     return F.coalesce((after["t"] != fail) & (micros(after["ts"]) <= anchor_us + F.lit(w_us)), F.lit(False))
 
 
-def _bursts_by_fold(clx: DataFrame, key: str, n: int, w_us: int, fail: str) -> DataFrame:
-    """Greedy anchoring folded over each (bounded) cluster's sorted failures."""
-    groups = clx.groupBy(key, "_head").agg(
-        F.array_sort(F.collect_list(F.struct(micros("ts").alias("us"), F.col("ts").alias("ts"),
-                                             F.col("seq").alias("seq")))).alias("_xs"),
-        F.first("_after").alias("_after"))
-    burst_t = "struct<first_ts:timestamp_ntz,last_ts:timestamp_ntz,n:bigint>"
-    init = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.lit(0).cast("bigint").alias("n"),
-                    F.lit(None).cast("timestamp_ntz").alias("f"),
-                    F.lit(None).cast("timestamp_ntz").alias("l"),
-                    F.array().cast(f"array<{burst_t}>").alias("out"))
-
-    def step(acc, x):
-        new = acc["anchor"].isNull() | (x["us"] > acc["anchor"] + F.lit(w_us))
-        closed = F.when(new & (acc["n"] >= n),
-                        F.concat(acc["out"], F.array(F.struct(acc["f"].alias("first_ts"),
-                                                              acc["l"].alias("last_ts"),
-                                                              acc["n"].alias("n")))))
-        return F.struct(F.when(new, x["us"]).otherwise(acc["anchor"]).alias("anchor"),
-                        F.when(new, F.lit(1).cast("bigint")).otherwise(acc["n"] + 1).alias("n"),
-                        F.when(new, x["ts"]).otherwise(acc["f"]).alias("f"),
-                        x["ts"].alias("l"),
-                        F.coalesce(closed, acc["out"]).alias("out"))
-
-    def finish(acc):
-        last = F.array(F.struct(acc["f"].alias("first_ts"), acc["l"].alias("last_ts"),
-                                acc["n"].alias("n")))
-        keep = (acc["n"] >= n) & ~_discard(F.col("_after"), acc["anchor"], w_us, fail)
-        return F.when(keep, F.concat(acc["out"], last)).otherwise(acc["out"])
-
-    bursts = groups.select(key, F.explode(F.aggregate("_xs", init, step, finish)).alias("_b"))
-    return bursts.select(key, F.col("_b.first_ts").alias("first_fail_ts"),
-                         F.col("_b.last_ts").alias("last_fail_ts"), F.col("_b.n").alias("fail_times"))
-
-
 def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
                       carry_width) -> DataFrame:
-    """Greedy anchoring of large clusters without gathering them.
+    """Greedy anchoring inside clusters without gathering them.
 
     ``next(f)`` = first failure after ``f.ts + within`` is a suffix minimum of
     a keyed scan over failures plus one probe row per failure.  The anchors
@@ -274,7 +287,7 @@ def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
     spark = clx.sparkSession
     checkpoint_root(spark)
     ck = [key, "_head"]
-    fl = clx.select(*ck, micros("ts").alias("us"), "ts", "seq", "_after")
+    fl = clx.select(*ck, micros("ts").alias("us"), "ts", "seq", "_after").checkpoint()
     node = F.struct(F.col("us").alias("us"), F.col("seq").alias("seq"))
     probes = fl.select(*ck, (F.col("us") + F.lit(w_us)).alias("us"), F.lit(1).alias("kind"), "seq")
     u = fl.select(*ck, "us", F.lit(0).alias("kind"), "seq").unionByName(probes)

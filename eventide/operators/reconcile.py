@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventide.functions.time import micros
 from eventide.operators.scan import Running, keyed_scan, time_bucket
@@ -130,10 +131,6 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, wait_left, wait_right
     return matched.unionByName(unmatched)
 
 
-def rstruct_type(df: DataFrame, cols: list[str]) -> str:
-    """DDL of a struct of ``cols`` from ``df`` (used for the typed null side)."""
-    fields = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in df.schema.fields
-                      if f.name in cols)
-    order = {c: i for i, c in enumerate(cols)}
-    parts = sorted(fields.split(","), key=lambda s: order[s.split(":")[0].strip("`")])
-    return "struct<" + ",".join(parts) + ">"
+def rstruct_type(df: DataFrame, cols: list[str]) -> StructType:
+    """Struct of ``cols`` of ``df``, whatever their types (for the typed null side)."""
+    return StructType([df.schema[c] for c in cols])

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BK = "_scan_bucket"
+FAN = 4096                 # buckets summarised together where there is no key
 _RT = "_scan_rowtype"      # 0 head (carry in), 1 data, 2 tail (carry from later buckets)
 
 
@@ -66,7 +67,7 @@ def _fields(order: list[str], cols: list[str]) -> list[str]:
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column, *,
                prev: list[str] = (), next: list[str] = (),  # noqa: A002
                running: list[Running] = (), prefix_prev: str = "prev_",
-               prefix_next: str = "next_") -> DataFrame:
+               prefix_next: str = "next_", _top: bool = False) -> DataFrame:
     """Add neighbour and running columns per key, in ``order``.
 
     ``order`` columns must be non-null and unique per key (add a sequence
@@ -97,17 +98,34 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     summary = d.groupBy(*part).agg(*aggs)
 
     # ---- carry across buckets (one row per non-empty bucket) -------------
-    w_k = Window.partitionBy(*keys).orderBy(_BK) if keys else Window.orderBy(_BK)
-    carry_cols = [F.col(k) for k in part]
-    if prev:
-        carry_cols.append(F.lag("_last").over(w_k).alias("_cp"))
-    if next_:
-        carry_cols.append(F.lead("_first").over(w_k).alias("_cn"))
-    for rc, r in zip(rcols, running):
-        frame = (w_k.rowsBetween(Window.unboundedPreceding, -1) if r.direction == "prefix"
-                 else w_k.rowsBetween(1, Window.unboundedFollowing))
-        carry_cols.append(_agg(r.agg, F.col(rc)).over(frame).alias(rc))
-    carry = summary.select(*carry_cols)
+    if keys or _top:
+        # suffix frames are prefix frames of the reversed order: Spark re-aggregates
+        # the whole rest of the partition per row for ``unboundedFollowing``
+        w_k = Window.partitionBy(*keys).orderBy(_BK) if keys else Window.orderBy(_BK)
+        w_r = Window.partitionBy(*keys).orderBy(F.desc(_BK)) if keys else Window.orderBy(F.desc(_BK))
+        carry_cols = [F.col(k) for k in part]
+        if prev:
+            carry_cols.append(F.lag("_last").over(w_k).alias("_cp"))
+        if next_:
+            carry_cols.append(F.lead("_first").over(w_k).alias("_cn"))
+        for rc, r in zip(rcols, running):
+            w_c = (w_k if r.direction == "prefix" else w_r).rowsBetween(Window.unboundedPreceding, -1)
+            carry_cols.append(_agg(r.agg, F.col(rc)).over(w_c).alias(rc))
+        carry = summary.select(*carry_cols)
+    else:
+        # without a key the summary itself is scanned, in groups of FAN buckets: only
+        # the second level's rows (one per FAN buckets) meet in one window
+        level = summary.withColumnRenamed(_BK, "_b").withColumnsRenamed(
+            {rc: "_t" + rc for rc in rcols})
+        level = keyed_scan(
+            level, [], ["_b"], F.floor(F.col("_b") / FAN), prev=["_last"] if prev else [],
+            next=["_first"] if next_ else [],
+            running=[Running(rc + "c", F.col("_t" + rc), r.agg, r.direction, False)
+                     for rc, r in zip(rcols, running)], _top=True)
+        carry = level.select(
+            F.col("_b").alias(_BK), *([F.col("prev__last").alias("_cp")] if prev else []),
+            *([F.col("next__first").alias("_cn")] if next_ else []),
+            *[F.col(rc + "c").alias(rc) for rc in rcols])
 
     schema = {f.name: f.dataType for f in d.schema.fields}
     data_cols = [c for c in d.columns]
@@ -139,10 +157,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
 
     # ---- one window per (key, bucket) over head + data + tail -------------
     w = Window.partitionBy(*part).orderBy(F.col(_RT), *[F.col(c) for c in order])
+    back = Window.partitionBy(*part).orderBy(F.desc(_RT), *[F.desc(c) for c in order])
     frames = {("prefix", True): w.rowsBetween(Window.unboundedPreceding, Window.currentRow),
               ("prefix", False): w.rowsBetween(Window.unboundedPreceding, -1),
-              ("suffix", True): w.rowsBetween(Window.currentRow, Window.unboundedFollowing),
-              ("suffix", False): w.rowsBetween(1, Window.unboundedFollowing)}
+              ("suffix", True): back.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+              ("suffix", False): back.rowsBetween(Window.unboundedPreceding, -1)}
     out_cols = [F.col(c) for c in df.columns]
     out_cols += [F.lag(c).over(w).alias(prefix_prev + c) for c in prev]
     out_cols += [F.lead(c).over(w).alias(prefix_next + c) for c in next_]
@@ -200,7 +219,7 @@ def bounded_next_min(df: DataFrame, keys: list[str], order: list[str], ts_us: Co
     b0 = ((t - F.lit(within_us)) - F.pmod(t - F.lit(within_us), F.lit(width))) / F.lit(width)
     d = df.withColumn("_bn_home", b1.cast("bigint")).withColumn("_bn_expr", expr) \
         .withColumn(_BK, F.explode(F.sequence(b0.cast("bigint"), b1.cast("bigint"))))
-    w = Window.partitionBy(*keys, _BK).orderBy(*[F.col(c) for c in order]) \
-        .rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy(*keys, _BK).orderBy(*[F.desc(c) for c in order]) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     out = d.select("*", F.min("_bn_expr").over(w).alias(name))
     return out.filter(F.col(_BK) == F.col("_bn_home")).drop(_BK, "_bn_home", "_bn_expr")

@@ -18,7 +18,7 @@ def uv_exact(df: DataFrame, size, user: str = "user_id", ts: str = "ts") -> Data
     is ever gathered as a set; then counts per window.
     """
     size_us = us(size)
-    pairs = df.select(pane_end_us(ts, size_us).alias("_e"), F.col(user).alias("_u")).distinct()
+    pairs = df.where(F.col(ts).isNotNull()).select(pane_end_us(ts, size_us).alias("_e"), F.col(user).alias("_u")).distinct()
     return pairs.groupBy("_e").agg(F.count(F.lit(1)).alias("uv")) \
                 .select(from_micros("_e").alias("window_end"), "uv")
 
@@ -39,7 +39,7 @@ def uv_bitmap(df: DataFrame, size, user: str = "user_id", ts: str = "ts",
     """
     size_us = us(size)
     h = user_hash(user, seed, bits)
-    chunks = df.select(pane_end_us(ts, size_us).alias("_e"), h.alias("_h")) \
+    chunks = df.where(F.col(ts).isNotNull()).select(pane_end_us(ts, size_us).alias("_e"), h.alias("_h")) \
         .groupBy("_e", F.bitmap_bucket_number("_h").alias("_b")) \
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bm"))
     return chunks.groupBy("_e").agg(F.sum(F.bitmap_count("_bm")).alias("uv")) \

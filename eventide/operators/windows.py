@@ -42,7 +42,8 @@ def tumbling_count(df: DataFrame, keys: list[str], size, ts: str = "ts",
     """O-25: rows per key and tumbling window -> keys, window_start, window_end, cnt."""
     size_us = us(size)
     e = pane_end_us(ts, size_us)
-    agg = df.groupBy(*keys, e.alias("_e")).agg(F.count(F.lit(1)).alias(count_name))
+    agg = df.where(F.col(ts).isNotNull()).groupBy(*keys, e.alias("_e")).agg(
+        F.count(F.lit(1)).alias(count_name))
     return agg.select(*keys, from_micros(F.col("_e") - F.lit(size_us)).alias("window_start"),
                       from_micros("_e").alias("window_end"), count_name)
 
@@ -87,14 +88,14 @@ def pv_salted(df: DataFrame, size, n: int = 10, ts: str = "ts",
     size_us = us(size)
     cols = salt_cols or [c for c in df.columns]
     e = pane_end_us(ts, size_us)
-    first = df.groupBy(_salt(cols, n).alias("_s"), e.alias("_e")).agg(F.count(F.lit(1)).alias("_c"))
+    first = df.where(F.col(ts).isNotNull()).groupBy(_salt(cols, n).alias("_s"), e.alias("_e")).agg(F.count(F.lit(1)).alias("_c"))
     return first.groupBy("_e").agg(F.sum("_c").alias("cnt")) \
                 .select(from_micros("_e").alias("window_end"), "cnt")
 
 
 def _pane_deltas(df: DataFrame, keys: list[str], size_us: int, slide_us: int,
                  ts: str) -> DataFrame:
-    panes = df.groupBy(*keys, pane_end_us(ts, slide_us).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, pane_end_us(ts, slide_us).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     deltas = panes.select(*keys, F.explode(F.array(
         F.struct(F.col("_p").alias("e"), F.col("_c").alias("d")),
         F.struct((F.col("_p") + F.lit(size_us)).alias("e"), (-F.col("_c")).alias("d")),

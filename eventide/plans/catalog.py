@@ -53,11 +53,34 @@ def _pv(spark, sf):
 def parse_behavior(spark, sf):
     lines = td.behavior_lines(spark, sf)
     parsed = files.parse_user_behavior(lines)
-    return only(parsed, "behavior", "pv").drop("_corrupt")
+    return _clean(only(parsed, "behavior", "pv"))
+
+
+def _clean(parsed):
+    """Parsed rows without the malformed lines (those are tagged ``_corrupt``)."""
+    return parsed.filter(~F.col("_corrupt")).drop("_corrupt")
+
+
+def parse_ad_click(spark, sf):
+    return _clean(files.parse_ad_click(td.csv_lines(
+        td.ad_clicks(spark, sf), "user_id", "ad_id", "province", "city")))
+
+
+def parse_login(spark, sf):
+    return _clean(files.parse_login(td.csv_lines(td.logins(spark, sf), "user_id", "ip", "event_type")))
+
+
+def parse_order(spark, sf):
+    return _clean(files.parse_order(td.csv_lines(td.order_events(spark, sf), "order_id", "event_type", "tx_id")))
+
+
+def parse_receipt(spark, sf):
+    return _clean(files.parse_receipt(td.csv_lines(td.receipts(spark, sf), "tx_id", "pay_channel")))
 
 
 def access_log_parse(spark, sf):
-    return files.parse_access_log(td.access_log_lines(spark, sf)).drop("_corrupt")
+    return files.parse_access_log(td.access_log_lines(spark, sf)).filter(
+        ~F.col("_corrupt")).drop("_corrupt")
 
 
 def _page_requests(spark, sf):
@@ -92,9 +115,10 @@ def ranking_report(spark, sf):
     return topn.ranking_report(hot_items_topn(spark, sf), "item_id")
 
 
-def topn_changelog(spark, sf):
+def topn_changelog(spark, sf, cutoff: dt.datetime = CHANGELOG_CUTOFF):
+    """Rows that turn the ranking of the events before ``cutoff`` into that of all events."""
     pv = _pv(spark, sf)
-    cut = ntz_literal(CHANGELOG_CUTOFF.strftime("%Y-%m-%d %H:%M:%S"))
+    cut = ntz_literal(cutoff.strftime("%Y-%m-%d %H:%M:%S"))
 
     def top(df):
         c = windows.sliding_count(df, ["item_id"], HOT_ITEMS["size"], HOT_ITEMS["slide"])
@@ -108,7 +132,7 @@ def pv_hourly(spark, sf):
 
 
 def pv_salted(spark, sf):
-    return windows.pv_salted(_pv(spark, sf), H, n=10)
+    return windows.pv_salted(_pv(spark, sf), H, n=10, salt_cols=["seq"])
 
 
 def uv_exact(spark, sf):
@@ -163,6 +187,12 @@ def channel_sliding(spark, sf):
     return windows.sliding_count_sparse(m, ["channel", "behavior"], MARKET["size"], MARKET["slide"])
 
 
+def channel_sliding_dense(spark, sf):
+    """Every window of every key, as the reference emits them; hourly slides keep the output near the input."""
+    kept = exclude(td.market_events(spark, sf), "behavior", "uninstall")
+    return windows.sliding_count_dense(kept, ["channel", "behavior"], MARKET["size"], H)
+
+
 def _ad_ranked(spark, sf):
     r = caps.rate_cap(td.ad_clicks(spark, sf), ["user_id", "ad_id"], AD_CAP, AD_TZ)
     return r.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
@@ -194,6 +224,14 @@ def login_pattern(spark, sf):
     return patterns.failure_pattern(td.logins(spark, sf), LOGIN_WITHIN, inclusive=False)
 
 
+def sequence_3step(spark, sf):
+    """A failure, the very next event a failure too, and a success any time later, within a day of the first."""
+    is_fail = F.col("event_type") == "fail"
+    steps = [patterns.Step("first", is_fail), patterns.Step("second", is_fail, "next"),
+             patterns.Step("relief", F.col("event_type") == "success")]
+    return patterns.match_sequence(td.logins(spark, sf), ["user_id"], steps, DAY)
+
+
 def _funnel(spark, sf):
     return patterns.order_funnel(td.order_events(spark, sf), ORDER_TIMEOUT)
 
@@ -255,6 +293,12 @@ def _pinned(q: Query) -> Query:
 
 
 _QUERIES: dict[str, Query] = {
+    "parse_ad_click": parse_ad_click,
+    "parse_login": parse_login,
+    "parse_order": parse_order,
+    "parse_receipt": parse_receipt,
+    "channel_sliding_dense": channel_sliding_dense,
+    "sequence_3step": sequence_3step,
     "parse_behavior": parse_behavior,
     "access_log_parse": access_log_parse,
     "static_filter": static_filter,

@@ -86,8 +86,8 @@ M_SIZE, M_SLIDE = us(C.MARKET["size"]), us(C.MARKET["slide"])
 
 ADS = f"""ads AS (SELECT e.user_id, {K} % 3 AS ad_id, n.n_name AS province, c.c_mktsegment AS city,
                   e.ts, e.event_id AS seq, strftime(e.ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day
-           FROM events e JOIN customer c ON e.user_id = c.c_custkey
-                         JOIN nation n ON c.c_nationkey = n.n_nationkey
+           FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+                         LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
            WHERE e.event_type = 'click'),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, day ORDER BY ts, seq)
                   AS day_rank FROM ads)"""
@@ -252,6 +252,34 @@ HOUR = 3_600_000_000
 
 
 ORACLE: dict[str, str] = {
+    "parse_ad_click": f"""WITH {ADS} SELECT user_id, ad_id, coalesce(province, '') AS province,
+        coalesce(city, '') AS city, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts FROM ads""",
+    "parse_login": f"""WITH {LOGINS} SELECT user_id, ip, event_type,
+        make_timestamp((us // 1000000) * 1000000) AS ts FROM lg""",
+    "parse_order": f"""WITH {ORDERS} SELECT order_id, t AS event_type,
+        CASE WHEN t = 'pay' THEN CAST(order_id AS VARCHAR) ELSE '' END AS tx_id,
+        make_timestamp((us // 1000000) * 1000000) AS ts FROM od""",
+    "parse_receipt": f"""WITH {TX_REC} SELECT tx_id, pay_channel,
+        make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts FROM rec""",
+    "channel_sliding_dense": f"""WITH {MARKET}, x AS (
+          SELECT channel, behavior, {end_of('epoch_us(ts)', HOUR, 'i')} AS e
+          FROM mk CROSS JOIN range({M_SIZE // HOUR}) t(i) WHERE behavior <> 'uninstall')
+        SELECT channel, behavior, make_timestamp(e - {M_SIZE}) AS window_start, make_timestamp(e) AS window_end,
+               count(*) AS cnt FROM x GROUP BY ALL""",
+    "sequence_3step": f"""WITH {LOGINS},
+        o AS (SELECT user_id, event_type, ts, us,
+                     row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS rn FROM lg),
+        m AS (SELECT a.user_id, a.ts AS first_ts, a.us AS first_us,
+                     CASE WHEN b.event_type = 'fail' THEN b.ts END AS second_ts, b.rn AS brn
+              FROM o a LEFT JOIN o b ON a.user_id = b.user_id AND b.rn = a.rn + 1 WHERE a.event_type = 'fail'),
+        r AS (SELECT m.*, (SELECT min(c.us) FROM o c WHERE c.user_id = m.user_id AND c.rn > m.brn
+                           AND c.event_type = 'success') AS relief_us FROM m),
+        k AS (SELECT *, second_ts IS NOT NULL AND epoch_us(second_ts) - first_us < {us(C.DAY)} AS ok2 FROM r),
+        f AS (SELECT *, ok2 AND relief_us IS NOT NULL AND relief_us - first_us < {us(C.DAY)} AS ok3 FROM k)
+        SELECT user_id, CASE WHEN ok3 THEN 'MATCH' ELSE 'TIMEOUT' END AS tag,
+               CAST(1 + coalesce(CAST(ok2 AS INT), 0) + coalesce(CAST(ok3 AS INT), 0) AS INT) AS steps, first_ts,
+               CASE WHEN ok2 THEN second_ts END AS second_ts,
+               CASE WHEN ok3 THEN make_timestamp(relief_us) END AS relief_ts FROM f""",
     "parse_behavior": f"""SELECT user_id, {K} AS item_id, CAST({K} % 10 AS INTEGER) AS category_id,
         'pv' AS behavior, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts
         FROM events WHERE event_type = 'view'""",

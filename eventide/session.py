@@ -74,8 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and streaming state.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster it names a
-    shared file system).  Only when it is unset, as in local tests, a fresh
-    scratch folder is created and registered as the context's checkpoint dir.
+    shared file system).  Only when it is unset and the master is local, as in
+    tests, a fresh scratch folder is created and registered as the context's checkpoint dir.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -83,6 +83,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
+        master = sc.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="eventide-ckpt-")
     sc.setCheckpointDir(root)
     return root

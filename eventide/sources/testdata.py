@@ -98,6 +98,13 @@ def behavior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 secs.cast("string")).alias("value"), "seq")
 
 
+def csv_lines(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows rendered as the reference's CSV lines: ``cols`` and the time in seconds; null fields are empty."""
+    secs = F.floor(micros("ts") / F.lit(1_000_000)).cast("bigint")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+    return df.select(F.concat_ws(",", *fields, secs.cast("string")).alias("value"), "seq")
+
+
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-log line per event: ``ip user - time zone method url``."""
     e = events(spark, sf_dir)
@@ -131,8 +138,9 @@ def ad_clicks_from(spark: SparkSession, sf_dir: str, e: DataFrame, keep: tuple =
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # nation has a fixed 25 rows in every scale: a proven broadcast bound.
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    return (e.join(cust, e.user_id == cust.c_custkey, "inner")
-             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    # a click of an unknown user stays, with a null province
+    return (e.join(cust, e.user_id == cust.c_custkey, "left")
+             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
              .select("user_id", (_k() % 3).alias("ad_id"), F.col("n_name").alias("province"),
                      F.col("c_mktsegment").alias("city"), "ts", F.col("event_id").alias("seq"),
                      *keep))

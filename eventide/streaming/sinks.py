@@ -42,7 +42,8 @@ def run_stream(df: DataFrame, sink: str | Callable = "memory", mode: str = "appe
 
 
 def console_sink(df: DataFrame, label: str, mode: str = "append", **kw):
-    """O-04: print a stream with a label column (the reference's ``print("RES")``)."""
+    """O-04: print a stream with a label column, every row of every batch and whole values."""
+    kw["options"] = {"numRows": str(2 ** 31 - 1), "truncate": "false"} | (kw.get("options") or {})
     return run_stream(df.withColumn("tag", F.lit(label)), "console", mode, **kw)
 
 

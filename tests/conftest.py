@@ -5,7 +5,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-FIXTURES = os.path.join(ROOT, "tests", "fixtures")
+sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 
 @pytest.fixture(scope="session")
@@ -14,14 +14,3 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8, app="eventide-tests")
     yield s
 
-
-@pytest.fixture(scope="session")
-def read_fixture(spark):
-    """Lines of a fixture CSV with their line number as arrival ``seq``."""
-    from pyspark.sql import functions as F
-
-    def read(name):
-        lines = open(os.path.join(FIXTURES, name), encoding="utf-8").read().splitlines()
-        rows = [(i, line) for i, line in enumerate(lines) if line.strip()]
-        return spark.createDataFrame(rows, "seq bigint, value string").select("value", F.col("seq"))
-    return read

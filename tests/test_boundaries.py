@@ -1,4 +1,4 @@
-"""Boundary instants and edge cases of the contracts."""
+"""Boundary instants and edge cases of the contracts."""
 
 import datetime as dt
 
