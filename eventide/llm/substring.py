@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import arrow_map, keep, rekeyed, slices, texts_of
+from eventide.llm.common import arrow_map, keep, rekeyed, release, slices, texts_of
 
 WINDOW = 50
 ROUNDS = 3           # levels above words; more make longer but context-bound symbols
@@ -199,6 +199,7 @@ def repeat_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     traced = pieces.join(source, (pieces.symbol == source.s) & (pieces.content == source.c))
     traced = keep(traced.join(several, traced.symbol == several.s2, "left").where(
         "doc_id > source or s2 is not null").select("doc_id", "mark", "first", "n", "symbol", "source"), "traced")
+    release(pieces)
     whole = traced.where("doc_id > source").select("doc_id", "mark", "first", "n")
     asked = traced.where("doc_id = source").groupBy("doc_id", "mark").agg(
         F.collect_set(F.struct("first", "n", "symbol")).alias("asked"))    # as long as the text at most
