@@ -50,9 +50,10 @@ class Automaton:
         self.parts: dict[int, tuple[int, int, int]] = {}      # merged token: left, right, when
         self.lost: list[dict[int, int]] = [{}]                # state: arc -> when it was lost
         reached = {0: len(self.state) + 1}                    # state: tokens that lead to it, and the start
+        self.last = len(merges) + 1     # later than any merge
         for when, (u, v, w) in enumerate(merges, 1):
-            if u not in self.state or v not in self.state or w in self.state:
-                continue
+            if u not in self.state or v not in self.state or w in self.state or not self.readable(self.state[u], v):
+                continue        # no text ever comes to read u and then v
             q, after = self.state[u], self.state[v]
             if reached[q] > 1 or u == v:    # the merged token goes on as v did before
                 reached[q] -= 1
@@ -66,19 +67,22 @@ class Automaton:
         self.longest = max(map(len, label.values()))
         self.arcs: dict[tuple[int, int], bool] = {}
 
+    def readable(self, state: int, token: int) -> bool:
+        """Whether ``state`` has an arc for ``token`` as built so far."""
+        lost, until = self.lost[state], self.last
+        while lost.get(token, until + 1) > until:   # a merged token needs its left part's arc when it was added
+            if token not in self.parts:
+                return True
+            token, _, until = self.parts[token]
+        return False
+
     def arc(self, state: int, token: int) -> bool:
-        """Whether ``token`` can be read in ``state``."""
+        """:meth:`readable` in the finished automaton, remembered."""
         got = self.arcs.get((state, token))
         if got is None:
-            lost, t, until = self.lost[state], token, len(self.parts) * 2
-            while True:     # an arc of a merged token needs its left part's arc when it was added
-                got = lost.get(t, until + 1) > until
-                if not got or t not in self.parts:
-                    break
-                t, _, until = self.parts[t]
             if len(self.arcs) >= MEMO:
                 self.arcs.clear()
-            self.arcs[state, token] = got
+            got = self.arcs[state, token] = self.readable(state, token)
         return got
 
     def encode(self, word: bytes) -> list[int]:
