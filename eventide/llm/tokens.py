@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from eventide.llm.bpe import byte_letters
 
-GENERATION = 300_000   # chunks per generation of the table; two generations live at once
+GENERATION = 400_000   # chunks per generation of the table; two generations live at once
 MARKS = frozenset(".,!?;:")
 LONGEST = 64           # longer chunks are encoded but not remembered
 #: The pre-split pattern of the word-level vocabulary.
@@ -41,6 +41,8 @@ class ChunkIds:
         self.tok.no_padding()
         self.model = self.tok.model
         self.special = [t["content"] for t in spec.get("added_tokens", ())]
+        first = {t[0] for t in self.special}
+        self.mark = first.pop() if len(first) == 1 else ""      # no special token without this character
         splits = [p["pattern"]["Regex"] for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", ())
                   if p["type"] == "Split"]
         steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", ())]
@@ -66,7 +68,8 @@ class ChunkIds:
         found, rest = {}, []
         for c in chunks:
             s = c.decode("utf-8")
-            if self.direct and (s.isascii() or max(s) < "\u0130") and not any(t in s for t in self.special):
+            if self.direct and (s.isascii() or max(s) < "\u0130") and (
+                    self.mark not in s or not any(t in s for t in self.special)):
                 s = s.lower()
                 if s.isalpha():
                     found[c] = self._piece(s)
@@ -89,12 +92,15 @@ class ChunkIds:
         for t in texts:
             chunks = t.split()
             ids = list(map(self.young.get, chunks))
-            if None in ids:
-                new = {c for c, i in zip(chunks, ids) if i is None}
+            gaps = [k for k, i in enumerate(ids) if i is None]
+            if gaps:
+                new = {chunks[k] for k in gaps}
                 own = {c: self.old[c] for c in new if c in self.old}
                 own.update(self.learn([c for c in new if c not in own]))
-                ids = [own[c] if i is None else i for c, i in zip(chunks, ids)]
-                self.young.update((c, i) for c, i in own.items() if len(c) <= LONGEST)
+                for k in gaps:
+                    ids[k] = own[chunks[k]]
+                self.young.update(own if max(map(len, own)) <= LONGEST else
+                                  {c: i for c, i in own.items() if len(c) <= LONGEST})
                 if len(self.young) > GENERATION:
                     self.old, self.young = self.young, {}
             out.append(b"".join(ids))
