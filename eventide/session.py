@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job here assumes: UTC session clock (so event-time text and
@@ -56,6 +57,21 @@ def _export_package_path() -> None:
         os.environ["PYTHONPATH"] = os.pathsep.join([root] + paths)
 
 
+def importable(spark: SparkSession | None = None) -> None:
+    """Let the Python workers of a session (or of those still to start) import this package.
+
+    Works where executors see this folder, as local sessions do.  On a cluster
+    ship the package with ``--py-files`` (or ``ship_package``).
+    """
+    _export_package_path()
+    sc = spark.sparkContext if spark else SparkContext._active_spark_context
+    if sc:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        known = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in known:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([root] + known)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Zip the package and add it to the session, so executors can import it."""
     import shutil
