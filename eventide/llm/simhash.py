@@ -6,9 +6,12 @@ rotation of the fingerprint leads with it and is dealt by its value; inside a
 dealt cell the fingerprints are sorted by Gray rank, runs of them are factored
 into nodes that hold the bits all members share, and pairs of nodes are opened
 only while the differences on their shared bits stay within ``max_bits``.
-A block value with more than ``CELL`` fingerprints is split into chunks, and
-each pair of chunks is a cell of its own, so no task holds a hot group.  Cells
-return a spanning forest of the links they find, never all pairs.
+A block value with more than ``CELL`` fingerprints is dealt again by the blocks
+of its other bits, of which linked fingerprints also share at least one; only
+a value that is still too large there is split into chunks, each pair of them a
+cell of its own, so no task holds a hot group and a corpus of any size is dealt
+by as many bits as it needs.  Cells return a spanning forest of the links they
+find, never all pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from eventide.llm.common import arrow_map, keep, rekeyed, slices, texts_of
 from eventide.llm.components import components
 
 SEED = 42
-CELL = 512          # fingerprints of one block value that a chunk holds
+CELL = 512          # fingerprints of one dealt value before it is dealt or split further
 FANOUT = 8          # children per index node
 BLOCK_BITS = 16     # bits of a block used for dealing: at most (max_bits + 1) * 2**16 values
 HASHES = 1 << 18    # shingle hashes held at once
@@ -139,18 +142,31 @@ def gray_links(reps: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
     blocks = max_bits + 1
     width = 64 // blocks
     low = (1 << min(width, BLOCK_BITS)) - 1
-    rot = reps.select("fp", "rep", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("r"), F.shiftrightunsigned("fp", r * width).bitwiseAND(F.lit(low)).alias("key"))
-        for r in range(blocks)])).alias("b")).select("fp", "rep", "b.r", "b.key")
+    inner = (64 - width) // blocks
+    turned = F.array(*[F.struct(
+        F.lit(r).alias("r"), F.shiftrightunsigned("fp", r * width).bitwiseOR(
+            F.shiftleft("fp", (64 - r * width) % 64)).alias("turn")) for r in range(blocks)])
+    rot = reps.select("fp", "rep", F.explode(turned).alias("b")).select("fp", "rep", "b.r", "b.turn")
+    rot = rot.withColumn("key", F.col("turn").bitwiseAND(F.lit(low)))
     # at most blocks * 2**BLOCK_BITS rows, whatever the input: small enough to broadcast
     hot = rot.groupBy("r", "key").count().where(F.col("count") > cell)
-    chunks = F.coalesce(F.ceil(F.col("count") / cell), F.lit(1))
+    rot = rot.join(F.broadcast(hot), ["r", "key"], "left")
+    cool = rot.where("count is null").select(F.xxhash64("r", "key").alias("value"), "fp", "rep")
+    again = F.array(*[F.struct(
+        F.lit(s).alias("s"), F.shiftrightunsigned("turn", width + s * inner).bitwiseAND(
+            F.lit((1 << inner) - 1)).alias("sub")) for s in range(blocks)])
+    parts = rot.where("count is not null").withColumn("b", F.explode(again)).select(
+        F.xxhash64("r", "key", "b.s", "b.sub").alias("value"), "fp", "rep")
+    still = parts.groupBy("value").count().where(F.col("count") > cell).select(
+        rekeyed("value").alias("v"), F.ceil(F.col("count") / cell).alias("chunks"))
+    split = parts.join(still, parts.value == still.v, "left").select(
+        "value", "fp", "rep", F.coalesce("chunks", F.lit(1).cast("long")).alias("chunks"))
     mine = F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    dealt = (rot.join(F.broadcast(hot), ["r", "key"], "left").withColumn("chunks", chunks).withColumn("c", mine)
-             .withColumn("cell", F.explode(F.transform(
-                 F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
-                 lambda j: F.least("c", j) * F.col("chunks") + F.greatest("c", j))))
-             .select(F.xxhash64("r", "key", "cell").alias("cell"), "fp", "rep"))
+    split = (split.withColumn("c", mine).withColumn("cell", F.explode(F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
+        lambda j: F.least("c", j) * F.col("chunks") + F.greatest("c", j))))
+        .select(F.xxhash64("value", "cell").alias("cell"), "fp", "rep"))
+    dealt = cool.withColumnRenamed("value", "cell").union(split)
 
     def links(cells, fps, reps_):
         order = np.lexsort((gray_rank(fps), cells))

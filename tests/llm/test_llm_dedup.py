@@ -66,6 +66,38 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * ones[b] > len(grams))
 
 
+@pytest.mark.parametrize("max_bits", [0, 1, 3, 5])
+def test_gray_links_of_a_shared_block(spark, max_bits):
+    """Fingerprints that share their leading bits, some of them near: no link is lost however often they are dealt."""
+    rng = random.Random(11)
+    fps = {rng.getrandbits(48) | 0xABCD << 48 for _ in range(150)}
+    for x in list(fps)[:60]:
+        for bit in rng.sample(range(64), rng.randrange(1, 7)):
+            x ^= 1 << bit
+        fps.add(x)
+    fps = sorted(fps)
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    reps = spark.createDataFrame(list(zip(signed, range(len(fps)))), "fp long, rep long")
+    lab = list(range(len(fps)))
+
+    def root(i):
+        while lab[i] != i:
+            i = lab[i]
+        return i
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= max_bits:
+                a, b = sorted((root(i), root(j)))
+                lab[b] = a
+    want = {i: root(i) for i in range(len(fps))}
+    links = [tuple(r) for r in simhash.gray_links(reps, max_bits, cell=8).collect()]
+    lab = list(range(len(fps)))
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        lab[b] = a
+    assert {i: root(i) for i in range(len(fps))} == want
+
+
 @pytest.mark.parametrize("cell", [simhash.CELL, 4])
 def test_simhash_against_all_pairs(spark, docs, cell, monkeypatch):
     monkeypatch.setattr(simhash.gray_links, "__defaults__", (cell,))
