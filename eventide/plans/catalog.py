@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from eventide.functions.text import drop_static_assets, exclude, only
 from eventide.functions.time import ntz_literal
-from eventide.session import use_utc
+from eventide.session import DEFAULT_CONF, scratch_path, use_utc
 from eventide.operators import caps, late, patterns, reconcile, topn, uniques, windows
 from eventide.sources import files, testdata as td
+from eventide.streaming import jobs
+from eventide.streaming.sinks import run_stream
 
 H = dt.timedelta(hours=1)
 MIN = dt.timedelta(minutes=1)
@@ -283,6 +285,51 @@ def tx_unmatched(spark, sf):
     return _flat_reconciled(_reconciled(spark, sf).filter(F.col("tag") == "UNMATCHED"))
 
 
+def _stream_table(spark, sf, name, job):
+    """The sink table of an ``availableNow`` run of ``job`` over the events stream (contract C10).
+
+    Only what the watermark closed is in it, so the last instants of the input are not.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"])
+    # as a pattern, which the file source also takes where the table is a single file
+    out = job(td.events_stream(spark, f"{sf.rstrip('/')}/events.parque[t]"))
+    path = scratch_path(spark, name)
+    run_stream(out, "parquet", name=name, options={"path": path})
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def stream_hot_items(spark, sf):
+    """Rankings of the windows the stream has closed."""
+    counts = _stream_table(spark, sf, "stream_hot_items", jobs.stream_hot_item_counts)
+    return topn.topn_per_window(counts, HOT_ITEMS["n"], "item_id").select("item_id", "window_end", "cnt", "rank")
+
+
+def stream_uv(spark, sf):
+    return _stream_table(spark, sf, "stream_uv", jobs.stream_uv)
+
+
+def stream_tx_join(spark, sf):
+    secs = (int(d.total_seconds()) for d in (TX_LOWER, TX_UPPER))
+    return _stream_table(spark, sf, "stream_tx_join", lambda e: jobs.stream_tx_join(e, *secs))
+
+
+def stream_login_pairs(spark, sf):
+    return _stream_table(spark, sf, "stream_login_pairs", lambda e: jobs.stream_login_pairs(
+        e, windows.us(LOGIN_WITHIN))).select("user_id", "first_fail_ts", "last_fail_ts", "warn_msg")
+
+
+def stream_order_paid(spark, sf):
+    out = _stream_table(spark, sf, "stream_order_paid", lambda e: jobs.stream_order_funnel(
+        e, windows.us(ORDER_TIMEOUT)))
+    return out.filter(F.col("tag") == "PAY").select("order_id", "create_ts", "pay_ts")
+
+
+def stream_ad_passed(spark, sf):
+    out = _stream_table(spark, sf, "stream_ad_passed", lambda e: jobs.stream_ad_cap(spark, sf, e, AD_CAP, AD_TZ))
+    return out.filter(F.col("tag") == "PASS").select("user_id", "ad_id", "province", "city", "ts", "day")
+
+
 def _pinned(q: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         use_utc(spark)
@@ -329,6 +376,12 @@ _QUERIES: dict[str, Query] = {
     "tx_interval_join": tx_interval_join,
     "tx_matched": tx_matched,
     "tx_unmatched": tx_unmatched,
+    "stream_hot_items": stream_hot_items,
+    "stream_uv": stream_uv,
+    "stream_tx_join": stream_tx_join,
+    "stream_login_pairs": stream_login_pairs,
+    "stream_order_paid": stream_order_paid,
+    "stream_ad_passed": stream_ad_passed,
 }
 
 QUERIES: dict[str, Query] = {k: _pinned(v) for k, v in _QUERIES.items()}

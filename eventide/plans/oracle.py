@@ -342,3 +342,21 @@ ORACLE: dict[str, str] = {
     "tx_matched": TX_MATCHED,
     "tx_unmatched": TX_UNMATCHED,
 }
+
+# Streams (contract C10): what the watermark, the latest instant of the rows a job reads, has closed.
+
+
+def _closed(query: str, column: str, types: str = "", sign: str = "<", cols: str = "*") -> str:
+    where = f" WHERE event_type IN ({types})" if types else ""
+    return (f"SELECT {cols} FROM ({ORACLE[query]}) WHERE {column} {sign} "
+            f"(SELECT date_trunc('milliseconds', max(ts)) FROM events{where})")
+
+
+ORACLE |= {
+    "stream_hot_items": _closed("hot_items_topn", "window_end", "'view', 'pv'", "<="),
+    "stream_uv": _closed("uv_exact", "window_end", "'view'", "<="),
+    "stream_tx_join": TX_JOIN,
+    "stream_login_pairs": _closed("login_pairs", "last_fail_ts", cols="* EXCLUDE (fail_times)"),
+    "stream_order_paid": _closed("order_paid", "pay_ts", "'signup', 'purchase'", cols="* EXCLUDE (msg)"),
+    "stream_ad_passed": _closed("ad_passed", "ts", "'click'"),
+}

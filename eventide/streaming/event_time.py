@@ -16,7 +16,8 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "0 seconds",
     delay the bounded case (O-44).  ``withWatermark`` rejects ``timestamp_ntz``
     (contract C11), so the NTZ instant is rebuilt as a ``timestamp`` from its
     epoch microseconds (zone-free) in column ``out``; ``ts_us`` keeps the
-    exact microseconds for stateful processors.
+    exact microseconds for stateful processors.  Catalyst pushes later filters
+    below the watermark, so it follows the rows that a job itself reads.
     """
     us = micros(ts)
     return df.withColumn("ts_us", us) \

@@ -1,8 +1,9 @@
 """Streaming twins of the batch jobs (Structured Streaming, event time).
 
 Each function takes the raw ``events`` stream (``testdata.events_stream``),
-declares event time *before* any filter (so every row advances the
-watermark), and returns a streaming DataFrame; ``sinks.run_stream`` runs it.
+declares event time and returns a streaming DataFrame; ``sinks.run_stream``
+runs it.  Catalyst moves a job's type filter below the watermark, so the
+watermark follows the job's own rows, not those it filters out.
 Windowed counts run in ``append`` mode (a window is emitted once, when the
 watermark closes it); keyed state machines run through
 ``transformWithState``; the two-stream interval join is a stream-stream join

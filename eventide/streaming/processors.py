@@ -2,7 +2,8 @@
 
 Spark delivers the rows of one key in a micro-batch unordered and filters
 late rows.  ``OrderedKeyProcessor`` therefore buffers a key's rows in list
-state and registers an event-time timer per row; when the watermark passes,
+state and keeps one event-time timer per key, for the earliest instant something
+may be due (an earlier one replaces it); when the watermark passes,
 the buffered rows older than the watermark are worked off in ``(ts, tie,
 seq)`` order (contract C1) by a small per-key *machine*, whose state lives in
 value state.  Machines can also ask for a deadline timer (a burst closing, a
@@ -208,6 +209,19 @@ class RateCapMachine(Machine):
                      CAP_MSG.format(n=self.n))]
         return []
 
+    def _day_end(self, day: str) -> int:
+        """The first instant after a local day, in epoch microseconds."""
+        after = dt.datetime.combine(dt.date.fromisoformat(day) + dt.timedelta(days=1), dt.time(), self.tz)
+        return int(after.timestamp()) * 1_000_000
+
+    def expire(self, key, st, wm_us):
+        if st["day"] is not None and wm_us >= self._day_end(st["day"]):
+            st.update(self.initial())   # no row of that day can still come
+        return []
+
+    def deadline(self, st):
+        return None if st["day"] is None else self._day_end(st["day"])
+
 
 def _names(ddl: str) -> list[str]:
     return [f.strip().split(" ")[0] for f in ddl.split(",")]
@@ -309,17 +323,28 @@ class OrderedKeyProcessor(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buffer", self.in_ddl)
         self.st = handle.getValueState("machine", self.machine.state_ddl)
+        self.due = handle.getValueState("due", "ms long")
+
+    def _wake(self, ms: int) -> None:
+        """Have the key's one timer fire at ``ms`` or earlier."""
+        if self.due.exists():
+            (known,) = self.due.get()
+            if known <= ms:
+                return
+            self.handle.deleteTimer(known)
+        self.handle.registerTimer(ms)
+        self.due.update((ms,))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         batch = [Row(**{f: r[f] for f in self.fields}) for r in rows]
         if batch:
             self.buf.appendList(batch)
-            for ms in {r["ts_us"] // US_PER_MS for r in batch}:
-                self.handle.registerTimer(ms + 1)
+            self._wake(min(r["ts_us"] for r in batch) // US_PER_MS + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.due.clear()
         wm_us = timerValues.getCurrentWatermarkInMs() * US_PER_MS
         stored = list(self.buf.get()) if self.buf.exists() else []
         rows = [Row(**dict(zip(self.fields, tuple(r)))) for r in stored]
@@ -334,12 +359,14 @@ class OrderedKeyProcessor(StatefulProcessor):
         for r in ready:
             out.extend(m.step(key, st, r))
         out.extend(m.expire(key, st, wm_us))
-        self.buf.clear()
-        if rest:
-            self.buf.appendList(rest)
+        if ready:
+            self.buf.clear()
+            if rest:
+                self.buf.appendList(rest)
         dl = m.deadline(st)
-        if dl is not None:
-            self.handle.registerTimer(dl // US_PER_MS + 1)
+        due = [r.ts_us for r in rest] + ([dl] if dl is not None else [])
+        if due:
+            self._wake(min(due) // US_PER_MS + 1)
         if dl is None and not rest and all(v in (None, 0, []) for v in st.values()):
             self.st.clear()
         else:

@@ -166,3 +166,18 @@ def test_stream_hot_pages_refined_topn(spark, tmp_path):
     counts = windows.sliding_count(req, ["url"], dt.timedelta(minutes=10), dt.timedelta(seconds=5))
     want = topn.topn_per_window(counts, 3, "url")
     assert _same(got, want, ["url", "window_end", "cnt", "rank"])
+
+
+def test_cap_state_ends_with_the_local_day():
+    from eventide.streaming.processors import RateCapMachine
+    m = RateCapMachine(1)
+    st = m.initial()
+    noon = int(dt.datetime(2024, 1, 15, 4, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000     # 12:00 local
+    row = type("R", (), dict(province="p", city="c", ts_us=noon, seq=1))
+    assert [o[2] for _ in range(3) for o in m.step((1, 1), st, row)] == ["PASS", "WARN"]
+    midnight = int(dt.datetime(2024, 1, 15, 16, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    assert m.deadline(st) == midnight
+    m.expire((1, 1), st, midnight - 1)
+    assert st["cnt"] == 3
+    m.expire((1, 1), st, midnight)
+    assert st == m.initial() and m.deadline(st) is None
