@@ -188,8 +188,9 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, vec_id: str = "vec_id
 
     Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing, nor do vectors of different length; equal vectors link
-    with each other and alike with others.  A null vec_id is counted as a link
-    of others but is nobody's component (its own component is its group's);
+    with each other and alike with others.  A row with a null vec_id counts as a
+    copy where an equal vector has an id (its component is that vector's); a
+    vector that no id names links with nothing and has a null component;
     repeated rows count as vectors of their own.  An empty table gives no rows.
     """
     v = F.transform(F.col(vec), lambda x: x.cast("double") + F.lit(0.0))
