@@ -35,7 +35,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without these holds no match; most texts end here.
-HINT = r"[0-9@]|(?i:pass|pwd|secret|token|key)"
+HINT = r"[0-9@]|AKIA|(?i:pass|pwd|secret|token|key)"
 
 
 def let(value: Column, use) -> Column:
