@@ -18,15 +18,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.time import local_day
 from eventide.operators.topn import topn_per_window
 from eventide.sources import testdata as td
 from eventide.streaming.event_time import with_event_time
 from eventide.streaming.processors import (FailureBurstsMachine, FailurePairsMachine,
                                            FunnelMachine, OrderStatusMachine, RateCapMachine,
-                                           ReconcileMachine, run_ordered)
+                                           ReconcileMachine, by_bucket, run_ordered)
 
 EV = ("ts_us", "event_time")
 DAY_US = 86_400_000_000
+WEEK = 7        # days of a key that one group of state holds: each group costs about a dozen calls into the state
 
 
 def stream_hot_item_counts(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes",
@@ -152,7 +154,8 @@ def stream_order_funnel(events: DataFrame, within_us: int) -> DataFrame:
     ev = with_event_time(events, "ts", "0 seconds")
     od = _ordered_input(td.order_events_from(ev, keep=EV),
                         F.when(F.col("event_type") == "create", F.lit(0)).otherwise(F.lit(1)))
-    out = run_ordered(od, ["order_id"], FunnelMachine(within_us), ["event_type", "ts_us", "tie", "seq"],
+    od = by_bucket(od, max(within_us, WEEK * DAY_US), back_us=within_us, halo=F.col("event_type") == "pay")
+    out = run_ordered(od, ["order_id", "bucket"], FunnelMachine(within_us), ["event_type", "ts_us", "tie", "seq"],
                       "event_type string, ts_us long, tie int, seq long")
     return _us_to_ts(out, {"create_us": "create_ts", "pay_us": "pay_ts", "timeout_us": "timeout_ts"})
 
@@ -176,9 +179,10 @@ def stream_reconcile(events: DataFrame, wait_pay_us: int, wait_receipt_us: int)
 def stream_login_pairs(events: DataFrame, within_us: int) -> DataFrame:
     """O-38 S: consecutive failure pairs per user."""
     ev = with_event_time(events, "ts", "0 seconds")
-    lg = _ordered_input(td.logins_from(ev, keep=EV))
-    out = run_ordered(lg, ["user_id"], FailurePairsMachine(within_us),
-                      ["event_type", "ts_us", "tie", "seq"], "event_type string, ts_us long, tie int, seq long")
+    lg = by_bucket(_ordered_input(td.logins_from(ev, keep=EV)), max(within_us, WEEK * DAY_US), ahead_us=within_us)
+    out = run_ordered(lg, ["user_id", "bucket"], FailurePairsMachine(within_us),
+                      ["event_type", "ts_us", "tie", "seq", "home"],
+                      "event_type string, ts_us long, tie int, seq long, home boolean")
     return _us_to_ts(out, {"first_us": "first_fail_ts", "last_us": "last_fail_ts"})
 
 
@@ -195,10 +199,12 @@ def stream_ad_cap(spark: SparkSession, sf_dir: str, events: DataFrame, n: int,
                   tz: str = "Asia/Shanghai") -> DataFrame:
     """O-33 S: daily click cap per (user, ad); rows tagged PASS / WARN."""
     ev = with_event_time(events, "ts", "0 seconds")
-    clicks = _ordered_input(td.ad_clicks_from(spark, sf_dir, ev, keep=EV))
-    out = run_ordered(clicks, ["user_id", "ad_id"], RateCapMachine(n, tz),
-                      ["province", "city", "ts_us", "tie", "seq"],
-                      "province string, city string, ts_us long, tie int, seq long")
+    clicks = _ordered_input(td.ad_clicks_from(spark, sf_dir, ev, keep=EV)) \
+        .where("ts is not null").withColumn("click_day", local_day("ts", tz).cast("string")) \
+        .withColumn("bucket", F.floor(F.datediff("click_day", F.lit("1970-01-01")) / F.lit(WEEK)))
+    out = run_ordered(clicks, ["user_id", "ad_id", "bucket"], RateCapMachine(n, tz),
+                      ["province", "city", "click_day", "ts_us", "tie", "seq"],
+                      "province string, city string, click_day string, ts_us long, tie int, seq long")
     return _us_to_ts(out, {"ts_us": "ts"})
 
 

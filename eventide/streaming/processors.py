@@ -9,6 +9,10 @@ seq)`` order (contract C1) by a small per-key *machine*, whose state lives in
 value state.  Machines can also ask for a deadline timer (a burst closing, a
 pending create expiring) so state never outlives its use.
 
+A hot key is dealt over time buckets by the jobs that only look a bounded time
+back or ahead (``by_bucket``), so no group holds a key's whole history; a machine may
+also say which rows of a batch can matter to it (``Machine.worth``), as the cap does.
+
 Only the per-key step logic is Python; grouping, state storage (RocksDB
 provider), timers and checkpointing are Spark's.
 """
@@ -16,9 +20,12 @@ provider), timers and checkpointing are Spark's.
 from __future__ import annotations
 
 import datetime as dt
+import heapq
 from collections.abc import Iterator
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
@@ -51,6 +58,10 @@ class Machine:
     def initial(self) -> dict:
         return {}
 
+    def worth(self, rows: Iterator[tuple], fields: list[str], rank) -> list[tuple]:
+        """The rows of a micro-batch that may matter, to be buffered."""
+        return list(rows)
+
     def step(self, key: tuple, st: dict, row: Row) -> list[tuple]:
         raise NotImplementedError
 
@@ -107,7 +118,9 @@ class OrderStatusMachine(Machine):
 
 
 class FailurePairsMachine(Machine):
-    """O-38: the last failure is kept (replaced by each failure, cleared by success)."""
+    """O-38: the last failure is kept (replaced by each failure, cleared by success).
+
+    Rows that are not ``home`` come from the bucket before: they report nothing themselves."""
 
     state_ddl = "last_fail long"
     out_ddl = "user_id long, first_us long, last_us long, fail_times long, warn_msg string"
@@ -122,7 +135,7 @@ class FailurePairsMachine(Machine):
         out = []
         if row.event_type == "fail":
             lf = st["last_fail"]
-            if lf is not None and ((row.ts_us - lf <= self.w) if self.inc else (row.ts_us - lf < self.w)):
+            if row.home and lf is not None and ((row.ts_us - lf <= self.w) if self.inc else (row.ts_us - lf < self.w)):
                 out.append((key[0], lf, row.ts_us, 2, PAIR_MSG.format(user=key[0], secs=_secs(self.w))))
             st["last_fail"] = row.ts_us
         else:
@@ -196,6 +209,16 @@ class RateCapMachine(Machine):
     def initial(self):
         return {"day": None, "cnt": 0}
 
+    def worth(self, rows, fields, rank):
+        """The first ``n + 1`` of each day: what comes behind them in a batch can neither pass nor warn."""
+        day, most, kept = fields.index("click_day"), self.n + 1, {}
+        for r in rows:
+            of = kept.setdefault(r[day], [])
+            of.append(r)
+            if len(of) > 8 * most:
+                of[:] = heapq.nsmallest(most, of, key=rank)
+        return [r for of in kept.values() for r in heapq.nsmallest(most, of, key=rank)]
+
     def step(self, key, st, row):
         t = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=row.ts_us)
         day = t.astimezone(self.tz).date().isoformat()
@@ -242,24 +265,23 @@ class FunnelMachine(Machine):
         return {"pending": []}
 
     def step(self, key, st, row):
-        pend = list(st["pending"] or [])
         if row.event_type == "create":
-            st["pending"] = pend + [row.ts_us]
+            st["pending"].append(row.ts_us)     # in place: the list is this group's own
             return []
+        pend = st["pending"]
         out = [(key[0], "PAY", c, row.ts_us, None) for c in pend if row.ts_us - c < self.w]
         out += [(key[0], "TIMEOUT", c, None, c + self.w) for c in pend if row.ts_us - c >= self.w]
         st["pending"] = []
         return out
 
     def expire(self, key, st, wm_us):
-        pend = list(st["pending"] or [])
+        pend = st["pending"]
         done = [c for c in pend if wm_us >= c + self.w]
         st["pending"] = [c for c in pend if wm_us < c + self.w]
         return [(key[0], "TIMEOUT", c, None, c + self.w) for c in done]
 
     def deadline(self, st):
-        pend = st["pending"] or []
-        return min(pend) + self.w if pend else None
+        return st["pending"][0] + self.w if st["pending"] else None     # in order
 
 
 class ReconcileMachine(Machine):
@@ -316,6 +338,7 @@ class OrderedKeyProcessor(StatefulProcessor):
     def __init__(self, machine: Machine, in_ddl: str, order=("ts_us", "tie", "seq")):
         self.machine, self.in_ddl, self.order = machine, in_ddl, list(order)
         self.fields = _names(in_ddl)
+        self.rank = itemgetter(*[self.fields.index(o) for o in self.order])
         self.out_fields = _names(machine.out_ddl)
         self.state_fields = _names(machine.state_ddl)
 
@@ -336,35 +359,38 @@ class OrderedKeyProcessor(StatefulProcessor):
         self.due.update((ms,))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        batch = [Row(**{f: r[f] for f in self.fields}) for r in rows]
+        batch = self.machine.worth((tuple(r[f] for f in self.fields) for r in rows), self.fields, self.rank)
         if batch:
+            at = self.fields.index("ts_us")
             self.buf.appendList(batch)
-            self._wake(min(r["ts_us"] for r in batch) // US_PER_MS + 1)
+            self._wake(min(r[at] for r in batch) // US_PER_MS + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         self.due.clear()
         wm_us = timerValues.getCurrentWatermarkInMs() * US_PER_MS
-        stored = list(self.buf.get()) if self.buf.exists() else []
-        rows = [Row(**dict(zip(self.fields, tuple(r)))) for r in stored]
-        ready = sorted((r for r in rows if r.ts_us < wm_us), key=lambda r: tuple(r[o] for o in self.order))
-        rest = [r for r in rows if r.ts_us >= wm_us]
+        row, at = Row(*self.fields), self.fields.index("ts_us")
+        ready, rest = [], []
+        for r in self.buf.get() if self.buf.exists() else ():
+            (ready if r[at] < wm_us else rest).append(tuple(r))
+        ready.sort(key=self.rank)
         m = self.machine
         if self.st.exists():
-            st = dict(zip(self.state_fields, tuple(self.st.get())))
+            st = {f: list(v) if isinstance(v, (list, tuple)) else v
+                  for f, v in zip(self.state_fields, tuple(self.st.get()))}
         else:
             st = m.initial()
         out = []
         for r in ready:
-            out.extend(m.step(key, st, r))
+            out.extend(m.step(key, st, row(*r)))
         out.extend(m.expire(key, st, wm_us))
         if ready:
             self.buf.clear()
             if rest:
                 self.buf.appendList(rest)
         dl = m.deadline(st)
-        due = [r.ts_us for r in rest] + ([dl] if dl is not None else [])
+        due = [r[at] for r in rest] + ([dl] if dl is not None else [])
         if due:
             self._wake(min(due) // US_PER_MS + 1)
         if dl is None and not rest and all(v in (None, 0, []) for v in st.values()):
@@ -377,6 +403,25 @@ class OrderedKeyProcessor(StatefulProcessor):
         pass
 
 
+def by_bucket(df: DataFrame, width_us: int, back_us: int = 0, ahead_us: int = 0, halo: Column | None = None) -> DataFrame:
+    """``df`` dealt over time buckets of ``width_us`` (column ``bucket``), with ``home`` false on copies.
+
+    Rows of ``halo`` (default: all) are copied into every bucket that lies within
+    ``back_us`` before or ``ahead_us`` after them, as ``scan.bounded_prev`` does: whoever
+    looks no farther finds in a row's own bucket what it would find in the whole
+    key.  Rows without a time have no bucket and go.
+    """
+    def at(us: Column) -> Column:
+        return F.floor(us / F.lit(width_us)).cast("bigint")
+
+    t = F.col("ts_us")
+    wide = F.lit(True) if halo is None else halo
+    first = at(F.when(wide, t - F.lit(back_us)).otherwise(t))
+    last = at(F.when(wide, t + F.lit(ahead_us)).otherwise(t))
+    return df.withColumn("bucket", F.explode(F.sequence(first, last))) \
+        .withColumn("home", F.col("bucket") == at(t))
+
+
 def run_ordered(df: DataFrame, keys: list[str], machine: Machine, in_cols: list[str],
                 in_ddl: str) -> DataFrame:
     """Apply a machine per key with ``transformWithState`` in event-time mode.

@@ -181,3 +181,73 @@ def test_cap_state_ends_with_the_local_day():
     assert st["cnt"] == 3
     m.expire((1, 1), st, midnight)
     assert st == m.initial() and m.deadline(st) is None
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A table folder whose user 1 holds a third of the events, half an hour apart or at equal times, and a flush."""
+    import random
+    import shutil
+    if not os.path.isdir(SF):
+        pytest.skip("test data not present")
+    rnd, types, d = random.Random(5), ["click", "error", "error", "signup", "purchase"], tempfile.mkdtemp(prefix="eventide-hot-")
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=30 * rnd.randrange(28 * 48)),
+             1 if i % 3 == 0 else rnd.randrange(2, 40), rnd.choice(types), 0.0, '{"k": %d}' % rnd.randrange(2))
+            for i in range(3000)]
+    spark.createDataFrame(rows, td.EVENTS_DDL).repartition(4).write.parquet(f"{d}/events.parquet")
+    spark.createDataFrame([(10**12 + i, dt.datetime(2030, 1, 1), -1, t, 0.0, '{"k": 0}') for i, t in enumerate(types)],
+                          td.EVENTS_DDL).write.parquet(f"{d}/flush")
+    for name in ("customer", "nation"):
+        shutil.copy(f"{SF}/{name}.parquet", d)
+    return d
+
+
+def _hot_stream(spark, hot):
+    return td.events_stream(spark, "%s/{events.parquet,flush}" % hot)
+
+
+def test_stream_pairs_of_a_hot_user_over_bucket_edges(spark, hot):
+    s = _run(spark, "t_hot_pairs", jobs.stream_login_pairs(_hot_stream(spark, hot), 6 * H_US))
+    assert _same(s, C.login_pairs(spark, hot), ["user_id", "first_fail_ts", "last_fail_ts", "warn_msg"])
+
+
+def test_stream_funnel_of_a_hot_order_over_bucket_edges(spark, hot):
+    s = _run(spark, "t_hot_funnel", jobs.stream_order_funnel(_hot_stream(spark, hot), 24 * H_US))
+    assert _same(s.filter(F.col("tag") == "PAY"), C.order_paid(spark, hot), ["order_id", "create_ts", "pay_ts"])
+    assert _same(s.filter(F.col("tag") == "TIMEOUT"), C.order_timeouts(spark, hot),
+                 ["order_id", "create_ts", "timeout_ts"])
+
+
+def test_stream_cap_of_a_hot_user(spark, hot):
+    from eventide.operators.caps import cap_passed, cap_warnings, rate_cap
+    s = _run(spark, "t_hot_cap", jobs.stream_ad_cap(spark, hot, _hot_stream(spark, hot), 3))
+    ranked = rate_cap(td.ad_clicks(spark, hot), ["user_id", "ad_id"], 3)
+    assert _same(s.filter(F.col("tag") == "PASS"), cap_passed(ranked, 3),
+                 ["user_id", "ad_id", "province", "city", "ts", "day"])
+    assert _same(s.filter(F.col("tag") == "WARN"), cap_warnings(ranked, ["user_id", "ad_id"], 3),
+                 ["user_id", "ad_id", "day", "ts", "msg"])
+
+
+def test_stream_groups_of_a_hot_key_are_buckets(spark, hot, monkeypatch):
+    seen = []
+
+    def grouped(df, keys, *rest):
+        seen.append(df.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return df
+
+    monkeypatch.setattr(jobs, "run_ordered", grouped)
+    monkeypatch.setattr(jobs, "_us_to_ts", lambda df, cols: df)
+    ev = td.events(spark, hot)
+    jobs.stream_login_pairs(ev, 6 * H_US)
+    jobs.stream_order_funnel(ev, 24 * H_US)
+    jobs.stream_ad_cap(spark, hot, ev, 3)
+    # of the hot user's 1,000 events in 28 days a week has about 250 (400 orders' events: 100; 100 clicks an ad: 25)
+    assert seen[0] < 350 and seen[1] < 180 and seen[2] < 60
+
+
+def test_cap_buffers_the_first_rows_of_a_day():
+    from operator import itemgetter
+    from eventide.streaming.processors import RateCapMachine
+    rows = ((day, t, 0) for t in range(10_000, 0, -1) for day in ("2024-01-01", "2024-01-02"))
+    kept = RateCapMachine(2).worth(rows, ["click_day", "ts_us", "seq"], itemgetter(1, 2))
+    assert sorted(kept) == [(d, t, 0) for d in ("2024-01-01", "2024-01-02") for t in (1, 2, 3)]
