@@ -212,6 +212,8 @@ def detect(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.0, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` (all columns) with a language: ``und`` and scores under ``least`` go.
 
+    Scores are never below 0, so with ``least`` 0 only texts without letters go.  Without any
+    labelled row there is nothing to score: the texts with letters stay, whatever ``least``.
     The decision is taken per text, in place, so no row is moved.
     """
     model = train(docs, sample)
@@ -219,6 +221,11 @@ def keep_identified(docs: DataFrame, least: float = 0.0, sample: int = SAMPLE) -
     @F.pandas_udf("boolean")
     def spoken(texts):
         import pandas as pd
-        got = (model.predict(t.encode("utf-8")) if t else (UNKNOWN, 0.0) for t in texts)
-        return pd.Series([g != UNKNOWN and s >= least for g, s in got], dtype=bool)
+
+        def known(text):
+            if not model.langs:
+                return grams(text)[1]
+            lang, score = model.predict(text)
+            return lang != UNKNOWN and score >= least
+        return pd.Series([bool(t) and known(t.encode("utf-8")) for t in texts], dtype=bool)
     return docs.where(spoken(docs["text"]))

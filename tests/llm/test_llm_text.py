@@ -117,6 +117,13 @@ def test_pii_finds_a_key_without_digits_or_hint_words(spark):
     assert out[2] == (0, "all is well")
 
 
+def test_language_stage_without_labels_keeps_the_rows_with_letters(spark):
+    rows = [(0, "some words"), (1, "des mots"), (2, "123 !"), (3, ""), (4, None)]
+    docs = spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in langid.keep_identified(docs).collect()) == [0, 1]
+    assert langid.keep_identified(docs.limit(0)).count() == 0
+
+
 def test_feistel_is_a_permutation(spark):
     all_ = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("v"))
     assert all_.select(pii.feistel(F.col("v"), "t").alias("p")).distinct().count() == 1000
