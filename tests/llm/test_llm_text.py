@@ -173,3 +173,14 @@ def test_pipeline_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     key = ["doc_id", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, stages[-1][2].select(key).collect()))
+
+
+def test_packing_stage_returns_the_tokens(spark):
+    from test_llm_tokens import ids_of
+    texts = {1: "some words, and more words", 2: "", 3: None, 4: "word " * 5000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {}
+    for r in corpus_pipeline.pack(spark, docs, "").collect():
+        got.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
+    got = {d: np.frombuffer(b"".join(x for _, x in sorted(ps)), "<u4").tolist() for d, ps in got.items()}
+    assert got == {d: ids_of(t) for d, t in texts.items()}
