@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import binary, bpe, exact, langid, packing, pii, simhash, substring, toxicity, vectors
+from eventide.llm import (binary, bpe, divergence, exact, langid, packing, pii, simhash, substring, suffixes, toxicity,
+                          trie, vectors)
 from eventide.llm.common import table
 
 
@@ -56,5 +57,19 @@ def op10_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.crc32("ids").alias("ids_crc32"), F.crc32("position_ids").alias("positions_crc32"))
 
 
+def op11_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.drop_repeated_bytes(table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_substring, op3_packing, op4_exact, op5_vectors, op6_langid,
-                                   op7_toxicity, op8_pii, op9_bpe, op10_binary)}
+                                   op7_toxicity, op8_pii, op9_bpe, op10_binary, op11_suffix, op12_divergence,
+                                   op13_trie)}
