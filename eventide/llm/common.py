@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
 
+#: Spark then removes a query's shuffle files as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table by name."""
@@ -21,11 +24,17 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts lineage: a lost executor costs a read of the written table, not a
-    recomputation of everything before it.
+    recomputation of everything before it.  The write's own shuffle files are
+    not needed after it and go at once (:data:`CLEANUP`).
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._eventide_path = path
     return out

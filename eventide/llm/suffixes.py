@@ -7,15 +7,22 @@ inside a window of ``length`` bytes the one with the least hash, which equal
 windows share at the same place.  Consecutive windows with one anchor form a
 slice, sorted as the suffix at its anchor followed by the bytes before it.
 
-Each level runs the same pass: Spark samples splitters and range-partitions the
-suffixes by their bytes (then document and position, so that a string that a
-third of all texts hold is cut into several ranges), every bucket sorts its
-suffixes by multikey quicksort, and a group that reaches over a bucket's edge
-is compared with the one before it.  A slice equal to an earlier one is settled; slices that
-share only their gram with another go to the next level, whose grams are
-longer, and at the last level every window is a suffix of its own.  Slices
-whose gram no other slice has are dropped beforehand by the gram's 64-bit hash:
-a hash can only keep too many of them, equality is always found on bytes.
+Spark samples splitters and range-partitions the suffixes by their bytes (then
+document and position, so that a string that a third of all texts hold is cut
+into several ranges); every bucket sorts its suffixes by multikey quicksort,
+and a group that reaches over a bucket's edge is compared with the one before
+it.  Four such passes settle everything:
+
+1. slices by suffix: one equal to an earlier one is settled; the others keep the
+   windows that end within their longest match with a neighbour in the order;
+2. the rest by reversed prefix: they keep the windows that begin within their
+   longest match to the left;
+3. what is left of each slice by suffix again: most are now equal to another;
+4. the windows still open, each as a suffix of its own.
+
+Slices whose gram no other slice has are dropped beforehand by the gram's
+64-bit hash: a hash can only keep too many of them, equality is always found on
+bytes.  Whole texts equal to one of a smaller doc_id (by SHA-256) need no slices.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ from pyspark.sql import functions as F
 from eventide.llm.common import arrow_map, keep, rekeyed, release, slices, texts_of
 
 LENGTH = 100
-LEVELS = (0.32, 0.84, 1.0)    # gram length of each level as a share of the window
+GRAM = 0.32                   # length of a gram as a share of the window
 BATCH = 1 << 18               # bytes worked on together
 CUT = 1 << 16                 # windows of one text worked on together; no window's anchor depends on it
 PERIODS = range(1, 9)         # strings of these periods repeat inside their own text; found without sorting
@@ -91,14 +98,19 @@ def cut_slices(data: np.ndarray, first: np.ndarray, count: np.ndarray, length: i
     return of[new], at[new], np.diff(np.r_[new, len(at)]), anchor[new], hashes[anchor[new]]
 
 
-def periodic(data: np.ndarray, length: int) -> np.ndarray:
-    """Which windows of one text equal the window a short period before them."""
-    out = np.zeros(max(len(data) - length + 1, 0), bool)
+def periodic(data: np.ndarray, base: np.ndarray, length: int) -> np.ndarray:
+    """At which places of ``data`` a window starts that equals the one a short period before it.
+
+    ``base``: where the texts that lie one after the other in ``data`` start.
+    """
+    out = np.zeros(len(data), bool)
     for p in PERIODS:
         if len(data) < length + p:
             break
-        unlike = np.flatnonzero(data[p:] != data[:-p])
-        edge = np.r_[-1, unlike, len(data) - p]
+        unlike = data[p:] != data[:-p]
+        for i in range(p):    # a text's first bytes have none before them
+            unlike[base[(base + i >= p) & (base + i - p < len(unlike))] + i - p] = True
+        edge = np.r_[-1, np.flatnonzero(unlike), len(unlike)]
         run = np.diff(edge) - 1
         long = np.flatnonzero(run >= length)
         out[flatten(edge[long] + 1 + p, run[long] - length + 1)] = True
@@ -111,8 +123,7 @@ def turned(data: np.ndarray, start: np.ndarray, count: np.ndarray, anchor: np.nd
     place = flatten(np.zeros(len(size), np.int64), size) + np.repeat(anchor - start, size)
     wide = np.repeat(size, size)
     body = data[np.repeat(start, size) + np.where(place >= wide, place - wide, place)]
-    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(body)])
+    return binaries(body, size)
 
 
 def multikey_order(keys: np.ndarray, ties: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -144,77 +155,102 @@ def multikey_order(keys: np.ndarray, ties: list[np.ndarray]) -> tuple[np.ndarray
 
 def characters(bodies: pa.Array, more: list[np.ndarray]) -> np.ndarray:
     """Zero-padded big-endian 8-byte characters of each body, and ``more`` as the last ones."""
-    ends = np.frombuffer(bodies.buffers()[1], np.int32)[bodies.offset:bodies.offset + len(bodies) + 1].astype(np.int64)
+    data, ends = bytes_of(bodies)
     size = np.diff(ends)
     wide = -(-int(size.max()) // 8) * 8
     padded = np.zeros((len(size), wide), np.uint8)
-    data = np.frombuffer(bodies.buffers()[2], np.uint8)[ends[0]:ends[-1]]
-    padded[np.repeat(np.arange(len(size)), size), flatten(np.zeros(len(size), np.int64), size)] = data
+    padded[np.repeat(np.arange(len(size)), size), flatten(np.zeros(len(size), np.int64), size)] = data[ends[0]:ends[-1]]
     return np.column_stack([padded.view(">u8").astype(U), *(m.astype(U) for m in more)])
 
 
 ROW = "doc_id long, mark long, first int, n int, off int, body binary"
-SORTED = ROW + ", settled boolean, bucket int, head binary, tail binary, least struct<doc_id:long,mark:long,first:int>"
+LEAST = pa.struct([("doc_id", pa.int64()), ("mark", pa.int64()), ("first", pa.int32())])
+SORTED = (ROW + ", settled boolean, lo int, hi int, bucket int, head binary, tail binary, "
+          "least struct<doc_id:long,mark:long,first:int>")
+NAMES = [c.split()[0] for c in ROW.split(", ")]
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column, and where each value starts and ends in them."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
+    return data, ends
+
 
+def binaries(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def whole(batches) -> pa.Table | None:
+    held = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(held).combine_chunks() if held else None
 
-def sort_bucket(k: int):
+
+def longest_match(keys: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Of each of some sorted keys, at least the bytes (of its first ``own``) that it shares with any other.
+
+    The longest match of a key is one with a neighbour.  The first and the last
+    key have neighbours in other buckets: all their bytes may be shared.
+    """
+    if len(keys) < 2:
+        return own
+    raw = keys.astype(">u8").view(np.uint8).reshape(len(keys), -1)
+    unlike = raw[1:] != raw[:-1]
+    near = np.where(unlike.any(axis=1), unlike.argmax(axis=1), raw.shape[1])
+    most = raw.shape[1]
+    return np.minimum(own, np.maximum(np.r_[most, near], np.r_[near, most]))
+
+
+def sort_suffixes(length: int):
     """The work of one bucket: sort its suffixes, settle what equals an earlier one.
 
-    Rows of the bucket's first group carry its number, as an earlier bucket may
-    hold the group's first row; a row without doc_id sums the bucket up: the
-    first and the last group's key and the last group's first row.
+    A group's first row stays open for the windows (``lo`` to ``hi``) that end
+    within its longest match with another group.  Rows of the bucket's first
+    group carry its number, as an earlier bucket may hold the group's first row;
+    a row without doc_id sums the bucket up: the first and the last group's key
+    and the last group's first row.
     """
     def run(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        t = whole(batches)
+        if t is None:
             return
-        t = pa.Table.from_batches(held).combine_chunks()
-        doc, mark, first, n, off = (t.column(c).to_numpy() for c in ("doc_id", "mark", "first", "n", "off"))
-        bodies = t.column("body").chunk(0)
-        keys = characters(bodies, [n, off])
+        doc, mark, first, n, off = (t.column(c).to_numpy() for c in NAMES[:5])
+        keys = characters(t.column("body").chunk(0), [n, off])
         order, same = multikey_order(keys, [doc, mark, first])
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))    # place of each group's first row
         at = order[lead]
         later = (doc[order] != doc[at]) | (mark[order] != mark[at]) | (first[order] != first[at])
-        # distinct keys that share their gram with a neighbour, or may share it over the bucket's edge
-        heads = np.flatnonzero(~same)
-        gram = keys[order[heads]][:, :-(-k // 8)].copy()
-        if k % 8:
-            gram[:, -1] &= ~U((1 << 8 * (8 - k % 8)) - 1)
-        near = (gram[1:] == gram[:-1]).all(axis=1)
-        shared = np.r_[True, near] | np.r_[near, True]
-        if len(heads) > 1:
-            inner = np.r_[False, np.cumsum(~near)]
-            shared |= (inner == 0) | (inner == inner[-1])
-        open_ = np.zeros(len(order), bool)
-        open_[heads] = shared
-        edge = lead == 0
-        out = np.flatnonzero(later | open_)
+        heads = order[~same]
+        right = longest_match(keys[heads][:, :-2], n[heads].astype(np.int64) + length - 1 - off[heads])
+        hi = np.zeros(len(order), np.int64)
+        hi[~same] = np.clip(off[heads] + right - length + 1, 0, n[heads])
+        out = np.flatnonzero(later | (hi > 0) | ((lead == 0) & ~same))
         rows = t.take(pa.array(order[out]))
         body = pa.array(np.where(later[out], None, rows.column("body").to_numpy()), pa.binary())
         bucket = TaskContext.get().partitionId()
         nothing = pa.nulls(len(out), pa.binary())
-        least = pa.struct([("doc_id", pa.int64()), ("mark", pa.int64()), ("first", pa.int32())])
-        names = ["doc_id", "mark", "first", "n", "off", "body", "settled", "bucket", "head", "tail", "least"]
+        names = [*NAMES, "settled", "lo", "hi", "bucket", "head", "tail", "least"]
         yield pa.RecordBatch.from_arrays(
-            [*(rows.column(c).combine_chunks() for c in names[:5]), body, pa.array(later[out]),
-             pa.array(np.full(len(out), bucket, np.int32), mask=~edge[out]), nothing, nothing,
-             pa.nulls(len(out), least)], names=names)
-        last = order[heads[-1]]
-        names_of = [keys[i].astype(">u8").tobytes() for i in (order[0], last)]
+            [*(rows.column(c).combine_chunks() for c in NAMES[:5]), body, pa.array(later[out]),
+             pa.array(np.zeros(len(out), np.int32)), pa.array(hi[out].astype(np.int32)),
+             pa.array(np.full(len(out), bucket, np.int32), mask=lead[out] > 0), nothing, nothing,
+             pa.nulls(len(out), LEAST)], names=names)
+        last = heads[-1]
+        sums = [keys[i].astype(">u8").tobytes() for i in (order[0], last)]
+        least = {"doc_id": int(doc[last]), "mark": int(mark[last]), "first": int(first[last])}
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), *(pa.nulls(1, pa.int32()) for _ in range(3)),
-             pa.nulls(1, pa.binary()), pa.array([False]), pa.array([bucket], pa.int32()),
-             *(pa.array([x], pa.binary()) for x in names_of),
-             pa.array([{"doc_id": int(doc[last]), "mark": int(mark[last]), "first": int(first[last])}], least)],
+             pa.nulls(1, pa.binary()), pa.array([False]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()),
+             pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in sums), pa.array([least], LEAST)],
             names=names)
     return run
 
 
-def sort_pass(rows: DataFrame, k: int, label: str) -> tuple[DataFrame, DataFrame]:
-    """One level's sort: ``rows`` (of :data:`ROW`) that are settled, or open with their body; and the written table."""
+def sort_pass(rows: DataFrame, length: int, label: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (of :data:`ROW`) that are settled, or open with body, ``lo`` and ``hi``; and the written table."""
     dealt = rows.repartitionByRange("body", "off", "doc_id", "mark", "first")
-    done = keep(dealt.mapInArrow(sort_bucket(k), SORTED), label)
+    done = keep(dealt.mapInArrow(sort_suffixes(length), SORTED), label)
     ends = done.where("doc_id is null")
     # a key that closes one bucket and opens another: its first row is the least of those that close with it
     origin = ends.groupBy("tail").agg(F.min("least").alias("origin"))
@@ -223,7 +259,82 @@ def sort_pass(rows: DataFrame, k: int, label: str) -> tuple[DataFrame, DataFrame
     own = F.struct("doc_id", "mark", "first")
     out = done.where("doc_id is not null").join(carried, F.col("bucket") == F.col("b"), "left")
     out = out.withColumn("settled", F.col("settled") | F.coalesce(own > F.col("origin"), F.lit(False)))
-    return out.select("doc_id", "mark", "first", "n", "off", "body", "settled"), done
+    return out.select(*NAMES, "settled", "lo", "hi"), done
+
+
+def still_open(done: DataFrame) -> DataFrame:
+    return done.where("not settled and body is not null and lo < hi").drop("settled")
+
+
+def straight(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slices' bytes in text order, one after the other; where each starts; its size."""
+    n, off = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("n", "off"))
+    data, ends = bytes_of(batch.column(batch.schema.get_field_index("body")))
+    size = n + length - 1
+    place = flatten(np.zeros(len(size), np.int64), size) - np.repeat(off, size)
+    return (data[np.repeat(ends[:-1], size) + np.where(place < 0, place + np.repeat(size, size), place)],
+            np.cumsum(size) - size, size)
+
+
+def prefix_rows(length: int, k: int):
+    """Open slices with their prefix up to the gram's end, reversed, as key."""
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            data, base, _ = straight(b, length)
+            size = b.column(4).to_numpy().astype(np.int64) + k
+            place = np.repeat(base + size - 1, size) - flatten(np.zeros(len(size), np.int64), size)
+            yield pa.RecordBatch.from_arrays([*b.columns, binaries(data[place], size)], names=[*b.schema.names, "key"])
+    return run
+
+
+def sort_prefixes(k: int):
+    """One bucket of reversed prefixes: windows stay that begin within the longest match with a neighbour."""
+    def run(batches):
+        t = whole(batches)
+        if t is None:
+            return
+        doc, mark, first, off, lo = (t.column(c).to_numpy() for c in ("doc_id", "mark", "first", "off", "lo"))
+        keys = characters(t.column("key").chunk(0), [off])
+        order, _ = multikey_order(keys, [doc, mark, first])
+        left = np.empty(len(order), np.int64)
+        left[order] = longest_match(keys[order][:, :-1], off[order].astype(np.int64) + k)
+        at = t.schema.get_field_index("lo")
+        t = t.set_column(at, "lo", pa.array(np.maximum(lo, off + k - left).astype(np.int32))).drop(["key"])
+        yield from t.to_batches()
+    return run
+
+
+def prefix_pass(open_: DataFrame, length: int, k: int) -> DataFrame:
+    """Open slices, cut on the left as well; slices that share no window with another are gone."""
+    columns = ROW + ", lo int, hi int"
+    keyed = open_.select(*NAMES, "lo", "hi").mapInArrow(prefix_rows(length, k), columns + ", key binary")
+    return keyed.repartitionByRange("key", "doc_id", "mark", "first").mapInArrow(sort_prefixes(k), columns).where("lo < hi")
+
+
+def cut_rows(length: int, single: bool):
+    """What is open of each slice, as rows of :data:`ROW`; ``single``: each window as a suffix of its own."""
+    def run(batch):
+        if not batch.num_rows:
+            return
+        data, base, _ = straight(batch, length)
+        names = batch.schema.names
+        lo, hi, off = (batch.column(names.index(c)).to_numpy().astype(np.int64) for c in ("lo", "hi", "off"))
+        many = hi - lo
+        if single:
+            of = np.repeat(np.arange(len(lo)), many)
+            start = flatten(base + lo, many)
+            count = np.ones(len(of), np.int64)
+            anchor = start
+        else:
+            of, start, count, anchor = np.arange(len(lo)), base + lo, many, base + off
+        rows = batch.select(["doc_id", "mark"]).take(pa.array(of))
+        first = batch.column(2).to_numpy()[of] + start - base[of]
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns, *(pa.array(x.astype(np.int32)) for x in (first, count, anchor - start)),
+             turned(data, start, count, anchor, length)], names=NAMES)
+    return arrow_map(run)
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -237,112 +348,84 @@ def first_slices(docs: DataFrame, length: int, k: int) -> DataFrame:
     def cut(batch):
         for part in slices(batch, BATCH):
             texts = [np.frombuffer(x, np.uint8) for x in texts_of(part)]
-            for lo, hi in chunks([len(x) for x in texts], length):
-                row, skipped, count, pieces = [], [], [], []
-                drop_row, drop_first, drop_n = [], [], []
-                for i, s, e in zip(lo, hi[0], hi[1]):
-                    x = texts[i][s:e]
-                    gone = periodic(x, length)
-                    edge = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-                    drop_row += [i] * (len(edge) // 2)
-                    drop_first += (edge[::2] + s).tolist()
-                    drop_n += (edge[1::2] - edge[::2]).tolist()
-                    stay = np.r_[0, edge[1::2]], np.r_[edge[::2], len(gone)]
-                    row.append(i), skipped.append(s), count.append(stay), pieces.append(x)
-                base = np.cumsum([0] + [len(x) for x in pieces])[:-1]
-                first = np.concatenate([c[0] + b for c, b in zip(count, base)])
-                many = np.concatenate([c[1] - c[0] for c in count])
-                owner = np.repeat(np.arange(len(row)), [len(c[0]) for c in count])
-                of, start, n, _, gram = cut_slices(np.concatenate(pieces), first, many, length, k)
-                piece = owner[of]
-                index = np.r_[np.array(row)[piece], np.array(drop_row, np.int64)]
-                where = np.r_[start - base[piece] + np.array(skipped)[piece], np.array(drop_first, np.int64)]
-                size = np.r_[n, np.array(drop_n, np.int64)]
-                ids = part.select(["doc_id", "mark"]).take(pa.array(index))
+            for row, lo, hi in chunks([len(x) for x in texts], length):
+                data = np.concatenate([texts[i][s:e] for i, s, e in zip(row, lo, hi)])
+                row, lo, size = np.array(row), np.array(lo), np.array(hi) - np.array(lo)
+                base = np.cumsum(size) - size
+                gone = periodic(data, base, length)
+                at = flatten(base, size - length + 1)
+                owner = np.repeat(np.arange(len(row)), size - length + 1)
+                out = gone[at]
+                turn = np.flatnonzero(np.r_[True, (out[1:] != out[:-1]) | (owner[1:] != owner[:-1])])
+                many = np.diff(np.r_[turn, len(at)])
+                stay = ~out[turn]
+                of, start, n, _, gram = cut_slices(data, at[turn[stay]], many[stay], length, k)
+                piece = np.r_[owner[turn[stay]][of], owner[turn[~stay]]]
+                start, n = np.r_[start, at[turn[~stay]]], np.r_[n, many[~stay]]
+                ids = part.select(["doc_id", "mark"]).take(pa.array(row[piece]))
+                known = np.arange(len(piece)) < len(gram)
+                names = np.zeros(len(piece), np.int64)
+                names[known] = gram.view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.column(0), ids.column(1), pa.array(where.astype(np.int32)), pa.array(size.astype(np.int32)),
-                     pa.array(np.r_[gram.view(np.int64), np.zeros(len(drop_row), np.int64)],
-                              mask=np.arange(len(index)) >= len(gram))],
-                    names=["doc_id", "mark", "first", "n", "gram"])
+                    [*ids.columns, *(pa.array(x.astype(np.int32)) for x in (start - base[piece] + lo[piece], n)),
+                     pa.array(names, mask=~known)], names=["doc_id", "mark", "first", "n", "gram"])
 
     return docs.mapInArrow(arrow_map(cut), "doc_id long, mark long, first int, n int, gram long")
 
 
 def chunks(sizes: list[int], length: int):
-    """Groups of text parts (index list, (starts, ends)) of at most ``BATCH`` bytes or one part."""
+    """Groups of text parts (indexes, starts, ends) of at most ``BATCH`` bytes or one part."""
     row, lo, hi, held = [], [], [], 0
     for i, size in enumerate(sizes):
         for s in range(0, size - length + 1, CUT):
             e = min(s + CUT + length - 1, size)
             if row and held + e - s > BATCH:
-                yield row, (lo, hi)
+                yield row, lo, hi
                 row, lo, hi, held = [], [], [], 0
             row.append(i), lo.append(s), hi.append(e)
             held += e - s
     if row:
-        yield row, (lo, hi)
+        yield row, lo, hi
 
 
-def fetch_slices(docs: DataFrame, wanted: DataFrame, length: int, k: int) -> DataFrame:
-    """Slices ``(doc_id, mark, first, n)`` of ``wanted`` with their bytes, as rows of :data:`ROW`."""
-    asked = wanted.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "n")).alias("asked"))
+def fetch_slices(docs: DataFrame, asked: DataFrame, length: int, k: int) -> DataFrame:
+    """The slices ``asked`` (doc_id, mark, list of (first, n)) with their bytes, as rows of :data:`ROW`."""
     asked = asked.select(rekeyed("doc_id").alias("d"), F.col("mark").alias("m"), "asked")
     src = docs.join(asked, (docs.doc_id == asked.d) & (docs.mark == asked.m)).select("doc_id", "mark", "text", "asked")
 
     def fetch(batch):
         for part in slices(batch, BATCH):
-            for i, text in enumerate(texts_of(part)):
-                ask = part.column(3)[i].values
-                first, n = (ask.field(c).to_numpy().astype(np.int64) for c in range(2))
-                data = np.frombuffer(text, np.uint8)
-                for lo in range(0, len(first), 1 << 12):
-                    f, m = first[lo:lo + (1 << 12)], n[lo:lo + (1 << 12)]
-                    yield from bodies_of(gathered(data, f, m, length), m, length, k, part.column(0)[i].as_py(),
-                                         part.column(1)[i].as_py(), f)
+            text = part.column(2).cast(pa.binary())
+            data, ends = bytes_of(text)
+            ask = part.column(3)
+            first, n = (ask.flatten().field(c).to_numpy().astype(np.int64) for c in range(2))
+            row = np.repeat(np.arange(part.num_rows), ask.value_lengths().to_numpy())
+            size = n + length - 1
+            total = np.cumsum(size)
+            lo = 0
+            while lo < len(n):
+                hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + BATCH)))
+                near = slice(lo, hi)
+                piece = data[flatten(ends[row[near]] + first[near], size[near])]
+                base = np.cumsum(size[near]) - size[near]
+                of, start, count, anchor, _ = cut_slices(piece, base, n[near], length, k)
+                ids = part.select(["doc_id", "mark"]).take(pa.array(row[near][of]))
+                yield pa.RecordBatch.from_arrays(
+                    [*ids.columns, *(pa.array(x.astype(np.int32)) for x in (
+                        first[near][of] + start - base[of], count, anchor - start)),
+                     turned(piece, start, count, anchor, length)], names=NAMES)
+                lo = hi
 
     return src.mapInArrow(arrow_map(fetch), ROW)
 
 
-def gathered(data: np.ndarray, first: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
-    """The bytes of some ranges of windows, one range after the other."""
-    return data[flatten(first, n + length - 1)]
-
-
-def bodies_of(data: np.ndarray, n: np.ndarray, length: int, k: int, doc, mark, first: np.ndarray):
-    """Rows of :data:`ROW` for ranges of windows that lie one after the other in ``data``."""
-    size = n + length - 1
-    ends = np.cumsum(size)
-    lo = 0
-    while lo < len(n):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BATCH)))
-        base = ends[lo:hi] - size[lo:hi]
-        part = data[base[0]:ends[hi - 1]]
-        base -= base[0]
-        of, start, count, anchor, _ = cut_slices(part, base, n[lo:hi], length, k)
-        pick = lambda x: np.full(len(of), x) if np.isscalar(x) else x[lo:hi][of]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(pick(doc), pa.int64()), pa.array(pick(mark), pa.int64()),
-             pa.array((first[lo:hi][of] + start - base[of]).astype(np.int32)), pa.array(count.astype(np.int32)),
-             pa.array((anchor - start).astype(np.int32)), turned(part, start, count, anchor, length)],
-            names=["doc_id", "mark", "first", "n", "off", "body"])
-        lo = hi
-
-
-def finer_slices(open_: DataFrame, length: int, k: int) -> DataFrame:
-    """The open slices cut anew at the longer grams of the next level."""
-    def recut(batch):
-        if not batch.num_rows:
-            return
-        doc, mark, first, n, off = (batch.column(c).to_numpy() for c in range(5))
-        body = batch.column(5)
-        ends = np.frombuffer(body.buffers()[1], np.int32)[body.offset:body.offset + len(body) + 1].astype(np.int64)
-        size = n.astype(np.int64) + length - 1
-        place = flatten(np.zeros(len(size), np.int64), size) - np.repeat(off.astype(np.int64), size)
-        data = np.frombuffer(body.buffers()[2], np.uint8)
-        straight = data[np.repeat(ends[:-1], size) + np.where(place < 0, place + np.repeat(size, size), place)]
-        yield from bodies_of(straight, n.astype(np.int64), length, k, doc, mark, first)
-
-    return open_.select("doc_id", "mark", "first", "n", "off", "body").mapInArrow(arrow_map(recut), ROW)
+def whole_copies(docs: DataFrame, length: int) -> DataFrame:
+    """``(doc_id, mark, n)``: texts of ``n`` windows that a smaller doc_id has too."""
+    src = docs.select("doc_id", "mark", F.unhex(F.sha2("text", 256)).alias("digest"),
+                      (F.octet_length("text") - (length - 1)).alias("n")).where("n > 0")
+    first = src.groupBy("digest").agg(F.min("doc_id").alias("source"), F.count("*").alias("c")).where("c > 1").select(
+        F.concat("digest", F.lit(b"")).alias("g"), "source")
+    return src.join(first, src.digest == first.g).where("doc_id > source").select("doc_id", "mark", "n").distinct()
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -351,22 +434,28 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``docs`` as of :func:`identified`.  Runs jobs: each level's result is written,
     and removed once the answer is.
     """
-    grams = [max(1, round(length * share)) for share in LEVELS]
+    k = max(1, round(length * GRAM))
     src = docs.where("doc_id is not null")
-    cut = keep(first_slices(src, length, grams[0]), "suffix-slices")
+    cut = keep(first_slices(src, length, k), "suffix-slices")
     several = cut.where("gram is not null").groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select(
         rekeyed("gram").alias("g"))
-    wanted = cut.join(several, cut.gram == several.g).select("doc_id", "mark", "first", "n")
-    rows = fetch_slices(src, wanted, length, grams[0])
-    found, written = cut.where("gram is null").select("doc_id", "mark", "first", "n"), [cut]
-    for i, k in enumerate(grams):
-        done, table = sort_pass(rows, k, f"suffix-sorted-{i}")
-        found = found.union(done.where("settled").select("doc_id", "mark", "first", "n"))
-        written.append(table)
-        if i + 1 < len(grams):
-            rows = finer_slices(done.where("not settled and body is not null"), length, grams[i + 1])
-    cover = keep(found.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "n")).alias("gone")), "suffix-cover")
-    release(*written)
+    pair = F.struct("first", "n")
+    wanted = cut.join(several, cut.gram == several.g).groupBy("doc_id", "mark").agg(F.collect_set(pair).alias("asked"))
+    copies = keep(whole_copies(src, length), "suffix-copies")
+    asked = keep(wanted.join(copies.select("doc_id", "mark"), ["doc_id", "mark"], "left_anti"), "suffix-asked")
+    local = keep(cut.where("gram is null").drop("gram"), "suffix-periods")
+    release(cut)
+    settled = lambda done: done.where("settled").select("doc_id", "mark", "first", "n")
+    by_suffix, first = sort_pass(fetch_slices(src, asked, length, k), length, "suffix-sorted")
+    release(asked)
+    cleft = keep(prefix_pass(still_open(by_suffix), length, k), "suffix-cleft")
+    by_rest, second = sort_pass(cleft.mapInArrow(cut_rows(length, False), ROW), length, "suffix-sorted-again")
+    single, third = sort_pass(still_open(by_rest).mapInArrow(cut_rows(length, True), ROW), length, "suffix-sorted-windows")
+    found = local.union(copies.select("doc_id", "mark", F.lit(0).alias("first"), "n"))
+    for done in (by_suffix, by_rest, single):
+        found = found.union(settled(done))
+    cover = keep(found.groupBy("doc_id", "mark").agg(F.collect_set(pair).alias("gone")), "suffix-cover")
+    release(copies, local, first, cleft, second, third)
     return cover
 
 
