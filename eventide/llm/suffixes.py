@@ -39,6 +39,7 @@ LENGTH = 100
 GRAM = 0.32                   # length of a gram as a share of the window
 BATCH = 1 << 18               # bytes worked on together
 CUT = 1 << 16                 # windows of one text worked on together; no window's anchor depends on it
+ROWS = 1 << 12                # values spread out together
 PERIODS = range(1, 9)         # strings of these periods repeat inside their own text; found without sorting
 PLACE = 20                    # low bits of a gram's hash that give way to its place: batches are shorter than 2**20
 U = np.uint64
@@ -159,7 +160,10 @@ def characters(bodies: pa.Array, more: list[np.ndarray]) -> np.ndarray:
     size = np.diff(ends)
     wide = -(-int(size.max()) // 8) * 8
     padded = np.zeros((len(size), wide), np.uint8)
-    padded[np.repeat(np.arange(len(size)), size), flatten(np.zeros(len(size), np.int64), size)] = data[ends[0]:ends[-1]]
+    for lo in range(0, len(size), ROWS):    # places of so many values at a time
+        part = size[lo:lo + ROWS]
+        padded[np.repeat(np.arange(lo, lo + len(part)), part), flatten(np.zeros(len(part), np.int64), part)] = data[
+            ends[lo]:ends[lo + len(part)]]
     return np.column_stack([padded.view(">u8").astype(U), *(m.astype(U) for m in more)])
 
 
