@@ -24,22 +24,27 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts lineage: a lost executor costs a read of the written table, not a
-    recomputation of everything before it.  The write's own shuffle files are
-    not needed after it and go at once (:data:`CLEANUP`).
+    recomputation of everything before it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._eventide_path = path
     return out
 
 
+def keep_only(df: DataFrame, label: str) -> DataFrame:
+    """:func:`keep`, whose write leaves no shuffle files behind (:data:`CLEANUP`): nothing else may use its shuffles."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return keep(df, label)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def release(*frames: DataFrame) -> None:
     """Delete tables made by :func:`keep` that no later step reads."""
     for df in frames:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import arrow_map, keep, rekeyed, release, slices, texts_of
+from eventide.llm.common import arrow_map, keep_only, rekeyed, release, slices, texts_of
 
 LEAST_DOCS = 10      # documents of the language that must hold a kept term
 TOP = 10             # terms reported per group
@@ -191,15 +191,15 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> Data
     language without kept terms has pairs of value 0.  Runs jobs: the counts
     and the matrix are written.
     """
-    counts = keep(term_counts(docs), "term-counts")
+    counts = keep_only(term_counts(docs), "term-counts")
     groups = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
     # a term's block: the terms of a language are dealt to as many blocks as they fill
     known = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("d")).where(
         F.col("d") >= least_docs).drop("d")
-    known = keep(known, "kept-terms")
+    known = keep_only(known, "kept-terms")
     vocab = known.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
     terms = known.select(F.col("lang").alias("l"), F.col("term").alias("t"), "lang_n")
-    cells = keep(counts.join(terms, (counts.lang == terms.l) & (counts.term == terms.t)).select(
+    cells = keep_only(counts.join(terms, (counts.lang == terms.l) & (counts.term == terms.t)).select(
         "lang", "source", "term", "n", "lang_n"), "kept-counts")
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     spot = Window.partitionBy("lang").orderBy("source")     # one row per group of a language
@@ -207,7 +207,7 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> Data
         0, ["total", "kept", "lang_total"])
     groups = groups.withColumn("at", F.row_number().over(spot) - 1).withColumn(
         "many", F.count("*").over(Window.partitionBy("lang")))
-    groups = keep(groups.withColumn("p0", F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col(
+    groups = keep_only(groups.withColumn("p0", F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col(
         "kept"))).otherwise(F.lit(1))).withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("kept") / TERMS))), "groups")
     release(counts)
     placed = groups.select(F.col("lang").alias("l"), F.col("source").alias("s"), "at", "many", "total", "kept",

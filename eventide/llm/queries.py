@@ -42,7 +42,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pii_report(table(spark, sf_dir, "documents"))
+    return pii.pii_report(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

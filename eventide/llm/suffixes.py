@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import arrow_map, keep, rekeyed, release, slices, texts_of
+from eventide.llm.common import arrow_map, keep_only, rekeyed, release, slices, texts_of
 
 LENGTH = 100
 GRAM = 0.32                   # length of a gram as a share of the window
@@ -254,7 +254,7 @@ def sort_suffixes(length: int):
 def sort_pass(rows: DataFrame, length: int, label: str) -> tuple[DataFrame, DataFrame]:
     """``rows`` (of :data:`ROW`) that are settled, or open with body, ``lo`` and ``hi``; and the written table."""
     dealt = rows.repartitionByRange("body", "off", "doc_id", "mark", "first")
-    done = keep(dealt.mapInArrow(sort_suffixes(length), SORTED), label)
+    done = keep_only(dealt.mapInArrow(sort_suffixes(length), SORTED), label)
     ends = done.where("doc_id is null")
     # a key that closes one bucket and opens another: its first row is the least of those that close with it
     origin = ends.groupBy("tail").agg(F.min("least").alias("origin"))
@@ -440,25 +440,25 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     k = max(1, round(length * GRAM))
     src = docs.where("doc_id is not null")
-    cut = keep(first_slices(src, length, k), "suffix-slices")
+    cut = keep_only(first_slices(src, length, k), "suffix-slices")
     several = cut.where("gram is not null").groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select(
         rekeyed("gram").alias("g"))
     pair = F.struct("first", "n")
     wanted = cut.join(several, cut.gram == several.g).groupBy("doc_id", "mark").agg(F.collect_set(pair).alias("asked"))
-    copies = keep(whole_copies(src, length), "suffix-copies")
-    asked = keep(wanted.join(copies.select("doc_id", "mark"), ["doc_id", "mark"], "left_anti"), "suffix-asked")
-    local = keep(cut.where("gram is null").drop("gram"), "suffix-periods")
+    copies = keep_only(whole_copies(src, length), "suffix-copies")
+    asked = keep_only(wanted.join(copies.select("doc_id", "mark"), ["doc_id", "mark"], "left_anti"), "suffix-asked")
+    local = keep_only(cut.where("gram is null").drop("gram"), "suffix-periods")
     release(cut)
     settled = lambda done: done.where("settled").select("doc_id", "mark", "first", "n")
     by_suffix, first = sort_pass(fetch_slices(src, asked, length, k), length, "suffix-sorted")
     release(asked)
-    cleft = keep(prefix_pass(still_open(by_suffix), length, k), "suffix-cleft")
+    cleft = keep_only(prefix_pass(still_open(by_suffix), length, k), "suffix-cleft")
     by_rest, second = sort_pass(cleft.mapInArrow(cut_rows(length, False), ROW), length, "suffix-sorted-again")
     single, third = sort_pass(still_open(by_rest).mapInArrow(cut_rows(length, True), ROW), length, "suffix-sorted-windows")
     found = local.union(copies.select("doc_id", "mark", F.lit(0).alias("first"), "n"))
     for done in (by_suffix, by_rest, single):
         found = found.union(settled(done))
-    cover = keep(found.groupBy("doc_id", "mark").agg(F.collect_set(pair).alias("gone")), "suffix-cover")
+    cover = keep_only(found.groupBy("doc_id", "mark").agg(F.collect_set(pair).alias("gone")), "suffix-cover")
     release(copies, local, first, cleft, second, third)
     return cover
 

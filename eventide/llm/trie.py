@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import keep
+from eventide.llm.common import keep_only
 
 SPINE = 20       # a conversation takes its first turns from the one at the multiple of SPINE at or below its id
 HEAD = 4         # and at most HEAD - 1 of them
@@ -379,9 +379,9 @@ def prefix_trie(paths: DataFrame) -> DataFrame:
     the shards' tries are written.
     """
     dealt = paths.repartitionByRange("path", "conv_id")
-    parts = keep(dealt.mapInArrow(build_shard, SHARD), "trie-shards")
+    parts = keep_only(dealt.mapInArrow(build_shard, SHARD), "trie-shards")
     spines = parts.where("path is not null").select("shard", "side", "path", "words", *STATS)
-    merged = keep(spines.withColumn("level", F.lit(2)).groupBy("level").applyInPandas(merge_spines, MERGED), "trie-spines")
+    merged = keep_only(spines.withColumn("level", F.lit(2)).groupBy("level").applyInPandas(merge_spines, MERGED), "trie-spines")
     ends = parts.where("node is not null").select("node", "ids", "conv_id").repartition("node").sortWithinPartitions(
         "node", "conv_id").select("node", "ids").mapInArrow(hash_pieces, "name binary, sha string")
     nodes = merged.where("node is not null")
