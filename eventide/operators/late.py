@@ -35,7 +35,7 @@ def with_watermark_before(df: DataFrame, bound, seq: str = "seq", tie: str | Non
     """Add ``wm_us``: the watermark in force when the row arrives (null for the first).
 
     ``initial_max_us`` is the largest event time seen before this input (a
-    stream's earlier micro-batches).
+    stream's earlier micro-batches, ``streaming.late``).
     """
     order = [seq] + ([tie] if tie else [])
     bucket = ((F.col(seq) - F.pmod(F.col(seq), F.lit(chunk))) / F.lit(chunk)).cast("bigint")
@@ -43,44 +43,10 @@ def with_watermark_before(df: DataFrame, bound, seq: str = "seq", tie: str | Non
                     running=[Running("_max_before", F.col("_ts_us"), "max", "prefix", False)])
     mx = F.col("_max_before")
     if initial_max_us is not None:
-        mx = F.greatest(mx, F.lit(initial_max_us))
+        mx = F.greatest(mx, F.lit(initial_max_us))      # of a null and a value, the value
     return sc.withColumn("wm_us", mx - F.lit(us(bound))).drop("_max_before")
 
 
-def late_split_batch(path: str, bound, allowed, size, slide, seq: str = "seq",
-                     tie: str | None = None, ts: str = "ts"):
-    """O-45 / O-46 S: ``foreachBatch`` writer applying contract C9 across micro-batches.
-
-    Spark drops late rows silently; here each micro-batch is classified with
-    the per-row watermark (the maximum event time of all earlier rows, the
-    previous batches' maximum carried in ``path/max``), and written as
-    ``path/late/batch=<id>`` (the side output: rows whose last window had
-    expired) and ``path/rows/batch=<id>`` (rows with their window ranges, for
-    ``counts_from_rows``).  Every write overwrites its batch folder, so a retry
-    is idempotent.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = None
-        if batch_id > 0:    # every earlier batch has written its maximum: a failed read must fail
-            prev = spark.read.schema("m long, batch long").parquet(f"{path}/max").where(
-                F.col("batch") < batch_id).agg(F.max("m")).first()[0]
-        r = window_ranges(with_watermark_before(batch, bound, seq, tie, ts, initial_max_us=prev),
-                          size, slide, allowed)
-        r.filter(F.col("_acc_from") > F.col("_last_end")).select(
-            *batch.columns, from_micros("wm_us").alias("wm")) \
-            .write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
-        r.filter(F.col("_acc_from") <= F.col("_last_end")) \
-            .write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        mx = batch.agg(F.max(micros(ts)).alias("m")).first()[0]
-        cur = prev if mx is None else (mx if prev is None else max(prev, mx))
-        spark.createDataFrame([(cur,)], "m long").write.mode("overwrite") \
-            .parquet(f"{path}/max/batch={batch_id}")
-
-    return write
-
-
 def window_ranges(df: DataFrame, size, slide, allowed) -> DataFrame:
     """Per row, the window-end ranges by status (epoch microseconds, on the slide grid).
 

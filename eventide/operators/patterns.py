@@ -260,8 +260,10 @@ def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail
         F.count(F.lit(1)).alias("_size"),
         F.max_by(F.struct(F.col("next_event_type").alias("t"), F.col("next_ts").alias("ts")),
                  F.struct("ts", "seq")).alias("_after"))
-    clx = cl.select(key, "_head", "ts", "seq").join(
-        info.filter(F.col("_size") >= n), [key, "_head"])
+    big = info.filter(F.col("_size") >= n)
+    clx = cl.select(key, "_head", "ts", "seq").alias("c").join(     # a null key is a key like any other
+        big.alias("i"), F.col(f"c.{key}").eqNullSafe(F.col(f"i.{key}")) & (F.col("c._head") == F.col("i._head"))).select(
+        "c.*", "i._size", "i._after")
     bursts = _bursts_by_chains(clx, key, n, w_us, fail, carry_width)
     return bursts.select(key, "first_fail_ts", "last_fail_ts", "fail_times",
                          _fmt(BURST_MSG, secs=F.lit(_secs_text(w_us)), n=F.col("fail_times")).alias("warn_msg"))
@@ -272,6 +274,15 @@ def _discard(after, anchor_us, w_us: int, fail: str):
     return F.coalesce((after["t"] != fail) & (micros(after["ts"]) <= anchor_us + F.lit(w_us)), F.lit(False))
 
 
+def _same(sides: list[str], key: str, rest: list[str]) -> Column:
+    """Equal columns of two aliased sides; the key null-safe."""
+    a, b = sides
+    out = F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}"))
+    for c in rest:
+        out = out & (F.col(f"{a}.{c}") == F.col(f"{b}.{c}"))
+    return out
+
+
 def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
                       carry_width) -> DataFrame:
     """Greedy anchoring inside clusters without gathering them.
@@ -301,7 +312,7 @@ def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
     while jump.filter(F.col("jump").isNotNull()).limit(1).count() > 0:
         levels.append(jump)
         a, b = jump.alias("a"), jump.alias("b")
-        cond = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._head") == F.col("b._head")) \
+        cond = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("a._head") == F.col("b._head")) \
             & (F.col("a.jump") == F.col("b.node"))
         jump = a.join(b, cond, "left").select(*[F.col(f"a.{c}") for c in ck], F.col("a.node"),
                                               F.col("b.jump").alias("jump")).checkpoint()
@@ -309,11 +320,13 @@ def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
         *ck, F.struct(micros(F.col("_head.ts")).alias("us"), F.col("_head.seq").alias("seq")).alias("node"))
     anchors = heads.checkpoint()
     for lv in reversed(levels):
-        step = anchors.alias("f").join(lv.alias("j"), [*ck, "node"]).filter(F.col("j.jump").isNotNull()) \
-            .select(*ck, F.col("j.jump").alias("node"))
+        step = anchors.alias("f").join(lv.alias("j"), _same(["f", "j"], key, ["_head", "node"])).filter(
+            F.col("j.jump").isNotNull()).select(*[F.col(f"f.{c}") for c in ck], F.col("j.jump").alias("node"))
         anchors = anchors.unionByName(step).checkpoint()
-    flagged = fl.join(anchors.select(*ck, F.col("node.us").alias("us"), F.col("node.seq").alias("seq"),
-                                     F.lit(True).alias("_is_anchor")), [*ck, "us", "seq"], "left")
+    known = anchors.select(*ck, F.col("node.us").alias("us"), F.col("node.seq").alias("seq"),
+                           F.lit(True).alias("_is_anchor"))
+    flagged = fl.alias("f").join(known.alias("k"), _same(["f", "k"], key, ["_head", "us", "seq"]), "left").select(
+        "f.*", "k._is_anchor")
     mark = F.when(F.col("_is_anchor"), F.struct(F.col("us").alias("us"), F.col("ts").alias("ts")))
     owned = keyed_scan(flagged, ck, ["us", "seq"], time_bucket(F.col("us"), us(carry_width)),
                        running=[Running("_anchor", mark, "max", "prefix", True)])
@@ -321,7 +334,7 @@ def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
         F.count(F.lit(1)).alias("fail_times"), F.min("ts").alias("first_fail_ts"),
         F.max("ts").alias("last_fail_ts"), F.first("_after").alias("_after"))
     last = bursts.groupBy(*ck).agg(F.max("_a").alias("_last_a"))
-    b = bursts.join(last, ck)
+    b = bursts.alias("f").join(last.alias("k"), _same(["f", "k"], key, ["_head"])).select("f.*", "k._last_a")
     drop = (F.col("_a") == F.col("_last_a")) & _discard(F.col("_after"), F.col("_a"), w_us, fail)
     return b.filter((F.col("fail_times") >= n) & ~drop).select(
         key, "first_fail_ts", "last_fail_ts", F.col("fail_times").cast("bigint").alias("fail_times"))

@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.text import drop_static_assets, exclude, only
-from eventide.functions.time import ntz_literal
+from eventide.functions.time import from_micros, ntz_literal
 from eventide.session import DEFAULT_CONF, scratch_path, use_utc
 from eventide.operators import caps, late, patterns, reconcile, topn, uniques, windows
 from eventide.sources import files, testdata as td
-from eventide.streaming import jobs
+from eventide.streaming import jobs, late as slate, sinks
+from eventide.streaming.event_time import with_event_time
 from eventide.streaming.sinks import run_stream
 
 H = dt.timedelta(hours=1)
@@ -226,12 +227,16 @@ def login_pattern(spark, sf):
     return patterns.failure_pattern(td.logins(spark, sf), LOGIN_WITHIN, inclusive=False)
 
 
-def sequence_3step(spark, sf):
-    """A failure, the very next event a failure too, and a success any time later, within a day of the first."""
+def _relief_steps():
+    """A failure, the very next event a failure too, and a success any time later."""
     is_fail = F.col("event_type") == "fail"
-    steps = [patterns.Step("first", is_fail), patterns.Step("second", is_fail, "next"),
-             patterns.Step("relief", F.col("event_type") == "success")]
-    return patterns.match_sequence(td.logins(spark, sf), ["user_id"], steps, DAY)
+    return [patterns.Step("first", is_fail), patterns.Step("second", is_fail, "next"),
+            patterns.Step("relief", F.col("event_type") == "success")]
+
+
+def sequence_3step(spark, sf):
+    """Two failures in a row and a later success, within a day of the first."""
+    return patterns.match_sequence(td.logins(spark, sf), ["user_id"], _relief_steps(), DAY)
 
 
 def _funnel(spark, sf):
@@ -285,15 +290,23 @@ def tx_unmatched(spark, sf):
     return _flat_reconciled(_reconciled(spark, sf).filter(F.col("tag") == "UNMATCHED"))
 
 
+def _events_stream(spark, sf):
+    """The events table as a stream, its state in the library's default store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"])
+    # as a pattern, which the file source also takes where the table is a single file
+    return td.events_stream(spark, f"{sf.rstrip('/')}/events.parque[t]")
+
+
 def _stream_table(spark, sf, name, job):
     """The sink table of an ``availableNow`` run of ``job`` over the events stream (contract C10).
 
     Only what the watermark closed is in it, so the last instants of the input are not.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"])
-    # as a pattern, which the file source also takes where the table is a single file
-    out = job(td.events_stream(spark, f"{sf.rstrip('/')}/events.parque[t]"))
+    return _drained(spark, name, job(_events_stream(spark, sf)))
+
+
+def _drained(spark, name, out):
     path = scratch_path(spark, name)
     run_stream(out, "parquet", name=name, options={"path": path})
     return spark.read.schema(out.schema).parquet(path)
@@ -330,6 +343,110 @@ def stream_ad_passed(spark, sf):
     return out.filter(F.col("tag") == "PASS").select("user_id", "ad_id", "province", "city", "ts", "day")
 
 
+def stream_order_status(spark, sf):
+    """Statuses with default arguments; reports that a later pay took back are not among them."""
+    return sinks.net_rows(_stream_table(spark, sf, "stream_order_status", lambda e: jobs.stream_order_status(
+        e, windows.us(ORDER_TIMEOUT))))
+
+
+def stream_login_bursts(spark, sf):
+    return _stream_table(spark, sf, "stream_login_bursts", lambda e: jobs.stream_login_bursts(
+        e, BURST_N, windows.us(LOGIN_WITHIN)))
+
+
+def _stream_reconciled(spark, sf, tag):
+    out = _stream_table(spark, sf, f"stream_tx_{tag.lower()}", lambda e: jobs.stream_reconcile(
+        e, windows.us(TX_WAIT_PAY), windows.us(TX_WAIT_RECEIPT)))
+    return out.filter(F.col("tag") == tag).drop("tag")
+
+
+def stream_tx_matched(spark, sf):
+    return _stream_reconciled(spark, sf, "MATCH")
+
+
+def stream_tx_unmatched(spark, sf):
+    return _stream_reconciled(spark, sf, "UNMATCHED")
+
+
+def stream_sequence_3step(spark, sf):
+    """Complete sequences of ``sequence_3step``."""
+    def job(e):
+        rows = td.logins_from(with_event_time(e, "ts", "0 seconds"), keep=jobs.EV)
+        return jobs.stream_sequence(rows, "user_id", "user_id long", _relief_steps(), windows.us(DAY))
+    return _stream_table(spark, sf, "stream_sequence_3step", job).filter(F.col("tag") == "MATCH")
+
+
+def _split(spark, sf, name, rows, p, seq="seq"):
+    path = scratch_path(spark, name)
+    slate.split_late(rows, path, p["bound"], p["allowed"], p["size"], p["slide"], seq=seq, tie="event_id", name=name)
+    return path
+
+
+def _late_stream(spark, sf):
+    return _events_stream(spark, sf).select("event_id", "ts", "event_type", td.late_arrival_seq().alias("seq"))
+
+
+LATE_DDL = "event_id long, ts timestamp_ntz, event_type string, seq long"
+
+
+def stream_late_rows(spark, sf):
+    """The side output of the classifying stream."""
+    path = _split(spark, sf, "stream_late_rows", _late_stream(spark, sf), LATE)
+    return spark.read.schema(f"{LATE_DDL}, wm timestamp_ntz").option("recursiveFileLookup", "true").parquet(
+        f"{path}/late").select("event_id", "ts", "seq", "wm")
+
+
+def stream_lateness_counts(spark, sf):
+    """The last firing of every window that the contract's watermark has closed."""
+    path = _split(spark, sf, "stream_lateness", _late_stream(spark, sf), LATE)
+    rows = slate.accepted_rows(spark, path, LATE_DDL)
+    out = _drained(spark, "stream_lateness_counts", slate.stream_lateness_counts(
+        rows, ["event_type"], LATE["allowed"], LATE["slide"], "event_type string"))
+    last = out.groupBy("event_type", "window_end_us").agg(F.max_by(
+        F.struct("cnt_on_time", "cnt", "late_updates"), "version").alias("c"))
+    return last.select("event_type", from_micros("window_end_us").alias("window_end"), "c.*")
+
+
+PAGES_DDL = "ip string, user_id string, ts timestamp_ntz, method string, url string, seq long, event_id long"
+
+
+def stream_hot_pages(spark, sf):
+    """The last refined ranking of every window whose span the contract's watermark has closed."""
+    p = HOT_PAGES
+    parsed = files.parse_access_log(td.access_log_lines_from(_events_stream(spark, sf)), keep=("seq", "event_id"))
+    pages = drop_static_assets(only(parsed, "method", "GET"), "url").select(
+        "ip", "user_id", "ts", "method", "url", "seq", "event_id")
+    rows = slate.accepted_rows(spark, _split(spark, sf, "stream_pages", pages, p), PAGES_DDL)
+    out = _drained(spark, "stream_hot_pages", slate.stream_hot_pages(
+        rows, "url", p["n"], p["allowed"], p["slide"], p["size"]))
+    return slate.last_rankings(out, "url", p["n"], p["slide"]).select("url", "window_end", "cnt", "rank")
+
+
+def stream_uv_running(spark, sf):
+    """The last count of every window of the running visitors stream."""
+    path = scratch_path(spark, "stream_uv_running")
+    run_stream(jobs.stream_uv_chunks(_events_stream(spark, sf)), sinks.latest_batches(path), "update", "stream_uv_running")
+    return jobs.latest_uv(spark.read.schema("window_end timestamp_ntz, chunk long, uv long, batch long").parquet(path))
+
+
+def stream_uvcount(spark, sf):
+    """The visitors per window as the running stream's state holds them, read back from its state store."""
+    ckpt = scratch_path(spark, "stream_uvcount")
+    run_stream(jobs.stream_uv_chunks(_events_stream(spark, sf)), "noop", "update", "stream_uvcount", checkpoint=ckpt)
+    state = sinks.read_state(spark, ckpt)
+    bits = state.schema["value"].dataType.fieldNames()[0]
+    end = F.col(f"key.{state.schema['key'].dataType.fieldNames()[0]}.end")
+    return state.groupBy(end.cast("timestamp_ntz").alias("window_end")).agg(
+        F.sum(F.bitmap_count(F.col(f"value.{bits}"))).alias("uv"))
+
+
+def text_scan(spark, sf):
+    """Behaviour lines kept as text files, scanned and parsed."""
+    path = scratch_path(spark, "text_scan")
+    td.behavior_lines(spark, sf).select("value").write.text(path)
+    return _clean(only(files.parse_user_behavior(files.read_lines(spark, path)), "behavior", "pv"))
+
+
 def _pinned(q: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         use_utc(spark)
@@ -382,6 +499,17 @@ _QUERIES: dict[str, Query] = {
     "stream_login_pairs": stream_login_pairs,
     "stream_order_paid": stream_order_paid,
     "stream_ad_passed": stream_ad_passed,
+    "stream_order_status": stream_order_status,
+    "stream_login_bursts": stream_login_bursts,
+    "stream_tx_matched": stream_tx_matched,
+    "stream_tx_unmatched": stream_tx_unmatched,
+    "stream_sequence_3step": stream_sequence_3step,
+    "stream_late_rows": stream_late_rows,
+    "stream_lateness_counts": stream_lateness_counts,
+    "stream_hot_pages": stream_hot_pages,
+    "stream_uv_running": stream_uv_running,
+    "stream_uvcount": stream_uvcount,
+    "text_scan": text_scan,
 }
 
 QUERIES: dict[str, Query] = {k: _pinned(v) for k, v in _QUERIES.items()}

@@ -360,3 +360,54 @@ ORACLE |= {
     "stream_order_paid": _closed("order_paid", "pay_ts", "'signup', 'purchase'", cols="* EXCLUDE (msg)"),
     "stream_ad_passed": _closed("ad_passed", "ts", "'click'"),
 }
+
+
+def _latest(types: str) -> str:
+    return f"(SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE event_type IN ({types}))"
+
+
+# a report that waits for a time-out is out once the watermark has reached it, or once the key's next row was read
+_ORDERS_WM = _latest("'signup', 'purchase'")
+_TX_WM = f"least({_latest(chr(39) + 'purchase' + chr(39))}, {_latest(chr(39) + 'view' + chr(39))})"
+_READ = "events AS (SELECT * FROM main.events WHERE ts < {wm}), "
+
+
+def _read_before(query: str, wm: str) -> str:
+    """The query over the events before the watermark."""
+    return ORACLE[query].replace("WITH ", "WITH " + _READ.format(wm=wm.replace("FROM events", "FROM main.events")), 1)
+
+
+
+
+def _late_wm(src: str, bound) -> str:
+    """The contract's watermark after the last row, as Spark's timers see it (in milliseconds)."""
+    return f"(SELECT (max(epoch_us(ts)) - {us(bound)}) // 1000 * 1000 FROM {src})"
+
+
+_PAGE_SPAN, _PAGE_SLIDE = us(HP["size"]), us(HP["slide"])
+
+ORACLE |= {
+    "stream_order_status": f"""SELECT * FROM ({_read_before('order_status', _ORDERS_WM)}) s
+        WHERE status <> 'created_timeout' OR epoch_us(create_ts) + {OT} <= epoch_us({_ORDERS_WM})
+           OR EXISTS (SELECT 1 FROM events e WHERE e.user_id = s.order_id AND e.event_type IN ('signup', 'purchase')
+                      AND e.ts > s.create_ts AND e.ts < {_ORDERS_WM})""",
+    "stream_login_bursts": f"""SELECT * FROM ({BURSTS}) WHERE epoch_us(first_fail_ts) + {LW} <
+        (SELECT epoch_us(date_trunc('milliseconds', max(ts))) FROM events)""",
+    "stream_tx_matched": _read_before("tx_matched", _TX_WM),
+    "stream_tx_unmatched": f"""SELECT * FROM ({_read_before('tx_unmatched', _TX_WM)}) s
+        WHERE epoch_us(coalesce(pay_ts, receipt_ts)) + CASE WHEN pay_ts IS NULL THEN {us(C.TX_WAIT_RECEIPT)}
+              ELSE {us(C.TX_WAIT_PAY)} END < epoch_us({_TX_WM})
+           OR EXISTS (SELECT 1 FROM events e WHERE CAST(e.user_id AS VARCHAR) = s.tx_id
+                      AND e.event_type IN ('purchase', 'view')
+                      AND e.ts > coalesce(s.pay_ts, s.receipt_ts) AND e.ts < {_TX_WM})""",
+    "stream_sequence_3step": _closed("sequence_3step", "relief_ts"),
+    "stream_late_rows": ORACLE["late_rows"],
+    "stream_lateness_counts": ORACLE["lateness_counts"].replace(
+        "WHERE status <> 'expired'", f"WHERE status <> 'expired' AND e <= {_late_wm('events', L['bound'])}"),
+    "stream_hot_pages": HOT_PAGES.replace(
+        "WHERE status <> 'expired'", f"WHERE status <> 'expired' AND e - e % {_PAGE_SPAN} + "
+        f"{_PAGE_SPAN - _PAGE_SLIDE} <= {_late_wm(PAGES_SRC, HP['bound'])}"),
+    "stream_uv_running": ORACLE["uv_bitmap"],
+    "stream_uvcount": ORACLE["uv_bitmap"],
+    "text_scan": ORACLE["parse_behavior"],
+}

@@ -107,7 +107,10 @@ def csv_lines(df: DataFrame, *cols: str) -> DataFrame:
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-log line per event: ``ip user - time zone method url``."""
-    e = events(spark, sf_dir)
+    return access_log_lines_from(events(spark, sf_dir))
+
+
+def access_log_lines_from(e: DataFrame) -> DataFrame:
     k = _k()
     ip = F.concat_ws(".", F.lit("10"), F.lit("0"),
                      (F.col("user_id") / 256).cast("bigint") % 256,

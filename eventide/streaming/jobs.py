@@ -18,13 +18,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.functions.time import local_day
+from eventide.functions.time import local_day, micros
 from eventide.operators.topn import topn_per_window
 from eventide.sources import testdata as td
 from eventide.streaming.event_time import with_event_time
 from eventide.streaming.processors import (FailureBurstsMachine, FailurePairsMachine,
-                                           FunnelMachine, OrderStatusMachine, RateCapMachine,
-                                           ReconcileMachine, by_bucket, run_ordered)
+                                           FunnelMachine, OrderStatusMachine, ProcessingTimeCap, RateCapMachine,
+                                           ReconcileMachine, SequenceMachine, by_bucket, run_ordered)
 
 EV = ("ts_us", "event_time")
 DAY_US = 86_400_000_000
@@ -55,63 +55,6 @@ def topn_batch_writer(path: str, n: int, key: str) -> Callable:
     return write
 
 
-def stream_page_counts(lines: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
-                       delay: str = "4 minutes") -> DataFrame:
-    """O-34b S: GET page requests per URL and sliding window, in ``update`` mode.
-
-    ``lines`` is a stream of access-log lines (column ``value``).  The
-    watermark delay covers the out-of-orderness bound plus the allowed
-    lateness (3 min + 1 min in the reference), so a late row still refines its
-    window; each refinement is a new count for the same (url, window).
-    """
-    from eventide.functions.text import drop_static_assets, only
-    from eventide.sources.files import parse_access_log
-    req = drop_static_assets(only(parse_access_log(lines), "method", "GET"), "url")
-    ev = with_event_time(req, "ts", delay)
-    agg = ev.groupBy("url", F.window("event_time", size, slide).alias("w")).count()
-    return agg.select("url", F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                      F.col("count").alias("cnt"))
-
-
-def topn_refine_writer(path: str, n: int, key: str) -> Callable:
-    """O-34b S: ``foreachBatch`` writer for refining counts (``update`` mode).
-
-    Latest count per (key, window) wins (a re-fired window replaces, never
-    adds); only the windows touched by the batch are re-ranked.  State lives
-    in ``path/counts/batch=<id>`` generations and rankings in
-    ``path/topn/batch=<id>``; every write overwrites its batch folder, so a
-    retried batch is idempotent.  ``read_refined_topn`` returns the latest
-    ranking per window.
-    """
-    from eventide.streaming.sinks import _list_generations
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        ids = [int(g.rsplit("=", 1)[1]) for g in _list_generations(spark, f"{path}/counts", "batch=")]
-        gens = [f"{path}/counts/batch={i}" for i in sorted(i for i in ids if i < batch_id)]
-        cur = batch.select(key, "window_end", "cnt").withColumn("_b", F.lit(batch_id))
-        if gens:
-            old = spark.read.parquet(gens[-1]).withColumn("_b", F.lit(-1))
-            touched = cur.select("window_end").distinct()
-            cur = old.unionByName(cur)
-        else:
-            touched = cur.select("window_end").distinct()
-        latest = cur.groupBy(key, "window_end").agg(F.max_by("cnt", "_b").alias("cnt"))
-        latest.write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
-        fresh = spark.read.parquet(f"{path}/counts/batch={batch_id}").join(touched, "window_end")
-        topn_per_window(fresh, n, key).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("overwrite").parquet(f"{path}/topn/batch={batch_id}")
-
-    return write
-
-
-def read_refined_topn(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The last ranking written for each window by ``topn_refine_writer``."""
-    t = spark.read.parquet(f"{path}/topn")
-    last = t.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
-    return t.join(last, ["window_end", "batch_id"]).drop("batch", "batch_id")
-
-
 def stream_uv(events: DataFrame, size: str = "1 hour") -> DataFrame:
     """O-29 S: distinct users per window by two chained aggregations (append mode)."""
     ev = with_event_time(events, "ts", "0 seconds").filter(F.col("event_type") == "view")
@@ -138,17 +81,78 @@ def _ordered_input(df: DataFrame, tie: F.Column | None = None) -> DataFrame:
     return df.withColumn("tie", tie if tie is not None else F.lit(0))
 
 
-def stream_order_status(events: DataFrame, timeout_us: int, keep_us: int = 7 * DAY_US) -> DataFrame:
-    """O-36 S: create/pay state machine per order (C6), ``transformWithState``."""
+def stream_order_status(events: DataFrame, timeout_us: int, forget_us: int | None = None) -> DataFrame:
+    """O-36 S: create/pay state machine per order (C6), ``transformWithState``.
+
+    An unpaid create is reported at ``create + timeout``; where it is paid after
+    that, the report is taken back (``op`` ``-``) and the pay is
+    ``paid_after_timeout``, however late (within ``forget_us`` where given, which
+    bounds the state).  ``sinks.net_rows`` of the output are the batch job's rows.
+    """
     ev = with_event_time(events, "ts", "0 seconds")
     od = _ordered_input(td.order_events_from(ev, keep=EV),
                         F.when(F.col("event_type") == "create", F.lit(0)).otherwise(F.lit(1)))
-    out = run_ordered(od, ["order_id"], OrderStatusMachine(timeout_us, keep_us),
+    out = run_ordered(od, ["order_id"], OrderStatusMachine(timeout_us, forget_us),
                       ["event_type", "ts_us", "tie", "seq"],
                       "event_type string, ts_us long, tie int, seq long")
     return _us_to_ts(out, {"create_us": "create_ts", "pay_us": "pay_ts"})
 
 
+def stream_sequence(rows: DataFrame, key: str, key_ddl: str, steps: list, within_us: int,
+                    inclusive: bool = False) -> DataFrame:
+    """O-35 S: ``patterns.match_sequence`` over a stream, for any number of ``patterns.Step``.
+
+    ``rows`` carries ``ts_us``, ``seq`` and a watermark.  Same columns as the batch
+    operator; a sequence is emitted when it is complete, broken or out of time.
+    """
+    fits = F.lit(0)
+    for i, s in enumerate(steps):
+        fits = fits + F.coalesce(s.where, F.lit(False)).cast("int") * (1 << i)
+    d = by_bucket(_ordered_input(rows.where("ts_us is not null")).withColumn("fits", fits),
+                  max(within_us, WEEK * DAY_US), back_us=within_us)
+    names = [s.name for s in steps]
+    out = run_ordered(d, [key, "bucket"], SequenceMachine(names, [s.follows for s in steps], within_us, inclusive,
+                                                          key_ddl),
+                      ["fits", "home", "ts_us", "tie", "seq"],
+                      "fits int, home boolean, ts_us long, tie int, seq long")
+    return _us_to_ts(out, {f"{n}_us": f"{n}_ts" for n in names})
+
+
+def stream_uv_chunks(events: DataFrame, size: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """O-31 / O-52 S: per window and 32K-bit chunk of user hashes the bits set so far, in ``update`` mode.
+
+    The state is the bitmaps themselves, merged per micro-batch; each micro-batch
+    emits the chunks that it changed.  A window's count is the sum of its chunks'
+    latest (:func:`latest_uv`).  With ``delay`` the state of a window ends when the
+    watermark passes it; without, all windows stay and can be read back
+    (``sinks.read_state``).
+    """
+    from eventide.operators.uniques import user_hash
+    ev = events.where("ts is not null and event_type = 'view'")
+    ev = with_event_time(ev, "ts", delay) if delay else ev.withColumn("event_time", F.timestamp_micros(micros("ts")))
+    h = user_hash("user_id")
+    agg = ev.groupBy(F.window("event_time", size).alias("w"), F.bitmap_bucket_number(h).alias("chunk")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bits"))
+    return agg.select(F.col("w.end").cast("timestamp_ntz").alias("window_end"), "chunk",
+                      F.bitmap_count("bits").alias("uv"))
+
+
+def latest_uv(chunks: DataFrame) -> DataFrame:
+    """``(window_end, uv)`` from the updates of :func:`stream_uv_chunks`, whose ``batch`` says which is the latest."""
+    last = chunks.groupBy("window_end", "chunk").agg(F.max_by("uv", "batch").alias("uv"))
+    return last.groupBy("window_end").agg(F.sum("uv").alias("uv"))
+
+
+def stream_ad_cap_by_clock(clicks: DataFrame, n: int, tz: str = "Asia/Shanghai", every_ms: int | None = None) -> DataFrame:
+    """O-51 S: the click cap whose counts the processing time resets, at midnight of ``tz`` (or every ``every_ms``).
+
+    ``clicks`` has user_id, ad_id, ts_us and seq.
+    """
+    return clicks.select("user_id", "ad_id", "ts_us", "seq").groupBy("user_id", "ad_id").transformWithState(
+        ProcessingTimeCap(n, tz, every_ms), "user_id long, ad_id long, tag string, ts_us long, seq long, msg string",
+        "update", "ProcessingTime")
+
+
 def stream_order_funnel(events: DataFrame, within_us: int) -> DataFrame:
     """O-35 / O-35b S: create followed by pay within the bound; time-outs by event-time timer."""
     ev = with_event_time(events, "ts", "0 seconds")
@@ -162,11 +166,11 @@ def stream_order_funnel(events: DataFrame, within_us: int) -> DataFrame:
 
 def stream_reconcile(events: DataFrame, wait_pay_us: int, wait_receipt_us: int) -> DataFrame:
     """O-41 / O-42 S: pays and receipts merged per transaction, matched one to one."""
-    ev = with_event_time(events, "ts", "0 seconds")
-    pays = td.order_events_from(ev, keep=EV).filter(F.col("event_type") == "pay") \
+    # a watermark of its own for each side: the job's is the lesser of the two
+    pays = td.order_events_from(with_event_time(events, "ts", "0 seconds"), keep=EV).filter(F.col("event_type") == "pay") \
         .select("tx_id", "order_id", F.lit(None).cast("string").alias("pay_channel"),
                 "ts_us", F.lit(0).alias("tie"), "seq", "event_time")
-    rec = td.receipts_from(ev, keep=EV).select(
+    rec = td.receipts_from(with_event_time(events, "ts", "0 seconds"), keep=EV).select(
         "tx_id", F.lit(None).cast("bigint").alias("order_id"), "pay_channel", "ts_us",
         F.lit(1).alias("tie"), "seq", "event_time")
     both = pays.unionByName(rec)

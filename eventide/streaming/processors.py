@@ -29,20 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
-US_PER_MS = 1000
-
-# ---- fixed values: alert texts (same as the batch operators) --------------
-STATUS_MSG = {
-    "paid": "[{id}] payed successfully",
-    "paid_after_timeout": "[{id}] payed but already timeout",
-    "pay_without_create": "[{id}] payed but not found create",
-    "created_timeout": "[{id}] created, order timeout",
-}
-PAIR_MSG = "{user} login fail 2 times in {secs} seconds."
-BURST_MSG = "login fail in {secs}s for {n} times."
-CAP_MSG = "Click Over {n} times today."
-# ---------------------------------------------------------------------------
+from eventide.operators.caps import CAP_MSG
+from eventide.operators.patterns import BURST_MSG, PAIR_MSG, STATUS_MSG
 
+US_PER_MS = 1000
 
 def _secs(us: int) -> str:
     s = us / 1_000_000
@@ -73,48 +63,61 @@ class Machine:
 
 
 class OrderStatusMachine(Machine):
-    """O-36 (contract C6).  A create waits for the next row of its order; after
-    ``keep`` without one (watermark passed) it is reported ``created_timeout``."""
+    """O-36 (contract C6).  A create waits for the next row of its order.
 
-    state_ddl = "last string, last_ts long"
-    out_ddl = "order_id long, status string, tag string, create_us long, pay_us long, msg string"
+    Unpaid at ``create + timeout`` it is reported ``created_timeout`` and stays in
+    state as told: a pay that comes later takes that report back (``op`` ``-``)
+    and is ``paid_after_timeout``, as in a batch.  A told create stays until a row
+    of its order follows, or for ``forget`` where that is given; a pay that comes
+    still later is then ``pay_without_create``.
+    """
 
-    def __init__(self, timeout_us: int, keep_us: int):
-        self.t, self.keep = timeout_us, keep_us
+    state_ddl = "last string, last_ts long, told boolean"
+    out_ddl = "order_id long, status string, tag string, create_us long, pay_us long, msg string, op string"
+
+    def __init__(self, timeout_us: int, forget_us: int | None = None):
+        self.t, self.forget = timeout_us, forget_us
 
     def initial(self):
-        return {"last": None, "last_ts": None}
+        return {"last": None, "last_ts": None, "told": None}
 
-    def _out(self, oid, status, c, p):
+    def _out(self, oid, status, c, p, op="+"):
         return (oid, status, "PAY" if status == "paid" else "TIMEOUT", c, p,
-                STATUS_MSG[status].format(id=oid))
+                STATUS_MSG[status].format(id=oid), op)
 
     def step(self, key, st, row):
         oid, out = key[0], []
         if row.event_type == "pay":
             if st["last"] == "create":
+                if st["told"]:
+                    out.append(self._out(oid, "created_timeout", st["last_ts"], None, "-"))
                 ok = row.ts_us - st["last_ts"] < self.t
                 out.append(self._out(oid, "paid" if ok else "paid_after_timeout", st["last_ts"], row.ts_us))
             else:
                 out.append(self._out(oid, "pay_without_create", None, row.ts_us))
-            st["last"], st["last_ts"] = "pay", row.ts_us
+            st.update(self.initial())
         else:
-            if st["last"] == "create":
+            if st["last"] == "create" and not st["told"]:
                 out.append(self._out(oid, "created_timeout", st["last_ts"], None))
-            st["last"], st["last_ts"] = "create", row.ts_us
+            st.update(last="create", last_ts=row.ts_us, told=None)
         return out
 
     def expire(self, key, st, wm_us):
-        if st["last"] == "create" and wm_us > st["last_ts"] + self.keep:
-            out = [self._out(key[0], "created_timeout", st["last_ts"], None)]
-            st["last"], st["last_ts"] = None, None
-            return out
-        if st["last"] == "pay":
-            st["last"], st["last_ts"] = None, None
-        return []
+        out = []
+        if st["last"] == "create":
+            if not st["told"] and wm_us >= st["last_ts"] + self.t:
+                out = [self._out(key[0], "created_timeout", st["last_ts"], None)]
+                st["told"] = True
+            if st["told"] and self.forget is not None and wm_us >= st["last_ts"] + self.t + self.forget:
+                st.update(self.initial())
+        return out
 
     def deadline(self, st):
-        return st["last_ts"] + self.keep + 1 if st["last"] == "create" else None
+        if st["last"] != "create":
+            return None
+        if not st["told"]:
+            return st["last_ts"] + self.t
+        return None if self.forget is None else st["last_ts"] + self.t + self.forget
 
 
 class FailurePairsMachine(Machine):
@@ -229,7 +232,7 @@ class RateCapMachine(Machine):
             return [(key[0], key[1], "PASS", row.province, row.city, row.ts_us, row.seq, day, None)]
         if st["cnt"] == self.n + 1:
             return [(key[0], key[1], "WARN", row.province, row.city, row.ts_us, row.seq, day,
-                     CAP_MSG.format(n=self.n))]
+                     CAP_MSG % self.n)]
         return []
 
     def _day_end(self, day: str) -> int:
@@ -284,6 +287,65 @@ class FunnelMachine(Machine):
         return st["pending"][0] + self.w if st["pending"] else None     # in order
 
 
+class SequenceMachine(Machine):
+    """O-35: sequences of any number of steps; each row has its fit with every step as a bit of ``fits``.
+
+    The buffer holds the times of each sequence under way.  The next row of the
+    key either takes it on, ends it (a ``next`` step that does not fit) or lets it
+    wait; it ends at the first row's time plus ``within``.  Rows that are not
+    ``home`` come from the bucket after and start nothing.
+    """
+
+    state_ddl = "pending array<array<bigint>>"
+
+    def __init__(self, names: list[str], follows: list[str], within_us: int, inclusive: bool = False,
+                 keys_ddl: str = "user_id long"):
+        self.follows, self.w, self.inc = follows, within_us, inclusive
+        self.out_ddl = f"{keys_ddl}, tag string, steps int, " + ", ".join(f"{n}_us long" for n in names)
+
+    def initial(self):
+        return {"pending": []}
+
+    def _out(self, key, times):
+        n = len(self.follows)
+        return (key[0], "MATCH" if len(times) == n else "TIMEOUT", len(times), *times, *[None] * (n - len(times)))
+
+    def _late(self, start, now):
+        return now - start > self.w if self.inc else now - start >= self.w
+
+    def step(self, key, st, row):
+        out, wait = [], []
+        for times in st["pending"]:
+            i = len(times)
+            if self._late(times[0], row.ts_us):
+                out.append(self._out(key, times))
+            elif row.fits >> i & 1:
+                times = [*times, row.ts_us]
+                if i + 1 == len(self.follows):
+                    out.append(self._out(key, times))
+                else:
+                    wait.append(times)
+            elif self.follows[i] == "next":
+                out.append(self._out(key, times))
+            else:
+                wait.append(times)
+        if row.home and row.fits & 1:
+            if len(self.follows) == 1:
+                out.append(self._out(key, [row.ts_us]))
+            else:
+                wait.append([row.ts_us])
+        st["pending"] = wait
+        return out
+
+    def expire(self, key, st, wm_us):
+        done = [t for t in st["pending"] if self._late(t[0], wm_us)]
+        st["pending"] = [t for t in st["pending"] if not self._late(t[0], wm_us)]
+        return [self._out(key, t) for t in done]
+
+    def deadline(self, st):
+        return st["pending"][0][0] + self.w if st["pending"] else None      # in order of their first rows
+
+
 class ReconcileMachine(Machine):
     """O-41 / O-42 (contract C7): one pending row per key; the next row of the
     other side within the pending row's patience pairs with it, a row of the
@@ -332,6 +394,56 @@ class ReconcileMachine(Machine):
         return None if st["side"] is None else st["ts_us"] + self.wait[st["side"]] + 1
 
 
+def _lists(v):
+    """Arrays of a state as lists, whatever sequence they are read back as."""
+    return [_lists(x) for x in v] if isinstance(v, (list, tuple)) else v
+
+
+class ProcessingTimeCap(StatefulProcessor):
+    """O-51: the first ``n`` rows of a key pass, the next warns, until the clock's next reset clears the state.
+
+    The clock is the processing time: a timer at the next local midnight of
+    ``tz``, or ``every_ms`` after the key's first row where that is given.
+    """
+
+    def __init__(self, n: int, tz: str = "Asia/Shanghai", every_ms: int | None = None):
+        self.n, self.tz, self.every = n, tz, every_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.cnt = handle.getValueState("cnt", "n long")
+
+    def reset_at(self, now_ms: int) -> int:
+        """The instant of the reset that follows ``now_ms``."""
+        if self.every is not None:
+            return now_ms + self.every
+        from zoneinfo import ZoneInfo
+        zone = ZoneInfo(self.tz)
+        today = dt.datetime.fromtimestamp(now_ms / 1000, zone).date()
+        return int(dt.datetime.combine(today + dt.timedelta(days=1), dt.time(), zone).timestamp()) * 1000
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
+        have = self.cnt.get()[0] if self.cnt.exists() else 0
+        if not have:
+            self.handle.registerTimer(self.reset_at(timerValues.getCurrentProcessingTimeInMs()))
+        out = []
+        for r in sorted(rows, key=lambda r: (r.ts_us is not None, r.ts_us, r.seq)):
+            have += 1
+            if have <= self.n + 1:
+                warn = have > self.n
+                out.append(Row(user_id=key[0], ad_id=key[1], tag="WARN" if warn else "PASS", ts_us=r.ts_us, seq=r.seq,
+                               msg=CAP_MSG % self.n if warn else None))
+        self.cnt.update((have,))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.cnt.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 class OrderedKeyProcessor(StatefulProcessor):
     """Buffer rows per key, work them off in event-time order when the watermark passes."""
 
@@ -377,8 +489,7 @@ class OrderedKeyProcessor(StatefulProcessor):
         ready.sort(key=self.rank)
         m = self.machine
         if self.st.exists():
-            st = {f: list(v) if isinstance(v, (list, tuple)) else v
-                  for f, v in zip(self.state_fields, tuple(self.st.get()))}
+            st = {f: _lists(v) for f, v in zip(self.state_fields, tuple(self.st.get()))}
         else:
             st = m.initial()
         out = []

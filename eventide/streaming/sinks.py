@@ -116,3 +116,32 @@ def changelog_batch(state_path: str, compute: Callable[[DataFrame], DataFrame],
         curr.write.mode("overwrite").parquet(f"{state_path}/result/batch={batch_id}")
 
     return write
+
+
+def latest_batches(path: str) -> Callable:
+    """``foreachBatch`` writer of an ``update`` stream: each micro-batch's rows in a folder of its own, by its number."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def net_rows(changes: DataFrame, op: str = "op") -> DataFrame:
+    """What a changelog of whole rows (``+`` and ``-``) leaves, repeated rows repeated."""
+    rest = [c for c in changes.columns if c != op]
+    n = changes.groupBy(*rest).agg(F.sum(F.when(F.col(op) == "+", 1).otherwise(-1)).alias("_n"))
+    return n.where("_n > 0").select(*rest, F.explode(F.sequence(F.lit(1), "_n")).alias("_i")).drop("_i")
+
+
+def read_state(spark: SparkSession, checkpoint: str, variable: str | None = None, operator: int = 0) -> DataFrame:
+    """O-05: the table that a running or ended stream keeps per key, read from its state store.
+
+    The state of a keyed aggregate *is* the table of the latest value per key;
+    columns are the grouping columns and the aggregate's buffer.  ``variable``
+    names a state variable of a ``transformWithState`` job.
+    """
+    r = spark.read.format("statestore").option("operatorId", str(operator))
+    if variable:
+        r = r.option("stateVarName", variable)
+    return r.load(checkpoint)
