@@ -12,6 +12,8 @@ when arrival order matters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,15 +45,32 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False,
     return spark.read.text(path)
 
 
-def _fields(value: Column, sep: str) -> Column:
-    return F.split(value, sep, -1)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parsed(lines: DataFrame, value: str, sep: str, keep: tuple, fields: Callable[[Column], dict]) -> DataFrame:
+    """The fields of each line, and ``_corrupt``: whether one is missing or unreadable.
+
+    A line is split and converted once, by a generator of one row: plain columns
+    would be put into every later filter and computed again there.
+    """
+    names: list[str] = []
+
+    def whole(a: Column) -> Column:
+        cols = fields(a)
+        names[:] = cols
+        return F.struct(*[c.alias(n) for n, c in cols.items()])
 
+    def flagged(r: Column) -> Column:
+        bad = F.lit(False)
+        for n in names:
+            bad = bad | r[n].isNull()
+        return F.struct(*[r[n].alias(n) for n in names], bad.alias("_corrupt"))
 
-def _corrupt(*typed: Column) -> Column:
-    bad = F.lit(False)
-    for c in typed:
-        bad = bad | c.isNull()
-    return bad
+    one = F.transform(F.array(F.split(F.col(value), sep, -1)), lambda a: _let(whole(a), flagged))
+    return lines.select(F.inline(one), *keep)
 
 
 def _at(arr: Column, i: int) -> Column:
@@ -60,68 +79,53 @@ def _at(arr: Column, i: int) -> Column:
 
 def parse_user_behavior(lines: DataFrame, value: str = "value", keep: tuple = ()) -> DataFrame:
     """O-08: ``user_id,item_id,category_id,behavior,ts_seconds``."""
-    a = _fields(F.col(value), ",")
-    cols = {
+    return _parsed(lines, value, ",", keep, lambda a: {
         "user_id": _at(a, 0).try_cast("bigint"),
         "item_id": _at(a, 1).try_cast("bigint"),
         "category_id": _at(a, 2).try_cast("int"),
         "behavior": _at(a, 3),
         "ts": from_seconds(_at(a, 4).try_cast("bigint")),
-    }
-    return lines.select(*[c.alias(n) for n, c in cols.items()],
-                        _corrupt(*cols.values()).alias("_corrupt"), *keep)
+    })
 
 
 def parse_ad_click(lines: DataFrame, value: str = "value", keep: tuple = ()) -> DataFrame:
     """O-09: ``user_id,ad_id,province,city,ts_seconds``."""
-    a = _fields(F.col(value), ",")
-    cols = {
+    return _parsed(lines, value, ",", keep, lambda a: {
         "user_id": _at(a, 0).try_cast("bigint"),
         "ad_id": _at(a, 1).try_cast("bigint"),
         "province": _at(a, 2),
         "city": _at(a, 3),
         "ts": from_seconds(_at(a, 4).try_cast("bigint")),
-    }
-    return lines.select(*[c.alias(n) for n, c in cols.items()],
-                        _corrupt(*cols.values()).alias("_corrupt"), *keep)
+    })
 
 
 def parse_login(lines: DataFrame, value: str = "value", keep: tuple = ()) -> DataFrame:
     """O-10: ``user_id,ip,event_type,ts_seconds``."""
-    a = _fields(F.col(value), ",")
-    cols = {
+    return _parsed(lines, value, ",", keep, lambda a: {
         "user_id": _at(a, 0).try_cast("bigint"),
         "ip": _at(a, 1),
         "event_type": _at(a, 2),
         "ts": from_seconds(_at(a, 3).try_cast("bigint")),
-    }
-    return lines.select(*[c.alias(n) for n, c in cols.items()],
-                        _corrupt(*cols.values()).alias("_corrupt"), *keep)
+    })
 
 
 def parse_order(lines: DataFrame, value: str = "value", keep: tuple = ()) -> DataFrame:
     """O-11: ``order_id,event_type,tx_id,ts_seconds``; ``tx_id`` is empty for creates."""
-    a = _fields(F.col(value), ",")
-    cols = {
+    return _parsed(lines, value, ",", keep, lambda a: {
         "order_id": _at(a, 0).try_cast("bigint"),
         "event_type": _at(a, 1),
         "tx_id": _at(a, 2),
         "ts": from_seconds(_at(a, 3).try_cast("bigint")),
-    }
-    return lines.select(*[c.alias(n) for n, c in cols.items()],
-                        _corrupt(*cols.values()).alias("_corrupt"), *keep)
+    })
 
 
 def parse_receipt(lines: DataFrame, value: str = "value", keep: tuple = ()) -> DataFrame:
     """O-12: ``tx_id,pay_channel,ts_seconds``."""
-    a = _fields(F.col(value), ",")
-    cols = {
+    return _parsed(lines, value, ",", keep, lambda a: {
         "tx_id": _at(a, 0),
         "pay_channel": _at(a, 1),
         "ts": from_seconds(_at(a, 2).try_cast("bigint")),
-    }
-    return lines.select(*[c.alias(n) for n, c in cols.items()],
-                        _corrupt(*cols.values()).alias("_corrupt"), *keep)
+    })
 
 
 def parse_access_log(lines: DataFrame, value: str = "value", honour_zone: bool = False,
@@ -131,24 +135,17 @@ def parse_access_log(lines: DataFrame, value: str = "value", honour_zone: bool =
     The time ``dd/MM/yyyy:HH:mm:ss`` is read as UTC.  With ``honour_zone`` the
     zone field 4 (``+0800``) is applied; the reference ignores it.
     """
-    a = _fields(F.col(value), " ")
-    local = F.try_to_timestamp(_at(a, 3), F.lit(ACCESS_LOG_TIME_FORMAT)).cast("timestamp_ntz")
-    ts = local
-    if honour_zone:
-        z = _at(a, 4)
-        sign = F.when(F.substring(z, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-        offs_min = (F.substring(z, 2, 2).try_cast("int") * 60
-                    + F.substring(z, 4, 2).try_cast("int")) * sign
-        ts = F.timestamp_add("MINUTE", -offs_min, local)
-    cols = {
-        "ip": _at(a, 0),
-        "user_id": _at(a, 1),
-        "ts": ts,
-        "method": _at(a, 5),
-        "url": _at(a, 6),
-    }
-    return lines.select(*[c.alias(n) for n, c in cols.items()],
-                        _corrupt(*cols.values()).alias("_corrupt"), *keep)
+    def fields(a):
+        ts = F.try_to_timestamp(_at(a, 3), F.lit(ACCESS_LOG_TIME_FORMAT)).cast("timestamp_ntz")
+        if honour_zone:
+            z = _at(a, 4)
+            sign = F.when(F.substring(z, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
+            offs_min = (F.substring(z, 2, 2).try_cast("int") * 60
+                        + F.substring(z, 4, 2).try_cast("int")) * sign
+            ts = F.timestamp_add("MINUTE", -offs_min, ts)
+        return {"ip": _at(a, 0), "user_id": _at(a, 1), "ts": ts, "method": _at(a, 5), "url": _at(a, 6)}
+
+    return _parsed(lines, value, " ", keep, fields)
 
 
 def market_from_millis(df: DataFrame, ms_col: str = "ts_ms") -> DataFrame:
