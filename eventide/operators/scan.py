@@ -12,8 +12,8 @@ in the order (a time bucket, or an arrival-sequence chunk):
 1. The input is hash-partitioned once by ``(key, bucket)``.  Groups are
    small and spread over all tasks, whatever the key skew.
 2. A per-``(key, bucket)`` summary (first row, last row, bucket totals) is
-   aggregated from that same exchange (Spark reuses it: no second shuffle and
-   no recomputation of the input).
+   aggregated from the same rows (AQE reuses the exchange where its columns
+   allow; where it does not, the input is read and dealt a second time).
 3. A window over the summary, ordered by bucket, carries the neighbour row
    and the running totals across buckets.  It holds one row per non-empty
    bucket, so its size per key is bounded by time span / bucket width, not

@@ -57,7 +57,7 @@ def uv_running(df: DataFrame, size, user: str = "user_id", ts: str = "ts", seq:
     """
     size_us = us(size)
     h = user_hash(user, seed, bits)
-    firsts = df.groupBy(pane_end_us(ts, size_us).alias("_e"), h.alias("_h")) \
+    firsts = df.where(F.col(ts).isNotNull()).groupBy(pane_end_us(ts, size_us).alias("_e"), h.alias("_h")) \
         .agg(F.min(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))).alias("_f")) \
         .select("_e", "_f.ts", "_f.seq")
     width = us(carry_width) if carry_width is not None else max(size_us // 60, 1)
