@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.time import from_micros, micros, ts_text
+from eventide.operators.bursts import anchored_bursts
 from eventide.operators.scan import (Running, bounded_next_min, bounded_prev, keyed_scan,
                                      time_bucket)
 from eventide.operators.windows import us
@@ -228,113 +229,22 @@ def order_status(orders: DataFrame, timeout, inclusive: bool = False, key: str =
 
 
 def failure_bursts(logins: DataFrame, n: int, within, key: str = "user_id", fail: str = "fail",
-                   carry_width=HOUR_US) -> DataFrame:
+                   carry_width=None) -> DataFrame:
     """O-37: bursts of at least ``n`` failures within ``within`` of the first (C5).
 
     The first failure anchors a burst; failures up to ``anchor + within``
-    (inclusive) join it; a success in that span discards it; otherwise it is
-    reported when ``count >= n``.  The next failure anchors anew.
-
-    Plan: a failure whose previous event is a success, or a failure more than
-    ``within`` earlier, always anchors (the previous burst had closed), so the
-    failures split into *clusters* of runs with every gap <= ``within``.
-    Clusters are found by keyed scans; inside a cluster of at least ``n``
-    failures the anchors follow from exact distributed pointer-doubling
-    (``_bursts_by_chains``), whatever its size, so no cluster is ever gathered.
-    The event after the cluster decides its last burst.
+    (inclusive) join it; any other event in that span discards it (also one
+    without a type); otherwise it is reported when ``count >= n``.  The next
+    failure anchors anew.  A null key is a key like any other; events without a
+    time are left out.
+
+    Plan: ``bursts.anchored_bursts``.  ``carry_width`` is the width of its time
+    buckets (16 times ``within`` by default); results do not depend on it.
     Output: key, first_fail_ts, last_fail_ts, fail_times, warn_msg.
     """
     w_us = us(within)
-    bucket = time_bucket(micros("ts"), us(carry_width))
-    sc = keyed_scan(logins, [key], ["ts", "seq"], bucket,
-                    prev=["event_type", "ts"], next=["event_type", "ts"])
-    fails = sc.filter(F.col("event_type") == fail)
-    new_cluster = (F.col("prev_event_type").isNull() | (F.col("prev_event_type") != fail)
-                   | ((micros("ts") - micros("prev_ts")) > F.lit(w_us)))
-    fails = fails.withColumn("_new", new_cluster)
-    head = F.when(F.col("_new"), F.struct(F.col("ts").alias("ts"), F.col("seq").alias("seq")))
-    cl = keyed_scan(fails, [key], ["ts", "seq"], bucket,
-                    running=[Running("_head", head, "max", "prefix", True)])
-    # one row per cluster: size and the event right after its last failure
-    info = cl.groupBy(key, "_head").agg(
-        F.count(F.lit(1)).alias("_size"),
-        F.max_by(F.struct(F.col("next_event_type").alias("t"), F.col("next_ts").alias("ts")),
-                 F.struct("ts", "seq")).alias("_after"))
-    big = info.filter(F.col("_size") >= n)
-    clx = cl.select(key, "_head", "ts", "seq").alias("c").join(     # a null key is a key like any other
-        big.alias("i"), F.col(f"c.{key}").eqNullSafe(F.col(f"i.{key}")) & (F.col("c._head") == F.col("i._head"))).select(
-        "c.*", "i._size", "i._after")
-    bursts = _bursts_by_chains(clx, key, n, w_us, fail, carry_width)
-    return bursts.select(key, "first_fail_ts", "last_fail_ts", "fail_times",
-                         _fmt(BURST_MSG, secs=F.lit(_secs_text(w_us)), n=F.col("fail_times")).alias("warn_msg"))
-
-
-def _discard(after, anchor_us, w_us: int, fail: str):
-    """A success right after the cluster, within the last burst's span, discards it."""
-    return F.coalesce((after["t"] != fail) & (micros(after["ts"]) <= anchor_us + F.lit(w_us)), F.lit(False))
-
-
-def _same(sides: list[str], key: str, rest: list[str]) -> Column:
-    """Equal columns of two aliased sides; the key null-safe."""
-    a, b = sides
-    out = F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}"))
-    for c in rest:
-        out = out & (F.col(f"{a}.{c}") == F.col(f"{b}.{c}"))
-    return out
-
-
-def _bursts_by_chains(clx: DataFrame, key: str, n: int, w_us: int, fail: str,
-                      carry_width) -> DataFrame:
-    """Greedy anchoring inside clusters without gathering them.
-
-    ``next(f)`` = first failure after ``f.ts + within`` is a suffix minimum of
-    a keyed scan over failures plus one probe row per failure.  The anchors
-    are the chain head, next(head), next(next(head)), ...  Jump tables
-    ``J_k = next^(2^k)`` are built by self-joins (log2 of the longest chain
-    rounds), then the chain is enumerated from the head level by level.
-    Every intermediate is checkpointed to the shared checkpoint folder.
-    """
-    from eventide.session import checkpoint_root
-    spark = clx.sparkSession
-    checkpoint_root(spark)
-    ck = [key, "_head"]
-    fl = clx.select(*ck, micros("ts").alias("us"), "ts", "seq", "_after").checkpoint()
-    node = F.struct(F.col("us").alias("us"), F.col("seq").alias("seq"))
-    probes = fl.select(*ck, (F.col("us") + F.lit(w_us)).alias("us"), F.lit(1).alias("kind"), "seq")
-    u = fl.select(*ck, "us", F.lit(0).alias("kind"), "seq").unionByName(probes)
-    nxt = F.when(F.col("kind") == 0, node)
-    sc = keyed_scan(u, ck, ["us", "kind", "seq"], time_bucket(F.col("us"), us(carry_width)),
-                    running=[Running("_nx", nxt, "min", "suffix", inclusive=False)])
-    jump = sc.filter(F.col("kind") == 1).select(
-        *ck, F.struct((F.col("us") - F.lit(w_us)).alias("us"), F.col("seq").alias("seq")).alias("node"),
-        F.col("_nx").alias("jump")).checkpoint()
-    levels = []
-    while jump.filter(F.col("jump").isNotNull()).limit(1).count() > 0:
-        levels.append(jump)
-        a, b = jump.alias("a"), jump.alias("b")
-        cond = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("a._head") == F.col("b._head")) \
-            & (F.col("a.jump") == F.col("b.node"))
-        jump = a.join(b, cond, "left").select(*[F.col(f"a.{c}") for c in ck], F.col("a.node"),
-                                              F.col("b.jump").alias("jump")).checkpoint()
-    heads = fl.select(*ck).distinct().select(
-        *ck, F.struct(micros(F.col("_head.ts")).alias("us"), F.col("_head.seq").alias("seq")).alias("node"))
-    anchors = heads.checkpoint()
-    for lv in reversed(levels):
-        step = anchors.alias("f").join(lv.alias("j"), _same(["f", "j"], key, ["_head", "node"])).filter(
-            F.col("j.jump").isNotNull()).select(*[F.col(f"f.{c}") for c in ck], F.col("j.jump").alias("node"))
-        anchors = anchors.unionByName(step).checkpoint()
-    known = anchors.select(*ck, F.col("node.us").alias("us"), F.col("node.seq").alias("seq"),
-                           F.lit(True).alias("_is_anchor"))
-    flagged = fl.alias("f").join(known.alias("k"), _same(["f", "k"], key, ["_head", "us", "seq"]), "left").select(
-        "f.*", "k._is_anchor")
-    mark = F.when(F.col("_is_anchor"), F.struct(F.col("us").alias("us"), F.col("ts").alias("ts")))
-    owned = keyed_scan(flagged, ck, ["us", "seq"], time_bucket(F.col("us"), us(carry_width)),
-                       running=[Running("_anchor", mark, "max", "prefix", True)])
-    bursts = owned.groupBy(*ck, F.col("_anchor.us").alias("_a")).agg(
-        F.count(F.lit(1)).alias("fail_times"), F.min("ts").alias("first_fail_ts"),
-        F.max("ts").alias("last_fail_ts"), F.first("_after").alias("_after"))
-    last = bursts.groupBy(*ck).agg(F.max("_a").alias("_last_a"))
-    b = bursts.alias("f").join(last.alias("k"), _same(["f", "k"], key, ["_head"])).select("f.*", "k._last_a")
-    drop = (F.col("_a") == F.col("_last_a")) & _discard(F.col("_after"), F.col("_a"), w_us, fail)
-    return b.filter((F.col("fail_times") >= n) & ~drop).select(
-        key, "first_fail_ts", "last_fail_ts", F.col("fail_times").cast("bigint").alias("fail_times"))
+    width = us(carry_width) if carry_width is not None else max(16 * w_us, 1_000_000)
+    b = anchored_bursts(logins, n, w_us, key, fail, width)
+    return b.select(key, from_micros("first_us").alias("first_fail_ts"), from_micros("last_us").alias("last_fail_ts"),
+                    F.col("n").alias("fail_times"),
+                    _fmt(BURST_MSG, secs=F.lit(_secs_text(w_us)), n=F.col("n")).alias("warn_msg"))
