@@ -23,44 +23,17 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField
 
 from eventide.functions.time import micros
+from eventide.operators.passes import same, sorted_pass
 from eventide.operators.scan import time_bucket
 
 EVER = 2 ** 63 - 1      # above every instant
-ROWS = 10_000           # rows of a batch passed on
-
-
-def _walk(batches) -> Iterator[tuple]:
-    for b in batches:
-        yield from zip(*(c.to_pylist() for c in b.columns))
-
-
-def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-
-    def batch():
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-
-    for r in rows:
-        held.append(r)
-        if len(held) == ROWS:
-            yield batch()
-            held = []
-    if held:
-        yield batch()
-
-
-def _same(a, b) -> bool:
-    """Equal keys; nulls and NaNs are equal to themselves."""
-    return a == b or (a != a and b != b)
 
 
 class _Steps:
@@ -111,11 +84,11 @@ class _Steps:
                 [leave[i] and leave[i][1] for i in keep])
 
 
-def _steps(within: int, width: int, schema: pa.Schema) -> Callable:
-    def rows(batches):
+def _steps(within: int, width: int) -> Callable:
+    def walk(rows):
         key = bucket = steps = None
-        for k, b, fail, at, seq in _walk(batches):
-            if steps is None or b != bucket or not _same(k, key):
+        for k, b, fail, at, seq in rows:
+            if steps is None or b != bucket or not same(k, key):
                 if steps is not None:
                     yield (key, bucket, *steps.result())
                 key, bucket, steps = k, b, _Steps(b * width, within)
@@ -126,14 +99,14 @@ def _steps(within: int, width: int, schema: pa.Schema) -> Callable:
         if steps is not None:
             yield (key, bucket, *steps.result())
 
-    return lambda batches: _batches(rows(batches), schema)
+    return walk
 
 
-def _fold(within: int, schema: pa.Schema) -> Callable:
-    def rows(batches):
+def _fold(within: int) -> Callable:
+    def walk(rows):
         key, anchor, first = None, None, True
-        for k, b, bounds, leave, leave_seq in _walk(batches):
-            if first or not _same(k, key):
+        for k, b, bounds, leave, leave_seq in rows:
+            if first or not same(k, key):
                 key, anchor, first = k, None, False
             if anchor is not None:
                 yield (k, b, *anchor)
@@ -141,7 +114,7 @@ def _fold(within: int, schema: pa.Schema) -> Callable:
             if i < len(bounds):
                 anchor = None if leave[i] is None else (leave[i], leave_seq[i])
 
-    return lambda batches: _batches(rows(batches), schema)
+    return walk
 
 
 class _Burst:
@@ -157,11 +130,11 @@ class _Burst:
         return self.at, self.seq, self.n, self.last, dropped
 
 
-def _pieces(n: int, within: int, schema: pa.Schema) -> Callable:
-    def rows(batches):
+def _pieces(n: int, within: int) -> Callable:
+    def walk(rows):
         key = bucket = burst = None
-        for k, b, kind, at, seq, fail in _walk(batches):
-            if b != bucket or not _same(k, key):
+        for k, b, kind, at, seq, fail in rows:
+            if b != bucket or not same(k, key):
                 if burst is not None and burst.n:
                     yield (key, *burst.piece(False))
                 key, bucket, burst = k, b, None
@@ -180,7 +153,7 @@ def _pieces(n: int, within: int, schema: pa.Schema) -> Callable:
         if burst is not None and burst.n:
             yield (key, *burst.piece(False))
 
-    return lambda batches: _batches(rows(batches), schema)
+    return walk
 
 
 def anchored_bursts(events: DataFrame, n: int, within_us: int, key: str, fail: str, width_us: int) -> DataFrame:
@@ -193,21 +166,16 @@ def anchored_bursts(events: DataFrame, n: int, within_us: int, key: str, fail: s
     k, b = StructField("k", of_key.dataType), StructField("b", LongType())
     seq_t, us_t = of_seq.dataType, LongType()
 
-    def run(df, by, order, make, *fields):
-        schema = StructType(list(fields))
-        return df.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(make(to_arrow_schema(schema)), schema)
-
-    steps = run(d, ["k", "b"], ["us", "seq"], lambda s: _steps(within_us, width_us, s), k, b,
-                StructField("bounds", ArrayType(us_t)), StructField("leave", ArrayType(us_t)),
-                StructField("leave_seq", ArrayType(seq_t)))
-    entered = steps.repartition("k").sortWithinPartitions("k", "b")
-    enter_s = StructType([k, b, StructField("us", us_t), StructField("seq", seq_t)])
-    entered = entered.mapInArrow(_fold(within_us, to_arrow_schema(enter_s)), enter_s)
+    steps = sorted_pass(d, ["k", "b"], ["us", "seq"], _steps(within_us, width_us), [
+        k, b, StructField("bounds", ArrayType(us_t)), StructField("leave", ArrayType(us_t)),
+        StructField("leave_seq", ArrayType(seq_t))])
+    entered = sorted_pass(steps, ["k"], ["b"], _fold(within_us), [
+        k, b, StructField("us", us_t), StructField("seq", seq_t)])
     both = d.select("k", "b", F.lit(1).alias("kind"), "us", "seq", "fail").unionByName(
         entered.select("k", "b", F.lit(0).alias("kind"), "us", "seq", F.lit(True).alias("fail")))
-    pieces = run(both, ["k", "b"], ["kind", "us", "seq"], lambda s: _pieces(n, within_us, s), k,
-                 StructField("at", us_t), StructField("seq", seq_t), StructField("n", us_t),
-                 StructField("last", us_t), StructField("dropped", BooleanType()))
+    pieces = sorted_pass(both, ["k", "b"], ["kind", "us", "seq"], _pieces(n, within_us), [
+        k, StructField("at", us_t), StructField("seq", seq_t), StructField("n", us_t), StructField("last", us_t),
+        StructField("dropped", BooleanType())])
     whole = pieces.groupBy("k", "at", "seq").agg(F.sum("n").alias("n"), F.max("last").alias("last"),
                                                  F.max("dropped").alias("dropped"))
     return whole.where((F.col("n") >= n) & ~F.col("dropped")).select(

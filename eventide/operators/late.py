@@ -14,11 +14,11 @@ output only if its last window is expired.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.time import from_micros, micros
-from eventide.operators.scan import Running, keyed_scan, time_bucket
+from eventide.operators.scan import Running, keyed_scan
 from eventide.operators.windows import us
 
 
@@ -89,44 +89,53 @@ def late_rows(df: DataFrame, bound, allowed, size, slide, seq: str = "seq",
         *df.columns, from_micros("wm_us").alias("wm"))
 
 
+def lateness_runs(df: DataFrame, keys: list[str], bound, allowed, size, slide, seq: str = "seq",
+                  tie: str | None = None, ts: str = "ts", chunk: int = CHUNK, span=None) -> DataFrame:
+    """Runs of windows with constant counts: keys, ``span``, ``from_us``, ``to_us``, ``cnt`` and ``cnt_on_time``.
+
+    Window ends are cut into spans (``span`` wide, an hour or the window's size).
+    A row counts in each span that its accepted windows touch, as a change of
+    the count at the first and one after the last of them there; changes are
+    summed per (key, span, end) and run up inside the span.  A span needs nothing
+    of the span before, so the rows are read once, and a group holds at most one
+    row per window end of a span.
+    """
+    slide_us = us(slide)
+    width = us(span) if span is not None else max(us(size), 3_600_000_000)
+    r = window_ranges(with_watermark_before(df, bound, seq, tie, ts, chunk), size, slide, allowed)
+    r = r.filter(F.col("_acc_from") <= F.col("_last_end"))
+    of = [F.floor(F.col(c) / F.lit(width)).cast("bigint") for c in ("_acc_from", "_last_end")]
+    r = r.withColumn("_span", F.explode(F.sequence(*of)))
+    start, stop = F.col("_span") * F.lit(width), (F.col("_span") + 1) * F.lit(width)
+    lo, beyond = F.greatest("_acc_from", _ceil_to(start, slide_us)), F.col("_last_end") + F.lit(slide_us)
+    on = F.greatest("_on_from", lo)
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    has_on = (on <= F.col("_last_end")) & (on < stop)
+    changes = F.filter(F.array(
+        F.struct(lo.alias("e"), one.alias("d"), F.when(on == lo, one).otherwise(zero).alias("o")),
+        F.struct(F.when(has_on & (on > lo), on).alias("e"), zero.alias("d"), one.alias("o")),
+        F.struct(F.when(beyond < stop, beyond).alias("e"), (-one).alias("d"),
+                 F.when(has_on, -one).otherwise(zero).alias("o"))), lambda c: c["e"].isNotNull())
+    r = r.where((lo <= F.col("_last_end")) & (lo < stop))
+    by = r.select(*keys, "_span", F.explode(changes).alias("_c")).groupBy(*keys, "_span", F.col("_c.e").alias("from_us")) \
+        .agg(F.sum("_c.d").alias("_d"), F.sum("_c.o").alias("_o")).where("_d <> 0 or _o <> 0")
+    w = Window.partitionBy(*keys, "_span").orderBy("from_us")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = F.coalesce(F.lead("from_us").over(w), _ceil_to((F.col("_span") + 1) * F.lit(width), slide_us))
+    return by.select(*keys, F.col("_span").alias("span"), "from_us", (after - F.lit(slide_us)).alias("to_us"),
+                     F.sum("_d").over(upto).alias("cnt"), F.sum("_o").over(upto).alias("cnt_on_time")).where("cnt > 0")
+
+
 def lateness_counts(df: DataFrame, keys: list[str], bound, allowed, size, slide,
                     seq: str = "seq", tie: str | None = None, ts: str = "ts",
-                    chunk: int = CHUNK, carry_width=None) -> DataFrame:
+                    chunk: int = CHUNK, span=None) -> DataFrame:
     """O-45: per (key, window) the count at the on-time firing and after late updates.
 
-    Rows are grouped by (key, last window, accepted-from, on-time-from); each
-    group adds signed deltas at the first and after the last window it counts
-    in, and a running sum per key (skew-safe keyed scan) gives intervals of
-    window ends with constant counts.  Only those intervals are expanded to
-    windows, so neither raw rows nor window copies of them are aggregated.
+    The windows of :func:`lateness_runs`, one row each.
     Output: keys, window_end, cnt_on_time, cnt (final), late_updates.
     """
-    slide_us = us(slide)
-    r = window_ranges(with_watermark_before(df, bound, seq, tie, ts, chunk), size, slide, allowed)
-    r = r.filter(F.col("_acc_from") <= F.col("_last_end"))
-    g = r.groupBy(*keys, "_last_end", "_acc_from", "_on_from").agg(F.count(F.lit(1)).alias("_c"))
-    stop = F.col("_last_end") + F.lit(slide_us)
-    has_on = F.col("_on_from") <= F.col("_last_end")
-    zero = F.lit(0).cast("bigint")
-    pts = F.array(
-        F.struct(F.col("_acc_from").alias("e"), F.col("_c").alias("d"), zero.alias("o")),
-        F.struct(stop.alias("e"), (-F.col("_c")).alias("d"), zero.alias("o")),
-        F.struct(F.col("_on_from").alias("e"), zero.alias("d"),
-                 F.when(has_on, F.col("_c")).otherwise(zero).alias("o")),
-        F.struct(stop.alias("e"), zero.alias("d"),
-                 F.when(has_on, -F.col("_c")).otherwise(zero).alias("o")))
-    deltas = g.select(*keys, F.explode(pts).alias("_x")) \
-        .groupBy(*keys, F.col("_x.e").alias("_e")) \
-        .agg(F.sum("_x.d").alias("_d"), F.sum("_x.o").alias("_o")) \
-        .filter((F.col("_d") != 0) | (F.col("_o") != 0))
-    width = us(carry_width) if carry_width is not None else max(us(size), 3_600_000_000)
-    sc = keyed_scan(deltas, keys, ["_e"], time_bucket(F.col("_e"), width), next=["_e"],
-                    running=[Running("cnt", F.col("_d"), "sum"), Running("cnt_on_time", F.col("_o"), "sum")])
-    runs = sc.filter((F.col("cnt") > 0) & F.col("next__e").isNotNull())
-    wins = runs.select(*keys, "cnt", "cnt_on_time",
-                       F.explode(F.sequence("_e", F.col("next__e") - F.lit(slide_us),
-                                            F.lit(slide_us))).alias("_w"))
-    return wins.select(*keys, from_micros("_w").alias("window_end"),
-                       F.col("cnt_on_time").cast("bigint").alias("cnt_on_time"),
-                       F.col("cnt").cast("bigint").alias("cnt"),
-                       (F.col("cnt") - F.col("cnt_on_time")).cast("bigint").alias("late_updates"))
+    runs = lateness_runs(df, keys, bound, allowed, size, slide, seq, tie, ts, chunk, span)
+    wins = runs.select(*keys, "cnt", "cnt_on_time", F.explode(F.sequence(
+        "from_us", "to_us", F.lit(us(slide)))).alias("_w"))
+    return wins.select(*keys, from_micros("_w").alias("window_end"), "cnt_on_time", "cnt",
+                       (F.col("cnt") - F.col("cnt_on_time")).alias("late_updates"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from eventide.functions.text import drop_static_assets, exclude, only
 from eventide.functions.time import from_micros, ntz_literal
 from eventide.session import DEFAULT_CONF, scratch_path, use_utc
-from eventide.operators import caps, late, patterns, reconcile, topn, uniques, windows
+from eventide.operators import caps, late, patterns, reconcile, runs, topn, uniques, windows
 from eventide.sources import files, testdata as td
 from eventide.streaming import jobs, late as slate, sinks
 from eventide.streaming.event_time import with_event_time
@@ -157,8 +157,11 @@ def hot_pages_counts(spark, sf):
 
 
 def hot_pages_topn(spark, sf):
-    c = hot_pages_counts(spark, sf)
-    return topn.topn_per_window(c, HOT_PAGES["n"], "url").select("url", "window_end", "cnt", "rank")
+    p = HOT_PAGES
+    counts = late.lateness_runs(_page_requests(spark, sf), ["url"], p["bound"], p["allowed"],
+                                p["size"], p["slide"], seq="seq", tie="event_id")
+    best = runs.topn_of_runs(counts, "url", p["n"], p["slide"])
+    return runs.windows_of_runs(best, p["slide"]).select("url", "window_end", "cnt", "rank")
 
 
 def _late_events(spark, sf):
