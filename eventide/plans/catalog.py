@@ -22,7 +22,7 @@ from eventide.functions.time import from_micros, ntz_literal
 from eventide.session import DEFAULT_CONF, scratch_path, use_utc
 from eventide.operators import caps, late, patterns, reconcile, runs, topn, uniques, windows
 from eventide.sources import files, testdata as td
-from eventide.streaming import jobs, late as slate, sinks
+from eventide.streaming import changelog as slog, jobs, late as slate, sinks
 from eventide.streaming.event_time import with_event_time
 from eventide.streaming.sinks import run_stream
 
@@ -271,6 +271,17 @@ def tx_interval_join(spark, sf):
                                    lts="pay_ts", rts="receipt_ts")
 
 
+def tx_outer_join(spark, sf):
+    """The interval join with the pays and receipts that found no partner."""
+    pays = _pays(spark, sf).select("tx_id", "order_id", F.col("ts").alias("pay_ts"), F.col("seq").alias("pay_seq"))
+    rec = td.receipts(spark, sf).select("tx_id", "pay_channel", F.col("ts").alias("receipt_ts"),
+                                        F.col("seq").alias("receipt_seq"))
+    out = reconcile.interval_join(pays, rec, ["tx_id"], TX_LOWER, TX_UPPER, how="full", lts="pay_ts", rts="receipt_ts",
+                                  left_id=["pay_seq"], right_id=["receipt_seq"])
+    both = F.col("pay_seq").isNotNull() & F.col("receipt_seq").isNotNull()
+    return out.withColumn("tag", F.when(both, F.lit("MATCH")).otherwise(F.lit("UNMATCHED")))
+
+
 def _reconciled(spark, sf):
     pays = _pays(spark, sf).select("tx_id", "order_id", "ts", "seq")
     rec = td.receipts(spark, sf).select("tx_id", "pay_channel", "ts", "seq")
@@ -330,6 +341,19 @@ def stream_tx_join(spark, sf):
     return _stream_table(spark, sf, "stream_tx_join", lambda e: jobs.stream_tx_join(e, *secs))
 
 
+def stream_tx_outer(spark, sf):
+    """Matches, and the rows without a partner whose time for one the watermark has passed."""
+    secs = (int(d.total_seconds()) for d in (TX_LOWER, TX_UPPER))
+    return _stream_table(spark, sf, "stream_tx_outer", lambda e: jobs.stream_tx_outer(e, *secs))
+
+
+def stream_changelog(spark, sf):
+    """The ranking that the add and retract rows of the stream leave."""
+    out = slog.stream_changelog(td.user_behavior_from(_events_stream(spark, sf)).filter(F.col("behavior") == "pv"),
+                                "item_id", "item_id long", HOT_ITEMS["n"], HOT_ITEMS["size"], HOT_ITEMS["slide"])
+    return sinks.net_rows(_drained(spark, "stream_changelog", out)).select("item_id", "window_end", "cnt", "rank")
+
+
 def stream_login_pairs(spark, sf):
     return _stream_table(spark, sf, "stream_login_pairs", lambda e: jobs.stream_login_pairs(
         e, windows.us(LOGIN_WITHIN))).select("user_id", "first_fail_ts", "last_fail_ts", "warn_msg")
@@ -494,11 +518,14 @@ _QUERIES: dict[str, Query] = {
     "order_timeouts": order_timeouts,
     "order_status": order_status,
     "tx_interval_join": tx_interval_join,
+    "tx_outer_join": tx_outer_join,
     "tx_matched": tx_matched,
     "tx_unmatched": tx_unmatched,
     "stream_hot_items": stream_hot_items,
     "stream_uv": stream_uv,
     "stream_tx_join": stream_tx_join,
+    "stream_tx_outer": stream_tx_outer,
+    "stream_changelog": stream_changelog,
     "stream_login_pairs": stream_login_pairs,
     "stream_order_paid": stream_order_paid,
     "stream_ad_passed": stream_ad_passed,

@@ -181,6 +181,21 @@ SELECT p.tx_id, p.order_id, p.ts AS pay_ts, r.pay_channel, r.ts AS receipt_ts
 FROM pays p JOIN rec r ON p.tx_id = r.tx_id
  AND epoch_us(r.ts) - epoch_us(p.ts) BETWEEN {us(C.TX_LOWER)} AND {us(C.TX_UPPER)}"""
 
+
+
+def _tx_outer(pay_open: str = "false", receipt_open: str = "false") -> str:
+    """Pairs in the interval and the rows of both sides without one, but for those that still wait for theirs."""
+    fits = (f"p.tx_id = r.tx_id AND epoch_us(r.ts) - epoch_us(p.ts) "
+            f"BETWEEN {us(C.TX_LOWER)} AND {us(C.TX_UPPER)}")
+    return f"""WITH {TX_PAYS}, {TX_REC}
+SELECT 'MATCH' AS tag, p.tx_id, p.order_id, p.ts AS pay_ts, p.seq AS pay_seq, r.pay_channel, r.ts AS receipt_ts,
+       r.seq AS receipt_seq FROM pays p JOIN rec r ON {fits}
+UNION ALL SELECT 'UNMATCHED', p.tx_id, p.order_id, p.ts, p.seq, NULL, NULL, NULL FROM pays p
+WHERE NOT EXISTS (SELECT 1 FROM rec r WHERE {fits}) AND NOT ({pay_open})
+UNION ALL SELECT 'UNMATCHED', r.tx_id, NULL, NULL, NULL, r.pay_channel, r.ts, r.seq FROM rec r
+WHERE NOT EXISTS (SELECT 1 FROM pays p WHERE {fits}) AND NOT ({receipt_open})"""
+
+
 TX_CHAINS = f"""WITH {TX_PAYS}, {TX_REC},
 u AS (SELECT tx_id, ts, 0 AS side, seq, order_id, NULL::VARCHAR AS pay_channel FROM pays
       UNION ALL SELECT tx_id, ts, 1 AS side, seq, NULL::BIGINT, pay_channel FROM rec),
@@ -339,6 +354,7 @@ ORACLE: dict[str, str] = {
     "order_timeouts": ORDER_TIMEOUTS,
     "order_status": ORDER_STATUS,
     "tx_interval_join": TX_JOIN,
+    "tx_outer_join": _tx_outer(),
     "tx_matched": TX_MATCHED,
     "tx_unmatched": TX_UNMATCHED,
 }
@@ -393,6 +409,9 @@ ORACLE |= {
                       AND e.ts > s.create_ts AND e.ts < {_ORDERS_WM})""",
     "stream_login_bursts": f"""SELECT * FROM ({BURSTS}) WHERE epoch_us(first_fail_ts) + {LW} <
         (SELECT epoch_us(date_trunc('milliseconds', max(ts))) FROM events)""",
+    "stream_tx_outer": _tx_outer(f"epoch_us(p.ts) + {us(C.TX_UPPER)} >= epoch_us({_TX_WM})",
+                                 f"epoch_us(r.ts) - {us(C.TX_LOWER)} >= epoch_us({_TX_WM})"),
+    "stream_changelog": ORACLE["hot_items_topn"],
     "stream_tx_matched": _read_before("tx_matched", _TX_WM),
     "stream_tx_unmatched": f"""SELECT * FROM ({_read_before('tx_unmatched', _TX_WM)}) s
         WHERE epoch_us(coalesce(pay_ts, receipt_ts)) + CASE WHEN pay_ts IS NULL THEN {us(C.TX_WAIT_RECEIPT)}

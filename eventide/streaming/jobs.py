@@ -77,6 +77,31 @@ def stream_tx_join(events: DataFrame, lower_s: int, upper_s: int) -> DataFrame:
     return pays.join(rec, cond, "inner").select("tx_id", "order_id", "pay_ts", "pay_channel", "receipt_ts")
 
 
+def stream_tx_outer(events: DataFrame, lower_s: int, upper_s: int) -> DataFrame:
+    """O-42 S: the interval join with the rows of both sides that found no partner, as a stream-stream full outer join.
+
+    For transactions whose ids are unique on each side this is the reconciliation:
+    ``tag`` is ``MATCH`` or ``UNMATCHED``.  A row without a partner comes out once
+    the watermark, the lesser of the two sides', has passed the last instant at
+    which one could come; until then it is state.  Where ids repeat, every pair
+    in the interval is a match (one-to-one: :func:`stream_reconcile`).
+    """
+    pays = td.order_events_from(with_event_time(events, "ts", "0 seconds"), keep=EV).filter(F.col("event_type") == "pay") \
+        .select("tx_id", "order_id", F.col("ts").alias("pay_ts"), F.col("seq").alias("pay_seq"),
+                F.col("event_time").alias("pay_time"))
+    rec = td.receipts_from(with_event_time(events, "ts", "0 seconds"), keep=EV).select(
+        F.col("tx_id").alias("r_tx_id"), "pay_channel", F.col("ts").alias("receipt_ts"),
+        F.col("seq").alias("receipt_seq"), F.col("event_time").alias("receipt_time"))
+    cond = ((F.col("tx_id") == F.col("r_tx_id"))
+            & (F.col("receipt_time") >= F.col("pay_time") - F.expr(f"INTERVAL {-lower_s} SECONDS"))
+            & (F.col("receipt_time") <= F.col("pay_time") + F.expr(f"INTERVAL {upper_s} SECONDS")))
+    both = F.col("pay_seq").isNotNull() & F.col("receipt_seq").isNotNull()
+    return pays.join(rec, cond, "full_outer").select(
+        F.when(both, F.lit("MATCH")).otherwise(F.lit("UNMATCHED")).alias("tag"),
+        F.coalesce("tx_id", "r_tx_id").alias("tx_id"), "order_id", "pay_ts", "pay_seq", "pay_channel", "receipt_ts",
+        "receipt_seq")
+
+
 def _ordered_input(df: DataFrame, tie: F.Column | None = None) -> DataFrame:
     return df.withColumn("tie", tie if tie is not None else F.lit(0))
 
