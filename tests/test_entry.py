@@ -11,7 +11,7 @@ from eventide.plans.catalog import QUERIES
 def test_queries_and_oracles_pair_up():
     q, o = E.queries(), E.oracle_sql()
     own = set(QUERIES)      # the training-data queries come on top, where their folder is present
-    assert len(own) == 53 and own <= set(q) and own <= set(o) and set(o) <= set(q)
+    assert len(own) == 56 and own <= set(q) and own <= set(o) and set(o) <= set(q)
     assert all(callable(f) for f in q.values())
 
 
