@@ -97,7 +97,7 @@ def lateness_runs(df: DataFrame, keys: list[str], bound, allowed, size, slide, s
     A row counts in each span that its accepted windows touch, as a change of
     the count at the first and one after the last of them there; changes are
     summed per (key, span, end) and run up inside the span.  A span needs nothing
-    of the span before, so the rows are read once, and a group holds at most one
+    of the span before, so the watermark scan is in the plan once; a group holds at most one
     row per window end of a span.
     """
     slide_us = us(slide)
