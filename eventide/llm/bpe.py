@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import PreTokenizer
 
 from eventide.llm.common import slices, texts_of
 
@@ -31,6 +33,7 @@ REMEMBERED = 200_000   # words per Python worker; the table is emptied when full
 MEMO = 1 << 20         # arc answers remembered
 LONGEST = 64           # longer words are encoded but not remembered
 BATCH = 1 << 22        # bytes of text per output batch
+KINDS = {r"\p{L}": "a", r"\p{N}": "1", r"[^\s\p{L}\p{N}]": "!"}   # the pattern's classes, a member of each
 
 
 def byte_letters() -> dict[str, int]:
@@ -40,6 +43,27 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def moved_letters(pre: PreTokenizer) -> dict[int, str]:
+    """Code points that the vocabulary's pre-tokenizer puts in another class than ``regex`` does, with a member of it.
+
+    The two know different Unicode versions.  A block of one class that the
+    pre-tokenizer leaves in one piece agrees; others are tried one by one.
+    """
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    moved = {}
+    for kind, member in KINDS.items():
+        same = "".join(regex.findall(kind + "+", every))
+        for lo in range(0, len(same), 256):
+            block = same[lo:lo + 256]
+            if len(pre.pre_tokenize_str(member + block)) == 1:
+                continue
+            for c in block:
+                into = [m for m in KINDS.values() if len(pre.pre_tokenize_str(m + c)) == 1]
+                if into and into[0] != member:
+                    moved[ord(c)] = into[0]
+    return moved
+
+
 class Automaton:
     """States, lost arcs and labels, built merge by merge."""
 
@@ -128,9 +152,17 @@ class Coder:
         self.machine = Automaton(label, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
         self.labels = dict(label) | {i: t.encode() for t, i in self.special.items()}
         self.split = regex.compile(SPLIT)
+        self.moved = moved_letters(Tokenizer.from_file(path).pre_tokenizer)
+        self.odd = frozenset(map(chr, self.moved))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.known: dict[str, bytes] = {}
 
+    def words(self, text: str) -> list[str]:
+        """The pre-split words; code points of another class are split as a member of that class would be."""
+        if text.isascii() or self.odd.isdisjoint(text):
+            return self.split.findall(text)
+        return [text[m.start():m.end()] for m in self.split.finditer(text.translate(self.moved))]
+
     def _word(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
@@ -145,13 +177,13 @@ class Coder:
     def encode(self, text: str) -> bytes:
         """Little-endian uint32 ids; special tokens' strings are their ids, as the library has it."""
         if not self.special:
-            return b"".join(map(self._word, self.split.findall(text)))
+            return b"".join(map(self._word, self.words(text)))
         out = []
         for k, part in enumerate(self.cut.split(text)):
             if k % 2:
                 out.append(array("I", [self.special[part]]).tobytes())
             else:
-                out += map(self._word, self.split.findall(part))
+                out += map(self._word, self.words(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:

@@ -21,6 +21,17 @@ def odd_texts(n=1500, seed=1):
     return out + ["", "   ", "a<|endoftext|>b <|startoftext|> c", "don't we'll it's", "é é", "x" * 5000, "12 345,678.90"]
 
 
+def test_bpe_splits_letters_of_other_unicode_versions_as_the_library():
+    tok, own = Tokenizer.from_file(BYTE), bpe.Coder(BYTE)
+    assert own.moved    # else the library and ``regex`` know the same version, and nothing is tested
+    rng = random.Random(7)
+    odd = [chr(c) for c in rng.sample(sorted(own.moved), min(200, len(own.moved)))]
+    for _ in range(4000):
+        text = rng.choice(odd) + rng.choice(["'s", "'ll", " ", "1", "a", "!"]) + "".join(
+            rng.choices(odd + list("'sab1 \n!tllé中") * 9, k=rng.randrange(8)))
+        assert list(array("I", own.encode(text))) == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_equals_the_library():
     tok, own = Tokenizer.from_file(BYTE), bpe.Coder(BYTE)
     for t in odd_texts():
