@@ -1,16 +1,15 @@
 """Exact dedup over an extendible-hash index kept on shared files.
 
-Every text (A-Z lower-cased) has a 64-bit key.  The index holds one entry per
-key with the number of rows, the largest doc_id and, where rows share the key,
-the bytes of that row's text: the head of the key's chain.  A directory of key
-prefixes doubles its depth wherever a bucket holds more than ``CAPACITY``
-entries, and the entries are written in key ranges, bucket by bucket.  Rows are
-then compared byte by byte with the head of their chain; rows that collide
-without being equal form further links of it, told apart by their digest.
-
-Only DataFrame functions run here.  The index is pre-aggregated before any
-shuffle, so a text that a third of all rows share is one row per task; the
-comparison is a join whose hot partitions AQE may split.
+Every text (A-Z lower-cased) has a 64-bit key.  A directory of key prefixes
+doubles its depth as long as a bucket holds more than ``capacity`` keys; it is
+as deep as the number of keys asks for.  Each row is routed through it to its
+bucket, where the texts of one key form a chain: rows share a link of it only if
+their bytes are equal (the key column and the whole text are grouped on).  The
+index, one entry per link with the number of rows and the largest doc_id, is
+written in key ranges, bucket by bucket, and every row looks up its link there.
+
+Only DataFrame functions run here.  A text crosses one shuffle, and once per
+task however many rows share it there; all else moves keys and digests.
 """
 
 from __future__ import annotations
@@ -20,10 +19,10 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import keep, rekeyed
+from eventide.llm.common import keep, release
 
-CAPACITY = 1 << 20    # entries of a bucket before it splits
-DEPTH = 16            # deepest directory: at most 2**16 slots, so the directory may be broadcast
+CAPACITY = 1 << 12    # keys of a bucket before it splits
+SPARE = 3             # doublings beyond those that evenly spread keys ask for
 KEY_BITS = 64
 
 
@@ -34,15 +33,25 @@ def normalised(text: Column) -> Column:
         F.translate(t, ascii_uppercase, ascii_lowercase))
 
 
-def directory(entries: DataFrame, capacity: int) -> DataFrame:
-    """``(slot, bucket)``: the least depth at which each 16-bit key prefix's bucket is not overfull."""
-    hist = entries.groupBy(F.shiftrightunsigned("key", KEY_BITS - DEPTH).alias("slot")).agg(F.count("*").alias("n"))
-    cover = hist.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(DEPTH)))).withColumn(
-        "bucket", F.expr(f"shiftleft(1L, depth) + shiftright(slot, {DEPTH} - depth)"))
+def slot(key: Column | str, depth: int) -> Column:
+    """The first ``depth`` bits of a key."""
+    return F.shiftrightunsigned(key, KEY_BITS - depth) if depth else F.lit(0).cast("long")
+
+
+def directory(entries: DataFrame, capacity: int, depth: int) -> DataFrame:
+    """``(slot, bucket)``: each slot's bucket at the least depth at which it is not overfull.
+
+    ``entries(key)`` are distinct.  A bucket is numbered ``1 << d | prefix of d
+    bits``.  The directory has a row per slot in use, at most ``2**depth``; a
+    bucket overfull at ``depth`` (keys that share all those bits) keeps its
+    keys, whose chains stay whole.
+    """
+    hist = entries.groupBy(slot("key", depth).alias("slot")).agg(F.count("*").alias("n"))
+    cover = hist.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumn(
+        "bucket", F.expr(f"shiftleft(1L, d) + shiftright(slot, {depth} - d)"))
     full = cover.groupBy("bucket").agg(F.sum("n").alias("held")).where(
-        (F.col("held") <= capacity) | (F.col("bucket") >= 1 << DEPTH)).select(F.col("bucket").alias("b"))
-    return cover.join(F.broadcast(full), F.col("bucket") == F.col("b")).groupBy("slot").agg(
-        F.min("bucket").alias("bucket"))
+        (F.col("held") <= capacity) | (F.col("bucket") >= 1 << depth)).select(F.col("bucket").alias("b"))
+    return cover.join(full, F.col("bucket") == F.col("b")).groupBy("slot").agg(F.min("bucket").alias("bucket"))
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> DataFrame:
@@ -57,23 +66,25 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_
     norm = normalised(F.col("text"))
     key = F.xxhash64("norm") if key_bits == KEY_BITS else F.shiftleft(F.xxhash64("norm"), KEY_BITS - key_bits)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), norm.alias("norm")).withColumn("key", key)
-    rank = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    heads = src.groupBy("key").agg(F.count("*").alias("n"), F.max_by("norm", rank).alias("body"))
-    index = keep(heads.select("key", "n", F.when(F.col("n") > 1, F.col("body")).alias("body")), "exact-heads")
-    slots = directory(index.select("key"), capacity)
-    index = index.withColumn("slot", F.shiftrightunsigned("key", KEY_BITS - DEPTH)).join(
-        F.broadcast(slots), "slot").repartitionByRange("bucket", "key")
-    index = keep(index.select("bucket", "key", "n", "body"), "exact-index")
-    heads = index.select(F.col("key").alias("k"), "n", "body")
-    traced = src.join(heads, src.key == heads.k).select(
-        "doc_id", "key", F.sha2("norm", 256).alias("text_sha256"),
-        ((F.col("n") == 1) | (F.col("norm") == F.col("body"))).alias("head"))
-    traced = keep(traced.withColumn("link", F.when(F.col("head"), F.lit("")).otherwise(F.col("text_sha256"))).drop(
-        "head"), "exact-traced")
-    groups = traced.groupBy("key", "link").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    groups = groups.select(rekeyed("key").alias("k"), F.concat("link", F.lit("")).alias("l"), "keep_id", "group_size")
-    return traced.join(groups, (traced.key == groups.k) & (traced.link == groups.l)).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    rows = keep(src.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256")), "exact-rows")
+    entries = keep(rows.select("key").distinct(), "exact-keys")
+    held = entries.count()
+    depth = min((held // capacity).bit_length() + SPARE, KEY_BITS - 2) if held > capacity else 0
+    slots = keep(directory(entries, capacity, depth), "exact-directory")
+
+    def routed(df: DataFrame) -> DataFrame:
+        return df.withColumn("slot", slot("key", depth)).join(slots, "slot").drop("slot")
+
+    chains = routed(src).groupBy("bucket", "key", "norm").agg(
+        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    index = keep(chains.select("bucket", "key", F.sha2("norm", 256).alias("link"), "keep_id", "group_size")
+                 .repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"), "exact-index")
+    links = index.select(F.col("bucket").alias("b"), F.col("key").alias("k"), "link", "keep_id", "group_size")
+    found = routed(rows)
+    out = found.join(links, (found.bucket == links.b) & (found.key == links.k) & (found.text_sha256 == links.link))
+    release(entries)
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+                      "text_sha256")
 
 
 def drop_exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
