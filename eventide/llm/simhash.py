@@ -1,25 +1,27 @@
 """SimHash near-duplicates over a Gray-order hierarchical index.
 
 Fingerprints (64 bits, word shingles) within ``max_bits`` of each other agree
-on at least one of ``max_bits + 1`` equal blocks of bits.  For each block, one
-rotation of the fingerprint leads with it and is dealt by its value; inside a
-dealt cell the fingerprints are sorted by Gray rank, runs of them are factored
-into nodes that hold the bits all members share, and pairs of nodes are opened
-only while the differences on their shared bits stay within ``max_bits``.
-A block value with more than ``CELL`` fingerprints is dealt again by the blocks
-of its other bits, of which linked fingerprints also share at least one; only
-a value that is still too large there is split into chunks, each pair of them a
-cell of its own, so no task holds a hot group and a corpus of any size is dealt
-by as many bits as it needs.  Cells return a spanning forest of the links they
-find, never all pairs.
+on at least one of ``max_bits + 1`` equal blocks of bits.  For each block, a
+copy of the fingerprint is led by it, and all copies are sorted by Gray rank
+over the tasks.  Each task factors its sorted copies, batch by batch, into nodes
+that hold the bits all members share, up to one root, and descends pairs of
+nodes: a pair is opened only while its shared lead bits are equal and its other
+shared bits differ in at most ``max_bits`` places.  Every link comes out of this
+descent.  A lead with more than ``CELL`` fingerprints is led further by the
+blocks of its other bits, of which linked fingerprints also share at least one;
+only a lead that is still too large there is split into chunks, each pair of
+them a lead of its own, so no task holds a hot group.  Batches return a spanning
+forest of the links they find, never all pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.common import arrow_map, keep, rekeyed, slices, texts_of
@@ -63,7 +65,7 @@ def fingerprints(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "t
     return src.mapInArrow(arrow_map(run), "doc_id long, mark long, fp long")
 
 
-# ---- the index inside a cell ------------------------------------------------
+# ---- the index of a batch ---------------------------------------------------
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
     """Position of each code word in the reflected Gray order."""
@@ -84,19 +86,32 @@ def _levels(fp: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def tree_links(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within ``max_bits`` among Gray-ordered ``fp``, by descending node pairs."""
-    levels = _levels(fp)
+def node_pairs(fp: np.ndarray, max_bits: int, lead: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes still open on each level below the root, leaves last.
+
+    A pair stays open while the bits that both nodes share differ nowhere in
+    ``lead`` and in at most ``max_bits`` places in ``fp``.
+    """
     a = b = np.zeros(1, np.int64)
     kids = np.arange(FANOUT)
-    for mask, pattern in levels[-2::-1]:
+    for (mask, pattern), (lead_mask, lead_pattern) in zip(_levels(fp)[-2::-1], _levels(lead)[-2::-1]):
         n = len(pattern)
         ca = np.repeat(a[:, None] * FANOUT + kids, FANOUT, axis=1).ravel()
         cb = np.tile(b[:, None] * FANOUT + kids, (1, FANOUT)).ravel()
         ok = (ca < n) & (cb < n) & (ca <= cb)
         a, b = ca[ok], cb[ok]
+        same = (lead_pattern[a] ^ lead_pattern[b]) & lead_mask[a] & lead_mask[b] == 0
+        a, b = a[same], b[same]
         diff = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b])
         a, b = a[diff <= max_bits], b[diff <= max_bits]
+        yield a, b
+
+
+def tree_links(fp: np.ndarray, max_bits: int, lead: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of equal ``lead`` within ``max_bits`` of each other; (``lead``, ``fp``) is in Gray order."""
+    a = b = np.zeros(0, np.int64)
+    for a, b in node_pairs(fp, max_bits, np.zeros_like(fp) if lead is None else lead):
+        pass
     return a[a < b], b[a < b]
 
 
@@ -117,24 +132,21 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return lab
 
 
-def cell_links(cell: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside each cell; ``cell`` is sorted and each cell is in Gray order."""
-    found = []
-    start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-    size = np.diff(np.r_[start, len(cell)])
-    own = np.repeat(size, size)
-    for d in range(1, FANOUT):  # cells of one node: their members meet directly
-        i = np.flatnonzero((cell[d:] == cell[:-d]) & (own[:-d] <= FANOUT)) if d < len(cell) else ()
-        if not len(i):
-            break
-        i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= max_bits]
-        found.append((i, i + d))
-    for s, n in zip(start[size > FANOUT], size[size > FANOUT]):
-        a, b = tree_links(fp[s:s + n], max_bits)
-        found.append((a + s, b + s))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+def gray_order(lead: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """Row order by the Gray rank of the 128-bit code ``lead``, ``fp``."""
+    low = gray_rank(fp)
+    return np.lexsort((np.where(np.bitwise_count(lead) & 1, ~low, low), gray_rank(lead)))
+
+
+def rank_of(code: Column, bits: int) -> Column:
+    """:func:`gray_rank` of a code of ``bits`` bits, as a column."""
+    def folded(s: int):
+        return lambda v: v.bitwiseXOR(F.shiftrightunsigned(v, s))
+    s = 1
+    while s < bits:
+        code = F.transform(F.array(code), folded(s))[0]
+        s *= 2
+    return code
 
 
 def gray_links(reps: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
@@ -151,7 +163,9 @@ def gray_links(reps: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
     # at most blocks * 2**BLOCK_BITS rows, whatever the input: small enough to broadcast
     hot = rot.groupBy("r", "key").count().where(F.col("count") > cell)
     rot = rot.join(F.broadcast(hot), ["r", "key"], "left")
-    cool = rot.where("count is null").select(F.xxhash64("r", "key").alias("value"), "fp", "rep")
+    lead = F.shiftleft(F.col("r").cast("long"), BLOCK_BITS).bitwiseOR(F.col("key"))
+    cool = rot.where("count is null").select(
+        rank_of(lead, BLOCK_BITS + blocks.bit_length()).alias("rank"), "fp", "rep")
     again = F.array(*[F.struct(
         F.lit(s).alias("s"), F.shiftrightunsigned("turn", width + s * inner).bitwiseAND(
             F.lit((1 << inner) - 1)).alias("sub")) for s in range(blocks)])
@@ -165,19 +179,21 @@ def gray_links(reps: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
     split = (split.withColumn("c", mine).withColumn("cell", F.explode(F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
         lambda j: F.least("c", j) * F.col("chunks") + F.greatest("c", j))))
-        .select(F.xxhash64("value", "cell").alias("cell"), "fp", "rep"))
-    dealt = cool.withColumnRenamed("value", "cell").union(split)
-
-    def links(cells, fps, reps_):
-        order = np.lexsort((gray_rank(fps), cells))
-        cells, fps, reps_ = cells[order], fps[order], reps_[order]
-        a, b = cell_links(cells, fps, max_bits)
+        .select(F.xxhash64("value", "cell").alias("rank"), "fp", "rep"))
+    dealt = cool.union(split)
+
+    def links(ranks, fps, reps_):
+        ranks = ranks.view(np.uint64)
+        lead = ranks ^ (ranks >> np.uint64(1))
+        order = gray_order(lead, fps)
+        lead, fps, reps_ = lead[order], fps[order], reps_[order]
+        a, b = tree_links(fps, max_bits, lead)
         lab = forest(len(fps), a, b)
         i = np.flatnonzero(lab != np.arange(len(lab)))
         return pa.RecordBatch.from_arrays([pa.array(reps_[i]), pa.array(reps_[lab[i]])], names=["a", "b"])
 
     def run(batches):
-        kept = None  # the last cell of a batch may go on in the next
+        kept = None  # the last lead of a batch may go on in the next
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             cols = [cols[0], cols[1].view(np.uint64), cols[2]]
@@ -191,8 +207,8 @@ def gray_links(reps: DataFrame, max_bits: int, cell: int = CELL) -> DataFrame:
         if kept:
             yield links(*kept)
 
-    cells = dealt.repartition("cell").sortWithinPartitions("cell")
-    return cells.mapInArrow(run, "a long, b long")
+    index = dealt.repartitionByRange("rank").sortWithinPartitions("rank")
+    return index.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, max_bits: int = 3, doc_id: str = "doc_id",

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from eventide.llm import components, exact, simhash, substring, vectors
 
@@ -127,6 +128,39 @@ def test_gray_tree_finds_every_pair():
         assert set(zip(a.tolist(), b.tolist())) == want
 
 
+def test_gray_tree_of_many_leads_opens_few_pairs():
+    """Links under equal leads only, found by opening a small part of all pairs."""
+    rng = np.random.default_rng(2)
+    fp = np.unique(rng.integers(0, 2**63, 4000, dtype=np.uint64))
+    fp = np.unique(np.r_[fp, fp[:500] ^ np.uint64(1 << 40), fp[:300] ^ np.uint64(5 << 50)])
+    for bits in (16, 6, 0):
+        lead = fp & np.uint64((1 << bits) - 1)
+        order = simhash.gray_order(lead, fp)
+        by_rank = sorted(range(len(fp)), key=lambda i: gray_place(int(lead[i]) << 64 | int(fp[i])))
+        assert order.tolist() == by_rank
+        g, h = lead[order], fp[order]
+        a, b = simhash.tree_links(h, 3, g)
+        i, j = np.triu_indices(len(h), 1)
+        near = (np.bitwise_count(h[i] ^ h[j]) <= 3) & (g[i] == g[j])
+        assert set(zip(a.tolist(), b.tolist())) == set(zip(i[near].tolist(), j[near].tolist()))
+        opened = sum(len(a) for a, _ in simhash.node_pairs(h, 3, g))
+        assert opened < len(i) / (100 if bits == 16 else 4)
+
+
+def gray_place(code):
+    rank = 0
+    while code:
+        rank ^= code
+        code >>= 1
+    return rank
+
+
+def test_gray_rank_as_a_column(spark):
+    codes = [0, 1, 2, 3, 0xABCD, 0x3FFFF, 0x20000]
+    rows = spark.createDataFrame([(c,) for c in codes], "c long").select("c", simhash.rank_of(F.col("c"), 18).alias("r"))
+    assert {r.c: r.r for r in rows.collect()} == {c: gray_place(c) for c in codes}
+
+
 def test_components_on_paths_stars_and_cycles(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 200 + i) for i in range(50)] + [(300, 301), (301, 302), (302, 300)]
@@ -199,13 +233,34 @@ def brute_exact(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("bits,capacity", [(64, 1 << 20), (3, 2)])
+@pytest.mark.parametrize("bits,capacity", [(64, 1 << 20), (64, 4), (3, 2), (3, 1)])
 def test_exact_groups_with_and_without_collisions(docs, bits, capacity):
     want = brute_exact([(r.doc_id, r.text) for r in docs.collect()])
     got = sorted(map(tuple, exact.exact_groups(docs, capacity, bits).collect()), key=str)
     assert got == want
 
 
+@pytest.mark.parametrize("held,capacity", [(1, 4), (3000, 64), (3000, 1), (3000, 5000)])
+def test_directory_doubles_until_no_bucket_is_overfull(spark, held, capacity):
+    depth = (held // capacity).bit_length() + exact.SPARE
+    entries = spark.range(held).select(F.xxhash64("id").alias("key"))
+    slots = {r.slot: r.bucket for r in exact.directory(entries, capacity, depth).collect()}
+    keys = [r.key & (1 << 64) - 1 for r in entries.collect()]
+
+    def full(d, prefix):
+        return sum(k >> 64 - d == prefix for k in keys) > capacity
+    held_by = {}
+    for k in keys:
+        bucket = slots[k >> 64 - depth]
+        d = bucket.bit_length() - 1
+        assert bucket == 1 << d | k >> 64 - d
+        held_by.setdefault(bucket, []).append(k)
+    assert all(len(v) <= capacity or b >= 1 << depth for b, v in held_by.items())
+    for b in list(held_by)[:20]:
+        d = b.bit_length() - 1
+        assert d == 0 or full(d - 1, (b ^ 1 << d) >> 1)   # half as deep would have been overfull
+
+
 def test_exact_drop_keeps_columns(docs):
     stays = exact.drop_exact_duplicates(docs)
     want = [r for r in brute_exact([(r.doc_id, r.text) for r in docs.collect()]) if r[3] or r[0] is None]
