@@ -64,7 +64,7 @@ def sliding_count(df: DataFrame, keys: list[str], size, slide, ts: str = "ts",
     signed deltas (``sliding_count_sparse``), expanded only at the end.
     """
     size_us, slide_us = us(size), us(slide)
-    if size_us % slide_us == 0 and size_us // slide_us > EXPAND_MAX_WINDOWS:
+    if size_us > EXPAND_MAX_WINDOWS * slide_us:
         return sliding_count_dense(df, keys, size, slide, ts).withColumnRenamed("cnt", count_name)
     w = F.window(ts, f"{size_us} microseconds", f"{slide_us} microseconds")
     agg = df.groupBy(*keys, w.alias("_w")).agg(F.count(F.lit(1)).alias(count_name))
@@ -93,12 +93,25 @@ def pv_salted(df: DataFrame, size, n: int = 10, ts: str = "ts",
                 .select(from_micros("_e").alias("window_end"), "cnt")
 
 
+def window_ends(ts: str | Column, size_us: int, slide_us: int) -> tuple[Column, Column]:
+    """First window end that covers ``ts`` and the first one after it that no longer does (epoch microseconds).
+
+    Windows start on the slide grid, whether or not ``size`` is a multiple of ``slide``.
+    """
+    t = micros(ts)
+    early = t - F.lit(size_us)
+    return (early - F.pmod(early, F.lit(slide_us)) + F.lit(size_us + slide_us),
+            t - F.pmod(t, F.lit(slide_us)) + F.lit(size_us + slide_us))
+
+
 def _pane_deltas(df: DataFrame, keys: list[str], size_us: int, slide_us: int,
                  ts: str) -> DataFrame:
-    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, pane_end_us(ts, slide_us).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    first, past = window_ends(ts, size_us, slide_us)
+    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, first.alias("_p"), past.alias("_q")).agg(
+        F.count(F.lit(1)).alias("_c"))
     deltas = panes.select(*keys, F.explode(F.array(
         F.struct(F.col("_p").alias("e"), F.col("_c").alias("d")),
-        F.struct((F.col("_p") + F.lit(size_us)).alias("e"), (-F.col("_c")).alias("d")),
+        F.struct(F.col("_q").alias("e"), (-F.col("_c")).alias("d")),
     )).alias("_x")).select(*keys, F.col("_x.e").alias("_e"), F.col("_x.d").alias("_d"))
     # zero-sum points would only split an interval of equal count: drop them
     return deltas.groupBy(*keys, "_e").agg(F.sum("_d").alias("_d")).filter(F.col("_d") != 0)
@@ -108,15 +121,15 @@ def sliding_count_sparse(df: DataFrame, keys: list[str], size, slide, ts: str =
                          carry_width=None) -> DataFrame:
     """O-27: long fine sliding windows as intervals of window ends with constant count.
 
-    Returns keys, ``first_end``, ``last_end`` (inclusive, on the slide grid),
+    Returns keys, ``first_end``, ``last_end`` (inclusive, a whole number of slides later),
     ``n_windows`` and ``cnt``: every window ending at ``first_end``,
     ``first_end + slide``, .., ``last_end`` holds exactly ``cnt`` rows.
-    Pane ``p`` adds ``+c`` at end ``p`` and ``-c`` at ``p + size``; the running
+    Rows that share their first and last window are counted together and add
+    ``+c`` at the first end and ``-c`` at the end after the last; the running
     sum of the deltas per key (a skew-safe keyed scan) is the window count.
+    ``size`` need not be a multiple of ``slide``.
     """
     size_us, slide_us = us(size), us(slide)
-    if size_us % slide_us:
-        raise ValueError("size must be a multiple of slide")
     deltas = _pane_deltas(df, keys, size_us, slide_us, ts)
     width = us(carry_width) if carry_width is not None else size_us
     scanned = keyed_scan(deltas, keys, ["_e"], time_bucket(F.col("_e"), width),

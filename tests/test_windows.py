@@ -58,3 +58,17 @@ def test_sliding_count_many_windows_per_row_uses_intervals(spark):
     a = windows.sliding_count(df, ["item_id"], size, slide).select("item_id", "window_end", "cnt")
     b = _naive(df, ["item_id"], size, slide)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_size_that_is_no_multiple_of_slide(spark):
+    """Few and many windows per row, also before 1970 and with rows on window edges."""
+    df = _events(spark, n=60).union(spark.createDataFrame(
+        [(1, 1, dt.datetime(1970, 1, 1), 900), (1, 1, dt.datetime(1969, 12, 31, 23, 59, 50), 901),
+         (1, 2, dt.datetime(1970, 1, 1, 0, 0, 7), 902), (2, 2, None, 903)],
+        "item_id bigint, user_id bigint, ts timestamp_ntz, seq bigint"))
+    for size, slide in [(dt.timedelta(seconds=100), dt.timedelta(seconds=7)),
+                        (dt.timedelta(minutes=10, seconds=1), dt.timedelta(seconds=6))]:
+        b = sorted(_naive(df, ["item_id"], size, slide).collect())
+        for form in (windows.sliding_count, windows.sliding_count_dense):
+            got = form(df, ["item_id"], size, slide).select("item_id", "window_end", "cnt")
+            assert sorted(got.collect()) == b
