@@ -1,14 +1,18 @@
 """Keyed state machines for streams (O-33, O-36, O-37, O-38; O-47..O-50).
 
 Spark delivers the rows of one key in a micro-batch unordered and filters
-late rows.  ``OrderedKeyProcessor`` therefore buffers a key's rows in list
-state and keeps one event-time timer per key, for the earliest instant something
+late rows.  ``OrderedKeyProcessor`` therefore buffers rows in list
+state and keeps one event-time timer, for the earliest instant something
 may be due (an earlier one replaces it); when the watermark passes,
-the buffered rows older than the watermark are worked off in ``(ts, tie,
+the buffered rows older than the watermark are worked off key by key in ``(ts, tie,
 seq)`` order (contract C1) by a small per-key *machine*, whose state lives in
-value state.  Machines can also ask for a deadline timer (a burst closing, a
+map state.  Machines can also ask for a deadline (a burst closing, a
 pending create expiring) so state never outlives its use.
 
+A group of state costs a dozen calls from the Python worker, however few its rows
+are.  A group is therefore a shard of the keys, not a key: their number
+stays as it is while keys come and go (``SHARDS``).
+
 A hot key is dealt over time buckets by the jobs that only look a bounded time
 back or ahead (``by_bucket``), so no group holds a key's whole history; a machine may
 also say which rows of a batch can matter to it (``Machine.worth``), as the cap does.
@@ -21,18 +25,27 @@ from __future__ import annotations
 
 import datetime as dt
 import heapq
+from collections import namedtuple
 from collections.abc import Iterator
+from itertools import chain, groupby
 from operator import itemgetter
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from eventide.operators.caps import CAP_MSG
 from eventide.operators.patterns import BURST_MSG, PAIR_MSG, STATUS_MSG
 
 US_PER_MS = 1000
+SHARDS = 1024       # groups of state that a job's keys are dealt over
+CHUNK = 10_000      # rows of an element of the buffer
 
 def _secs(us: int) -> str:
     s = us / 1_000_000
@@ -44,12 +57,13 @@ class Machine:
 
     state_ddl: str = ""
     out_ddl: str = ""
+    sifts = False       # whether ``worth`` leaves rows out
 
     def initial(self) -> dict:
         return {}
 
-    def worth(self, rows: Iterator[tuple], fields: list[str], rank) -> list[tuple]:
-        """The rows of a micro-batch that may matter, to be buffered."""
+    def worth(self, rows: Iterator[tuple], fields: list[str], rank, n_keys: int = 0) -> list[tuple]:
+        """The rows of a micro-batch that may matter, to be buffered; their first ``n_keys`` fields are the key."""
         return list(rows)
 
     def step(self, key: tuple, st: dict, row: Row) -> list[tuple]:
@@ -204,6 +218,7 @@ class RateCapMachine(Machine):
     state_ddl = "day string, cnt long"
     out_ddl = ("user_id long, ad_id long, tag string, province string, city string, ts_us long, "
                "seq long, day string, msg string")
+    sifts = True
 
     def __init__(self, n: int, tz: str = "Asia/Shanghai"):
         from zoneinfo import ZoneInfo
@@ -212,11 +227,11 @@ class RateCapMachine(Machine):
     def initial(self):
         return {"day": None, "cnt": 0}
 
-    def worth(self, rows, fields, rank):
-        """The first ``n + 1`` of each day: what comes behind them in a batch can neither pass nor warn."""
+    def worth(self, rows, fields, rank, n_keys=0):
+        """The first ``n + 1`` of each key and day: what comes behind them in a batch can neither pass nor warn."""
         day, most, kept = fields.index("click_day"), self.n + 1, {}
         for r in rows:
-            of = kept.setdefault(r[day], [])
+            of = kept.setdefault((*r[:n_keys], r[day]), [])
             of.append(r)
             if len(of) > 8 * most:
                 of[:] = heapq.nsmallest(most, of, key=rank)
@@ -445,23 +460,31 @@ class ProcessingTimeCap(StatefulProcessor):
 
 
 class OrderedKeyProcessor(StatefulProcessor):
-    """Buffer rows per key, work them off in event-time order when the watermark passes."""
+    """Buffer the rows of a shard's keys; work each key's off in event-time order when the watermark passes.
+
+    An element of the buffer is an Arrow batch of rows.  Only the keys with rows to
+    work off and those whose deadline has come are looked up in the machines' states.
+    """
 
-    def __init__(self, machine: Machine, in_ddl: str, order=("ts_us", "tie", "seq")):
-        self.machine, self.in_ddl, self.order = machine, in_ddl, list(order)
-        self.fields = _names(in_ddl)
-        self.rank = itemgetter(*[self.fields.index(o) for o in self.order])
+    def __init__(self, machine: Machine, keys: list[str], keys_ddl: str, schema: pa.Schema,
+                 order=("ts_us", "tie", "seq")):
+        self.machine, self.keys_ddl, self.schema = machine, keys_ddl, schema
+        self.n, self.fields = len(keys), schema.names
+        self.order = [(c, "ascending") for c in (*keys, *order)]
+        self.rank = itemgetter(*[self.fields.index(o, self.n) for o in order])
         self.out_fields = _names(machine.out_ddl)
         self.state_fields = _names(machine.state_ddl)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buffer", self.in_ddl)
-        self.st = handle.getValueState("machine", self.machine.state_ddl)
+        self.buf = handle.getListState("buffer", "rows binary")
+        self.st = handle.getMapState("machine", self.keys_ddl, self.machine.state_ddl)
+        self.deadlines = handle.getMapState("deadlines", self.keys_ddl, "us long")
         self.due = handle.getValueState("due", "ms long")
+        self.row = namedtuple("Buffered", self.fields[self.n:])
 
     def _wake(self, ms: int) -> None:
-        """Have the key's one timer fire at ``ms`` or earlier."""
+        """Have the shard's one timer fire at ``ms`` or earlier."""
         if self.due.exists():
             (known,) = self.due.get()
             if known <= ms:
@@ -470,45 +493,94 @@ class OrderedKeyProcessor(StatefulProcessor):
         self.handle.registerTimer(ms)
         self.due.update((ms,))
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        batch = self.machine.worth((tuple(r[f] for f in self.fields) for r in rows), self.fields, self.rank)
-        if batch:
-            at = self.fields.index("ts_us")
-            self.buf.appendList(batch)
-            self._wake(min(r[at] for r in batch) // US_PER_MS + 1)
+    def _table(self, frame) -> pa.Table:
+        """Rows as they were before ``run_ordered`` put 0 for the integers that are null."""
+        nulls, columns = frame["nulls"].to_numpy(), []
+        some = nulls.any()
+        for i, f in enumerate(self.schema):
+            mask = (nulls >> i & 1).astype(bool) if some and pa.types.is_integer(f.type) else None
+            columns.append(pa.array(frame[f.name], f.type, mask, from_pandas=True))
+        return pa.Table.from_arrays(columns, schema=self.schema)
+
+    @staticmethod
+    def _tuples(table: pa.Table) -> Iterator[tuple]:
+        for b in table.to_batches(max_chunksize=CHUNK):
+            yield from zip(*(c.to_pylist() for c in b.columns))
+
+    def _worthy(self, tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
+        if not self.machine.sifts:
+            return tables
+        rows = self.machine.worth(chain.from_iterable(map(self._tuples, tables)), self.fields, self.rank, self.n)
+        return iter([pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), self.schema)],
+                                          schema=self.schema)] if rows else [])
+
+    def _append(self, table: pa.Table) -> None:
+        for b in table.combine_chunks().to_batches(max_chunksize=CHUNK):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, self.schema) as w:
+                w.write_batch(b)
+            self.buf.appendValue((sink.getvalue().to_pybytes(),))
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        first = []
+        for t in self._worthy(map(self._table, rows)):
+            if t.num_rows:
+                self._append(t)
+                first.append(pc.min(t["ts_us"]).as_py())
+        if first:
+            self._wake(min(first) // US_PER_MS + 1)
         return iter([])
 
+    def _saved(self, key: tuple) -> dict | None:
+        v = self.st.getValue(key)
+        return None if v is None else {f: _lists(x) for f, x in zip(self.state_fields, tuple(v))}
+
     def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.due.clear()
-        wm_us = timerValues.getCurrentWatermarkInMs() * US_PER_MS
-        row, at = Row(*self.fields), self.fields.index("ts_us")
-        ready, rest = [], []
-        for r in self.buf.get() if self.buf.exists() else ():
-            (ready if r[at] < wm_us else rest).append(tuple(r))
-        ready.sort(key=self.rank)
-        m = self.machine
-        if self.st.exists():
-            st = {f: _lists(v) for f, v in zip(self.state_fields, tuple(self.st.get()))}
-        else:
-            st = m.initial()
-        out = []
-        for r in ready:
-            out.extend(m.step(key, st, row(*r)))
-        out.extend(m.expire(key, st, wm_us))
-        if ready:
+        wm_ms = timerValues.getCurrentWatermarkInMs()
+        wm_us, n, m = wm_ms * US_PER_MS, self.n, self.machine
+        parts = [pa.ipc.open_stream(bytes(r[0])).read_all() for r in self.buf.get()] if self.buf.exists() else []
+        every = pa.concat_tables([self.schema.empty_table(), *parts])
+        now = pc.less(every["ts_us"], wm_us)
+        rest, ready = every.filter(pc.invert(now)), every.filter(now).sort_by(self.order)
+        if ready.num_rows:
             self.buf.clear()
-            if rest:
-                self.buf.appendList(rest)
-        dl = m.deadline(st)
-        due = [r[at] for r in rest] + ([dl] if dl is not None else [])
+            self._append(rest)
+        waits = {tuple(k): v[0] for k, v in self.deadlines.iterator()} if self.deadlines.exists() else {}
+        over = {k for k, us in waits.items() if us // US_PER_MS + 1 <= wm_ms}
+        out, kept = [], self.st.exists()
+
+        def work(k: tuple, rows) -> None:
+            saved = self._saved(k) if kept else None
+            st = m.initial() if saved is None else saved
+            for r in rows:
+                out.extend(m.step(k, st, self.row._make(r[n:])))
+            out.extend(m.expire(k, st, wm_us))
+            dl = m.deadline(st)
+            if dl is not None or any(v not in (None, 0, []) for v in st.values()):
+                self.st.updateValue(k, tuple(st[f] for f in self.state_fields))
+            elif saved is not None:
+                self.st.removeKey(k)
+            if dl != waits.get(k):
+                if dl is None:
+                    self.deadlines.removeKey(k)
+                else:
+                    self.deadlines.updateValue(k, (dl,))
+            waits[k] = dl
+
+        for k, rows in groupby(self._tuples(ready), key=itemgetter(slice(n))):
+            over.discard(k)
+            work(k, rows)
+        for k in over:
+            work(k, ())
+        due = [us for us in waits.values() if us is not None]
+        if rest.num_rows:
+            due.append(pc.min(rest["ts_us"]).as_py())
         if due:
             self._wake(min(due) // US_PER_MS + 1)
-        if dl is None and not rest and all(v in (None, 0, []) for v in st.values()):
-            self.st.clear()
-        else:
-            self.st.update(Row(**{f: st[f] for f in self.state_fields}))
-        return iter([Row(**dict(zip(self.out_fields, o))) for o in out])
+        # as objects: integers with nulls among them stay exact
+        return iter([pd.DataFrame(out, columns=self.out_fields, dtype=object)] if out else [])
 
     def close(self) -> None:
         pass
@@ -534,12 +606,24 @@ def by_bucket(df: DataFrame, width_us: int, back_us: int = 0, ahead_us: int = 0,
 
 
 def run_ordered(df: DataFrame, keys: list[str], machine: Machine, in_cols: list[str],
-                in_ddl: str) -> DataFrame:
-    """Apply a machine per key with ``transformWithState`` in event-time mode.
+                in_ddl: str, shards: int = SHARDS) -> DataFrame:
+    """Apply a machine per key with ``transformWithStateInPandas`` in event-time mode.
 
     ``df`` must carry a watermark (``with_event_time``) and the ``ts_us``,
-    ``tie`` and ``seq`` columns used for ordering.
+    ``tie`` and ``seq`` columns used for ordering; rows without a time go.  The keys
+    are dealt over ``shards`` groups of state by their hash; a checkpoint belongs to its number.
     """
-    proc = OrderedKeyProcessor(machine, in_ddl)
-    return df.select(*keys, *in_cols, "event_time").groupBy(*keys).transformWithState(
-        proc, machine.out_ddl, "append", "EventTime")
+    keys_ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = to_arrow_schema(StructType([df.schema[k] for k in keys] + StructType.fromDDL(in_ddl).fields))
+    schema = pa.schema([f.with_nullable(True) for f in schema])
+    # pandas would read integers with nulls among them as floats: such nulls go as bits of a column of their own
+    nulls, columns = F.lit(0).cast("long"), []
+    for i, f in enumerate(schema):
+        whole = pa.types.is_integer(f.type)
+        columns.append(F.coalesce(f.name, F.lit(0).cast(df.schema[f.name].dataType)).alias(f.name) if whole else f.name)
+        if whole:
+            nulls = nulls + F.col(f.name).isNull().cast("long") * (1 << i)
+    shard = F.pmod(F.xxhash64(*keys), F.lit(shards)).cast("int").alias("shard")
+    rows = df.where("ts_us is not null").select(*columns, nulls.alias("nulls"), "event_time", shard)
+    return rows.groupBy("shard").transformWithStateInPandas(
+        OrderedKeyProcessor(machine, keys, keys_ddl, schema), machine.out_ddl, "append", "EventTime")
