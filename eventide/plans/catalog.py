@@ -403,9 +403,10 @@ def stream_sequence_3step(spark, sf):
     return _stream_table(spark, sf, "stream_sequence_3step", job).filter(F.col("tag") == "MATCH")
 
 
-def _split(spark, sf, name, rows, p, seq="seq"):
+def _split(spark, sf, name, rows, p, seq="seq", counts=None):
     path = scratch_path(spark, name)
-    slate.split_late(rows, path, p["bound"], p["allowed"], p["size"], p["slide"], seq=seq, tie="event_id", name=name)
+    slate.split_late(rows, path, p["bound"], p["allowed"], p["size"], p["slide"], seq=seq, tie="event_id", name=name,
+                     counts=counts)
     return path
 
 
@@ -425,8 +426,8 @@ def stream_late_rows(spark, sf):
 
 def stream_lateness_counts(spark, sf):
     """The last firing of every window that the contract's watermark has closed."""
-    path = _split(spark, sf, "stream_lateness", _late_stream(spark, sf), LATE)
-    rows = slate.accepted_rows(spark, path, LATE_DDL)
+    path = _split(spark, sf, "stream_lateness", _late_stream(spark, sf), LATE, counts=["event_type"])
+    rows = slate.accepted_rows(spark, path, "event_type string, n long")
     out = _drained(spark, "stream_lateness_counts", slate.stream_lateness_counts(
         rows, ["event_type"], LATE["allowed"], LATE["slide"], "event_type string"))
     last = out.groupBy("event_type", "window_end_us").agg(F.max_by(

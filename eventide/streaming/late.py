@@ -62,9 +62,12 @@ def _summaries(batches):
 
 
 def split_late(rows: DataFrame, path: str, bound, allowed, size, slide, seq: str = "seq", tie: str | None = None,
-               ts: str = "ts", name: str = "late", **run) -> None:
+               ts: str = "ts", name: str = "late", counts: list[str] | None = None, **run) -> None:
     """Run the classifying job: ``path/late`` gets the side output, ``path/rows`` all others with their ranges.
 
+    With ``counts``, ``path/rows`` has instead the number ``n`` of the rows that agree in
+    these columns and in their ranges, for a job that only counts.
+
     Each micro-batch overwrites its own folder, so a retried one leaves the same
     rows.  Rows are in arrival order by ``(seq, tie)`` within a micro-batch; every
     micro-batch comes after those before it.  Rows without a time are in neither.
@@ -87,12 +90,16 @@ def split_late(rows: DataFrame, path: str, bound, allowed, size, slide, seq: str
             gone = F.col("_acc_from") > F.col("_last_end")
             r.where(gone).select(*rows.columns, from_micros("wm_us").alias("wm")) \
                 .write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
-            r.where(~gone).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+            kept = r.where(~gone)
+            if counts is not None:
+                kept = kept.groupBy(*counts, "_acc_from", "_on_from", "_last_end", "_at_us", "_marker").agg(
+                    F.count(F.lit(1)).alias("n"))
+            kept.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
             # the marker's file comes after all others of the batch: who sees it sees them
             end = max([x for x in (of.before, of.latest) if x is not None], default=None)
             ranges = {c.split()[0]: F.lit(0).cast("long") for c in RANGES.split(", ")}
             ranges |= {"_at_us": F.lit(None if end is None else end - us(bound)).cast("long"), "_marker": F.lit(True)}
-            blank = [ranges.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in r.schema]
+            blank = [ranges.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kept.schema]
             batch.sparkSession.range(1).select(*blank).write.mode("overwrite").parquet(f"{path}/rows/end={batch_id}")
         finally:
             batch.unpersist()
@@ -163,11 +170,11 @@ class LatenessCounts(_Due):
             if r.marker:
                 continue
             for e in range(r.lo, r.hi + 1, self.slide):
-                new.setdefault(e, [0, 0])[e < r.on_from] += 1
-        out = []
+                new.setdefault(e, [0, 0])[e < r.on_from] += getattr(r, "n", 1)
+        out, known = [], self.due.exists()      # as long as the group has windows, a timer is due
         for e, (on_time, late) in new.items():
             version = 0
-            if self.windows.containsKey((e,)):
+            if known and self.windows.containsKey((e,)):
                 a, b, version = self.windows.getValue((e,))
                 on_time, late = on_time + a, late + b
                 if version:     # it has fired: the late rows fire it again
@@ -180,18 +187,26 @@ class LatenessCounts(_Due):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.due.clear()
-        now, out, later = self.now(timerValues), [], []
+        now, out, later, fired, gone = self.now(timerValues), [], [], [], []
         for (e,), (on_time, late, version) in [(tuple(k), tuple(v)) for k, v in self.windows.iterator()]:
-            if not version and e <= now:
+            fires = not version and e <= now
+            if fires:
                 version = 1
                 out.append(self._row(key, e, on_time, late, version))
-                self.windows.updateValue((e,), (on_time, late, version))
             if e + self.allowed <= now:
-                self.windows.removeKey((e,))
-            else:
-                later.append(e + self.allowed if version else e)
+                gone.append((e,))
+                continue
+            later.append(e + self.allowed if version else e)
+            if fires:
+                fired.append(((e,), (on_time, late, version)))
         if later:
+            for k in gone:
+                self.windows.removeKey(k)
+            for k, v in fired:
+                self.windows.updateValue(k, v)
             self.wake(min(later))
+        else:
+            self.windows.clear()
         return iter(out)
 
 
@@ -199,10 +214,12 @@ def stream_lateness_counts(rows: DataFrame, keys: list[str], allowed, slide, key
     """O-45 S: every firing of every (key, window): on-time count, count, late updates, version.
 
     ``rows`` as of :func:`accepted_rows`; a group of state holds the windows of
-    one key that end within ``span`` (a day).
+    one key that end within ``span`` (a day).  Where the rows have a column ``n``
+    (``split_late`` with ``counts``), they count so many times.
     """
     slide_us, width = us(slide), us(span) if span is not None else 86_400_000_000
-    dealt = _by_span(rows, slide_us, width, [*keys, F.col("_on_from").alias("on_from")])
+    n = F.col("n") if "n" in rows.columns else F.lit(1).cast("long").alias("n")
+    dealt = _by_span(rows, slide_us, width, [*keys, F.col("_on_from").alias("on_from"), n])
     proc = LatenessCounts(keys, slide_us, us(allowed))
     return dealt.groupBy(*keys, "span").transformWithState(
         proc, f"{keys_ddl}, {proc.ddl}", "append", "EventTime")

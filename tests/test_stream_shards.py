@@ -1,4 +1,4 @@
-"""Keyed state machines over shards of keys: own rows, several micro-batches."""
+"""Keyed state machines over shards of keys, and late-data counts: own rows, several micro-batches."""
 
 import datetime as dt
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.sources import testdata as td
-from eventide.streaming import jobs, sinks
+from eventide.streaming import jobs, late, sinks
 from eventide.streaming.event_time import with_event_time
 from eventide.operators import patterns
 
@@ -97,3 +97,21 @@ def test_bursts_over_micro_batches(spark, tmp_path):
     s = _run(spark, "t_shard_bursts", jobs.stream_login_bursts(_written(spark, f"{tmp_path}/in", a, b, c), 2, 6 * H_US))
     assert sorted((str(r.user_id), r.first_fail_ts, r.last_fail_ts, r.fail_times) for r in s.collect()) == \
         [(str(BIG), _at(1), _at(2), 2), ("None", _at(1), _at(2), 2)]
+
+
+def test_lateness_rows_are_counted_before_the_state(spark, tmp_path):
+    """Rows of the same windows reach the state as one row with their number."""
+    minute = dt.timedelta(minutes=1)
+    rows = [_event(i, 1, 1, "error") for i in range(300)] + [_event(300 + i, 1, 1, None) for i in range(50)] + FLUSH[:1]
+    ev = _written(spark, f"{tmp_path}/in", rows).select("event_id", "ts", "event_type", F.col("event_id").alias("seq"))
+    late.split_late(ev, f"{tmp_path}/out", 30 * minute, 30 * minute, 60 * minute, 10 * minute, tie="event_id",
+                    name="t_counted", counts=["event_type"])
+    acc = late.accepted_rows(spark, f"{tmp_path}/out", "event_type string, n long")
+    kept = spark.read.schema(acc.drop("event_time").schema).option("recursiveFileLookup", "true").parquet(
+        f"{tmp_path}/out/rows").where("not _marker")
+    assert sorted((str(r.event_type), r.n) for r in kept.collect()) == [("None", 50), ("error", 1), ("error", 300)]
+    out = _run(spark, "t_counted_out", late.stream_lateness_counts(acc, ["event_type"], 30 * minute, 10 * minute,
+                                                                  "event_type string"))
+    got = sorted((str(r.event_type), r.cnt_on_time, r.cnt, r.late_updates, r.version) for r in out.where(
+        f"window_end_us < {1_800_000_000_000_000}").collect())
+    assert got == [("None", 50, 50, 0, 1)] * 6 + [("error", 300, 300, 0, 1)] * 6
