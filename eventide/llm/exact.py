@@ -7,6 +7,8 @@ bucket, where the texts of one key form a chain: rows share a link of it only if
 their bytes are equal (the key column and the whole text are grouped on).  The
 index, one entry per link with the number of rows and the largest doc_id, is
 written in key ranges, bucket by bucket, and every row looks up its link there.
+Directory, index and result get as many parts as their rows ask for, however
+many a shuffle has: each file costs the executor that writes it some processes.
 
 Only DataFrame functions run here.  A text crosses one shuffle, and once per
 task however many rows share it there; all else moves keys and digests.
@@ -19,11 +21,12 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import keep, release
+from eventide.llm.common import keep
 
 CAPACITY = 1 << 12    # keys of a bucket before it splits
 SPARE = 3             # doublings beyond those that evenly spread keys ask for
 KEY_BITS = 64
+FILE_ROWS = 1 << 14   # rows of a part of the directory, the index or the result
 
 
 def normalised(text: Column) -> Column:
@@ -67,10 +70,10 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_
     key = F.xxhash64("norm") if key_bits == KEY_BITS else F.shiftleft(F.xxhash64("norm"), KEY_BITS - key_bits)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), norm.alias("norm")).withColumn("key", key)
     rows = keep(src.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256")), "exact-rows")
-    entries = keep(rows.select("key").distinct(), "exact-keys")
-    held = entries.count()
+    entries = rows.select("key").distinct()
+    held, total = rows.groupBy("key").count().agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     depth = min((held // capacity).bit_length() + SPARE, KEY_BITS - 2) if held > capacity else 0
-    slots = keep(directory(entries, capacity, depth), "exact-directory")
+    slots = keep(directory(entries, capacity, depth).repartition((1 << depth) // FILE_ROWS + 1), "exact-directory")
 
     def routed(df: DataFrame) -> DataFrame:
         return df.withColumn("slot", slot("key", depth)).join(slots, "slot").drop("slot")
@@ -78,13 +81,13 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_
     chains = routed(src).groupBy("bucket", "key", "norm").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     index = keep(chains.select("bucket", "key", F.sha2("norm", 256).alias("link"), "keep_id", "group_size")
-                 .repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"), "exact-index")
+                 .repartitionByRange("bucket", "key").coalesce(held // FILE_ROWS + 1)
+                 .sortWithinPartitions("bucket", "key"), "exact-index")
     links = index.select(F.col("bucket").alias("b"), F.col("key").alias("k"), "link", "keep_id", "group_size")
     found = routed(rows)
     out = found.join(links, (found.bucket == links.b) & (found.key == links.k) & (found.text_sha256 == links.link))
-    release(entries)
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                      "text_sha256")
+                      "text_sha256").coalesce(total // FILE_ROWS + 1)
 
 
 def drop_exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:

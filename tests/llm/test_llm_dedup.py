@@ -261,6 +261,35 @@ def test_directory_doubles_until_no_bucket_is_overfull(spark, held, capacity):
         assert d == 0 or full(d - 1, (b ^ 1 << d) >> 1)   # half as deep would have been overfull
 
 
+@pytest.mark.parametrize("part", [1 << 14, 20])
+def test_exact_parts_follow_rows_not_shuffle_partitions(spark, docs, part, monkeypatch):
+    """Each file that a task writes costs its executor some processes."""
+    files, keep = {}, exact.keep
+    monkeypatch.setattr(exact, "FILE_ROWS", part, raising=False)
+
+    def counted(df, label):
+        out = keep(df, label)
+        files[label] = len(out.inputFiles())
+        return out
+    monkeypatch.setattr(exact, "keep", counted)
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = exact.exact_groups(docs, 4)
+        got, parts = sorted(map(tuple, out.collect()), key=str), out.rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == brute_exact([(r.doc_id, r.text) for r in docs.collect()])
+    links = len({r[4] for r in got})
+    assert files.pop("exact-rows") <= 3 and files["exact-index"] <= links // part + 1
+    assert sum(files.values()) <= (links + (links << exact.SPARE)) // part + 2
+    assert parts == len(got) // part + 1
+
+
 def test_exact_drop_keeps_columns(docs):
     stays = exact.drop_exact_duplicates(docs)
     want = [r for r in brute_exact([(r.doc_id, r.text) for r in docs.collect()]) if r[3] or r[0] is None]
